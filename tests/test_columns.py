@@ -1,0 +1,34 @@
+import csv
+
+import pytest
+
+from tidelog.operators.columns import sanitize_columns, with_sanitized_columns
+from tidelog.plans.flows import ingest_csv_to_parquet
+
+
+@pytest.mark.parametrize(
+    ("given", "expected"),
+    [("plain", "plain"), (" outer ", "_outer_"), ("in between", "in_between"), ("two  blanks", "two__blanks"), ("a\tb", "a\tb")],
+)
+def test_blanks_become_underscores(given, expected):
+    assert sanitize_columns([given]) == [expected]
+
+
+@pytest.mark.parametrize("names", [("a b", "a_b"), ("A b", "a_b")])
+def test_colliding_names_are_an_error(spark, names):
+    with pytest.raises(ValueError, match="collide"):
+        with_sanitized_columns(spark.createDataFrame([(1, 2)], list(names)))
+
+
+def test_csv_becomes_parquet_of_text(spark, tmp_path):
+    with open(tmp_path / "in.csv", "w", newline="") as file:
+        csv.writer(file).writerows(
+            [["first_field", "field with space", " fieldWithOuterSpaces "], ["3", "4", "1"], ["1", "5", "2"]]
+        )
+    target = str(tmp_path / "out")
+    ingest_csv_to_parquet(spark, str(tmp_path / "in.csv"), target)
+    stored = spark.read.parquet(target)
+    assert stored.dtypes == [(n, "string") for n in ("first_field", "field_with_space", "_fieldWithOuterSpaces_")]
+    assert [tuple(r) for r in stored.collect()] == [("3", "4", "1"), ("1", "5", "2")]
+    with pytest.raises(Exception, match="already exists"):
+        ingest_csv_to_parquet(spark, str(tmp_path / "in.csv"), target)

@@ -65,12 +65,10 @@ def split_hot_keys(
         ]
     )
     heavy_keys = F.broadcast(rows.sparkSession.createDataFrame(lookup, schema))
-    within = (position.cast("double") - F.col("_low")) / F.col("_span")
-    # Nulls sort first, so a null position belongs to the key's first chunk.
-    inside = F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(_BELOW_ONE), within)), F.lit(0.0))
-    placed = rows.join(heavy_keys, F.col(key).eqNullSafe(F.col("_heavy")), "left").withColumn(
-        "_place", F.when(F.col("_slot").isNotNull(), F.col("_slot") + F.when(within.isNotNull(), inside).otherwise(0.0))
-    )
+    # Nulls sort first, so a null position counts as the lowest one. Other keys have a null slot.
+    within = (F.coalesce(position.cast("double"), F.col("_low")) - F.col("_low")) / F.col("_span")
+    place = F.col("_slot") + F.greatest(F.lit(0.0), F.least(F.lit(_BELOW_ONE), within))
+    placed = rows.join(heavy_keys, F.col(key).eqNullSafe(F.col("_heavy")), "left").withColumn("_place", place)
     bucketizer = Bucketizer(
         splits=[float("-inf"), *sorted(cuts), float("inf")],
         inputCol="_place",

@@ -211,7 +211,8 @@ def _incremental_log_ingest(spark: SparkSession, folder: str) -> DataFrame:
             logs,
             target,
             progress,
-            transform=lambda lines: lines.select("machine", "action", "check_code"),
+            extract=lambda lines: lines.select("machine", "action", "check_code"),
+            transform=lambda kept: kept,
             output_format="parquet",
             glob="*/*/*.csv",
         )

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ from tidelog.schemas import HEADER_FACTS, LOG_FIELDS, STAMP_FORMAT, VOTE_ACTION,
 from tidelog.session import scratch_path
 from tidelog.sources.machine_logs import NO_SEPARATOR
 
+# Executors need not have this package installed: the functions they run travel with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

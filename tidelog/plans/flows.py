@@ -18,18 +18,18 @@ from tidelog.operators.selection import select_events
 from tidelog.operators.skew import ROWS_PER_CHUNK
 from tidelog.operators.words import word_count
 from tidelog.schemas import CORRESPONDENCE_TYPES, FIRST_DAY, LOG_FIELDS, VOTE_ACTION, VOTE_END, VOTE_START
-from tidelog.session import settle
+from tidelog.session import settled
 from tidelog.sources.archives import archive_stem, expand_archives, read_archives
 from tidelog.sources.machine_logs import parse_log_lines, read_machine_logs, with_line_order
 from tidelog.sources.tables import read_correspondence, read_csv_untyped, typed_correspondence, write_partitioned
 
 
-def vote_durations(lines: DataFrame, since: str = FIRST_DAY, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
-    """Seconds from each enabled voter to the vote recorded next on the same machine."""
+def vote_marks(lines: DataFrame, since: str = FIRST_DAY) -> DataFrame:
+    """What durations need of a log: the vote events from the first day on, without their text."""
     votes = select_events(
         lines, {"action": VOTE_ACTION}, time="event_time", since=since, text="message", parts=[VOTE_START, VOTE_END]
     )
-    slim = with_line_order(votes).select(
+    return with_line_order(votes).select(
         "machine",
         "event_time",
         # Ties in time follow the lines of a file; a hash names the file in eight bytes.
@@ -39,8 +39,12 @@ def vote_durations(lines: DataFrame, since: str = FIRST_DAY, rows_per_chunk: int
         F.col("message").contains(VOTE_START).alias("is_start"),
         F.col("message").contains(VOTE_END).alias("is_end"),
     )
+
+
+def vote_durations(marks: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+    """Seconds from each enabled voter to the vote recorded next on the same machine."""
     pairs = adjacent_pairs(
-        settle(slim),
+        marks,
         "machine",
         "event_time",
         F.col("is_start"),
@@ -59,7 +63,8 @@ def vote_durations(lines: DataFrame, since: str = FIRST_DAY, rows_per_chunk: int
 
 def run_vote_durations(lines: DataFrame, output: str, since: str = FIRST_DAY) -> int:
     """Durations as Parquet and as headerless CSV, side by side; returns the number of rows."""
-    vote_durations(lines, since).write.mode("overwrite").parquet(f"{output}/parquet")
+    with settled(vote_marks(lines, since)) as marks:
+        vote_durations(marks).write.mode("overwrite").parquet(f"{output}/parquet")
     stored = lines.sparkSession.read.parquet(f"{output}/parquet")
     stored.write.mode("overwrite").csv(f"{output}/csv")
     return stored.count()
@@ -81,8 +86,9 @@ def logs_from_archives(spark: SparkSession, path: str, nested_suffix: str | None
 
 def run_vote_report(lines: DataFrame, output: str, since: str = FIRST_DAY) -> int:
     """Ordinal vote pairs with header facts per file, as headered Latin-1 CSV."""
-    extract = settle(report_lines(with_line_order(lines), since))
-    with_report_names(vote_report(extract)).write.mode("overwrite").csv(output, header=True, encoding="ISO-8859-1")
+    with settled(report_lines(with_line_order(lines), since)) as extract:
+        report = with_report_names(vote_report(extract))
+        report.write.mode("overwrite").csv(output, header=True, encoding="ISO-8859-1")
     return lines.sparkSession.read.csv(output, header=True, encoding="ISO-8859-1").count()
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,7 +47,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def settle(frame: DataFrame) -> DataFrame:
-    """Stores a small extract of a costly scan, so later steps neither parse again nor depend on it."""
-    ensure_checkpoint_dir(frame.sparkSession)
-    return frame.checkpoint()
+@contextmanager
+def settled(frame: DataFrame) -> Iterator[DataFrame]:
+    """Stores the extract of a costly scan as Parquet while the block runs.
+
+    Later steps read the few stored columns instead of parsing the source again, and a lost executor
+    costs a read of the extract instead of a new scan.
+    """
+    spark = frame.sparkSession
+    path = scratch_path(spark, "extract")
+    frame.write.parquet(path)
+    try:
+        yield spark.read.schema(frame.schema).parquet(path)
+    finally:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -8,13 +8,18 @@ from __future__ import annotations
 
 import io
 import logging
+import sys
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Executors need not have this package installed: the functions they run travel with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LINES_PER_BATCH = 4_096
 CHARS_PER_BATCH = 4 << 20
 
@@ -99,7 +104,7 @@ def _opened(batches: Batches, on_error: str) -> Iterator[tuple[str, str | None,
         outers = batch.column("outer") if "outer" in batch.schema.names else pa.nulls(batch.num_rows)
         for archive, outer, content in zip(batch.column("archive"), outers, batch.column("content"), strict=True):
             with _tolerating(on_error, archive.as_py(), outer.as_py()):
-                with zipfile.ZipFile(io.BytesIO(content.as_py())) as packed:
+                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as packed:
                     yield archive.as_py(), outer.as_py(), packed
 
 

@@ -9,13 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.operators.report import report_lines, vote_report, with_report_names
-from tidelog.session import settle
+from tidelog.session import settled
 from tidelog.sources.machine_logs import NO_SEPARATOR, PLACE, parse_log_lines, with_line_order
 
 
-def report_of(lines: DataFrame) -> DataFrame:
-    """The vote report of a set of whole files, under its published names."""
-    return with_report_names(vote_report(settle(report_lines(with_line_order(lines)))))
+def report_extract(lines: DataFrame) -> DataFrame:
+    """The lines of whole files that a vote report needs."""
+    return report_lines(with_line_order(lines))
+
+
+def report_of(extract: DataFrame) -> DataFrame:
+    """The vote report of an extract, under its published names."""
+    return with_report_names(vote_report(extract))
 
 
 def incremental_log_ingest(
@@ -23,6 +28,7 @@ def incremental_log_ingest(
     logs: str,
     output: str,
     progress: str,
+    extract: Callable[[DataFrame], DataFrame] = report_extract,
     transform: Callable[[DataFrame], DataFrame] = report_of,
     output_format: str = "csv",
     files_per_batch: int = 10_000,
@@ -32,8 +38,8 @@ def incremental_log_ingest(
     """Processes every file not seen before, appends the results and stops.
 
     ``progress`` remembers the files already taken in. A file is never split over micro-batches, so
-    a ``transform`` that works file by file gives the same rows however the files arrive. Each
-    micro-batch overwrites its own ``batch_id=…`` folder: a batch repeated after a failure replaces
+    a ``transform`` that works file by file gives the same rows however the files arrive. It gets
+    the ``extract`` of the lines, stored once per micro-batch. Each micro-batch overwrites its own ``batch_id=…`` folder: a batch repeated after a failure replaces
     its rows instead of doubling them. Lines with too many fields are dropped.
     """
     arriving = (
@@ -45,11 +51,11 @@ def incremental_log_ingest(
     )
 
     def take_in(batch: DataFrame, batch_id: int) -> None:
-        result = transform(parse_log_lines(batch, "value", drop_long=True))
-        writer = result.write.mode("overwrite").format(output_format)
-        if output_format == "csv":
-            writer = writer.options(header=True, encoding=encoding)
-        writer.save(f"{output}/batch_id={batch_id}")
+        with settled(extract(parse_log_lines(batch, "value", drop_long=True))) as kept:
+            writer = transform(kept).write.mode("overwrite").format(output_format)
+            if output_format == "csv":
+                writer = writer.options(header=True, encoding=encoding)
+            writer.save(f"{output}/batch_id={batch_id}")
 
     query = (
         arriving.writeStream.option("checkpointLocation", progress)
