@@ -1,0 +1,112 @@
+import io
+import os
+import subprocess
+import sys
+import zipfile
+
+import pytest
+
+from tidelog.operators.report import report_lines
+from tidelog.plans.flows import correspondence_from_archives, logs_from_archives, vote_durations, vote_marks
+from tidelog.schemas import VOTE_END, VOTE_START
+from tidelog.sources.archives import expand_archives, read_archives
+
+
+def zipped(files):
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
+        for name, content in files.items():
+            archive.writestr(name, content)
+    return held.getvalue()
+
+
+LOG = "Município\r\nsecond\rthird\n\nlast".encode("iso-8859-1")
+
+
+@pytest.fixture
+def nested(tmp_path):
+    inner = zipped({"logd.dat": LOG, "other.txt": b"x"})
+    (tmp_path / "TO.zip").write_bytes(zipped({"o1.jez": inner, "o1.bu": b"\x00", "dir/o2.jez": zipped({"logd.dat": b"a\n"})}))
+    return str(tmp_path)
+
+
+def rows(frame):
+    return sorted(
+        (os.path.basename(r["archive"]), r["outer"], r["member"], r["line_no"], r["line"]) for r in frame.collect()
+    )
+
+
+def test_nested_lines(spark, nested):
+    lines = expand_archives(read_archives(spark, nested, "*.zip"), ".dat", nested_suffix="jez")
+    assert rows(lines) == [
+        ("TO.zip", "dir/o2.jez", "logd.dat", 1, "a"),
+        ("TO.zip", "o1.jez", "logd.dat", 1, "Município"),
+        ("TO.zip", "o1.jez", "logd.dat", 2, "second"),
+        ("TO.zip", "o1.jez", "logd.dat", 3, "third"),
+        ("TO.zip", "o1.jez", "logd.dat", 4, ""),
+        ("TO.zip", "o1.jez", "logd.dat", 5, "last"),
+    ]
+    assert lines.dtypes == [("archive", "string"), ("outer", "string"), ("member", "string"), ("line_no", "bigint"), ("line", "string")]
+
+
+def test_plain_members_and_many_lines(spark, tmp_path):
+    body = "\n".join(f"line {n}" for n in range(20_000)).encode()
+    (tmp_path / "a.zip").write_bytes(zipped({"big.csv": body, "skip.txt": b"x", "empty.csv": b""}))
+    lines = expand_archives(read_archives(spark, str(tmp_path)), "csv")
+    found = [(r["line_no"], r["line"]) for r in lines.orderBy("line_no").collect()]
+    assert found == [(n + 1, f"line {n}") for n in range(20_000)]
+    assert lines.where("outer IS NOT NULL").count() == 0
+
+
+def test_unreadable_archives(spark, tmp_path):
+    (tmp_path / "bad.zip").write_bytes(b"no archive")
+    (tmp_path / "good.zip").write_bytes(zipped({"x.dat": b"fine", "y.jez": b"no archive either"}))
+    archives = read_archives(spark, str(tmp_path))
+    assert [r["line"] for r in expand_archives(archives, ".dat").collect()] == ["fine"]
+    assert expand_archives(archives, ".dat", nested_suffix="jez").count() == 0
+    with pytest.raises(Exception, match="BadZipFile"):
+        expand_archives(archives, ".dat", on_error="raise").count()
+    with pytest.raises(ValueError, match="on_error"):
+        expand_archives(archives, ".dat", on_error="ignore")
+
+
+def test_logs_straight_from_archives(spark, tmp_path):
+    def log(machine):
+        return "\n".join(
+            f"06/10/2024 08:00:{second}\tINFO\t{machine}\tVOTA\t{message}\tA1"
+            for second, message in (("00", VOTE_START), ("07", VOTE_END))
+        )
+
+    for machine in ("M1", "M2"):
+        (tmp_path / f"{machine}.log.jez").write_bytes(zipped({"logd.dat": log(machine), "note.txt": "x"}))
+    lines = logs_from_archives(spark, str(tmp_path))
+    assert {r["file"] for r in lines.select("file").collect()} == {"M1/logd.dat", "M2/logd.dat"}
+    assert {tuple(r)[::3] for r in vote_durations(vote_marks(lines)).collect()} == {("M1", 7), ("M2", 7)}
+    assert report_lines(lines.withColumn("line_id", lines["block"])).count() == 4
+
+
+def test_correspondence_from_archives(spark, tmp_path):
+    header = '"X";"AA_ELEICAO";"CD_PLEITO";"SG_UF";"CD_MUNICIPIO";"NM_MUNICIPIO";"NR_ZONA";"NR_URNA_ESPERADA"'
+    for state in ("TO", "SP"):
+        text = f'{header}\n1;2024;452;"{state}";7;"SÃO; {state}";1;5\n'
+        (tmp_path / f"CESP_1t_{state}_99.zip").write_bytes(zipped({f"{state}.csv": text.encode("iso-8859-1"), "r.pdf": b"x"}))
+    found = correspondence_from_archives(spark, str(tmp_path), "CESP_1t_*_99.zip").collect()
+    assert {(r["SG_UF"], r["NM_MUNICIPIO"], r["NR_URNA_ESPERADA"]) for r in found} == {("TO", "SÃO; TO", 5), ("SP", "SÃO; SP", 5)}
+    with pytest.raises(ValueError, match="no csv file"):
+        correspondence_from_archives(spark, str(tmp_path), "CESP_2t_*.zip")
+
+
+def test_tasks_do_not_need_the_package(tmp_path):
+    """The driver alone knows the package; the workers start in another folder without it."""
+    (tmp_path / "a.zip").write_bytes(zipped({"x.dat": b"fine"}))
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        f"import sys; sys.path.insert(0, {repo!r})\n"
+        "from tidelog.session import build_session\n"
+        "from tidelog.sources.archives import expand_archives, read_archives\n"
+        "spark = build_session('t', 'local[2]', **{'spark.ui.enabled': 'false'})\n"
+        f"print('LINE', expand_archives(read_archives(spark, {str(tmp_path)!r}), '.dat').collect()[0]['line'])\n"
+    )
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd="/", env=environment, capture_output=True, text=True, timeout=300)
+    assert "LINE fine" in done.stdout, done.stderr[-2000:]

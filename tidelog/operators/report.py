@@ -13,6 +13,8 @@ from tidelog.operators.selection import contains_any, select_events
 from tidelog.operators.skew import ROWS_PER_CHUNK
 from tidelog.schemas import DAY_FORMAT, FIRST_DAY, HEADER_FACTS, VOTE_ACTION, VOTE_END, VOTE_LEVEL, VOTE_START
 
+FACT_COPIES = 8
+
 REPORT_LINE_COLUMNS = ["file", "block", "line_id", "day", "clock", "level", "action", "message"]
 
 
@@ -37,8 +39,9 @@ def vote_report(
     """Ordinal vote pairs per file with the file's header facts; input from ``report_lines``.
 
     ``position`` must rise along the lines of a file; the default is the start of the file block.
-    The facts have one row per file. The join carries no hint: adaptive execution broadcasts that
-    side while it is small, and splits the pairs of an oversized file when it is not.
+    The facts have one row per file and are joined in ``FACT_COPIES`` copies, so the pairs of an
+    oversized file spread over as many join keys, which adaptive execution can cut further. While the
+    facts are small it broadcasts them instead.
     """
     votes = select_events(lines, {"level": VOTE_LEVEL, "action": VOTE_ACTION})
     pairs = ordinal_pairs(
@@ -53,7 +56,9 @@ def vote_report(
         rows_per_chunk=rows_per_chunk,
     )
     facts = first_facts(lines, "file", ["block", "line_id"], "message", HEADER_FACTS)
-    return pairs.join(facts, "file", "left").select(
+    copies = facts.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(FACT_COPIES - 1))))
+    spread = pairs.withColumn("_copy", (F.col("ordinal") % FACT_COPIES).cast("int"))
+    return spread.join(copies, ["file", "_copy"], "left").select(
         "file",
         "ordinal",
         "day",

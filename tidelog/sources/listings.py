@@ -50,7 +50,8 @@ def _anchor(css_class: str) -> str:
 
 def _catalogue(html: Column) -> Column:
     """Page text from the catalogue's start tag to its balancing end tag."""
-    tail = F.get(F.split(html, f"(?={_tag('ul', 'resource-list')})", 2), F.lit(1))
+    # The added blank makes a page that starts with the catalogue split like any other.
+    tail = F.get(F.split(F.concat(F.lit(" "), html), f"(?={_tag('ul', 'resource-list')})", 2), F.lit(1))
     parts = F.split(tail, r"(?i)(?=</?ul\b)")
     zero = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("chars"), F.lit(False).alias("closed"))
 
