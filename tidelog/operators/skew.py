@@ -19,7 +19,7 @@ CHUNK = "_chunk"
 WHOLE = -1  # chunk number of keys that stay in one piece
 
 ROWS_PER_CHUNK = 1_000_000
-MAX_SPLITS = 20_000
+MAX_SPLITS = 50_000
 HOT_HITS = 4
 
 

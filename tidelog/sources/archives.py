@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 # Executors need not have this package installed: the functions they run travel with the task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-LINES_PER_BATCH = 4_096
-CHARS_PER_BATCH = 4 << 20
+ROWS_PER_BATCH = 8_192
+LENGTH_PER_BATCH = 8 << 20
 
 MEMBER_SCHEMA = "archive string, member string, content binary"
 LINE_SCHEMA = "archive string, outer string, member string, line_no bigint, line string"
@@ -69,33 +69,53 @@ Batches = Iterable[pa.RecordBatch]
 
 
 def _member_reader(suffix: str, on_error: str) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
-    def read(batches: Batches) -> Iterator[pa.RecordBatch]:
+    names = {"archive": pa.string(), "member": pa.string(), "content": pa.binary()}
+
+    def members(batches: Batches) -> Iterator[tuple]:
         for archive, _, packed in _opened(batches, on_error):
             for info in _chosen(packed, suffix):
                 with _tolerating(on_error, archive, info.filename):
-                    # One member per batch: memory holds one member, not one archive.
-                    yield pa.record_batch(
-                        [
-                            pa.array([archive], pa.string()),
-                            pa.array([info.filename], pa.string()),
-                            pa.array([packed.read(info)], pa.binary()),
-                        ],
-                        names=["archive", "member", "content"],
-                    )
+                    yield archive, info.filename, packed.read(info)
 
-    return read
+    return lambda batches: _batched(members(batches), names)
 
 
 def _line_reader(suffix: str, encoding: str, on_error: str) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
-    def read(batches: Batches) -> Iterator[pa.RecordBatch]:
+    names = {
+        "archive": pa.string(),
+        "outer": pa.string(),
+        "member": pa.string(),
+        "line_no": pa.int64(),
+        "line": pa.string(),
+    }
+
+    def lines(batches: Batches) -> Iterator[tuple]:
         for archive, outer, packed in _opened(batches, on_error):
             for info in _chosen(packed, suffix):
                 with _tolerating(on_error, archive, info.filename), packed.open(info) as member:
                     text = io.TextIOWrapper(member, encoding=encoding, errors="replace")
-                    for first, lines in _grouped(text):
-                        yield _line_batch(archive, outer, info.filename, first, lines)
+                    for number, line in enumerate(text, 1):
+                        yield archive, outer, info.filename, number, line.removesuffix("\n")
+
+    return lambda batches: _batched(lines(batches), names)
+
+
+def _batched(rows: Iterable[tuple], names: dict[str, pa.DataType]) -> Iterator[pa.RecordBatch]:
+    """Rows as Arrow batches of bounded size; the last field is the one that varies in length."""
+    held, length = [], 0
+    for row in rows:
+        held.append(row)
+        length += len(row[-1])
+        if len(held) >= ROWS_PER_BATCH or length >= LENGTH_PER_BATCH:
+            yield _batch(held, names)
+            held, length = [], 0
+    if held:
+        yield _batch(held, names)
 
-    return read
+
+def _batch(rows: list[tuple], names: dict[str, pa.DataType]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True)
+    return pa.record_batch([pa.array(c, kind) for c, kind in zip(columns, names.values(), strict=True)], names=list(names))
 
 
 def _opened(batches: Batches, on_error: str) -> Iterator[tuple[str, str | None, zipfile.ZipFile]]:
@@ -112,33 +132,6 @@ def _chosen(packed: zipfile.ZipFile, suffix: str) -> list[zipfile.ZipInfo]:
     return [info for info in packed.infolist() if not info.is_dir() and info.filename.endswith(suffix)]
 
 
-def _grouped(text: Iterable[str]) -> Iterator[tuple[int, list[str]]]:
-    """Lines without their ends, in groups of bounded size, with the number of each group's first."""
-    first, group, chars = 1, [], 0
-    for line in text:
-        group.append(line.removesuffix("\n"))
-        chars += len(line)
-        if len(group) >= LINES_PER_BATCH or chars >= CHARS_PER_BATCH:
-            yield first, group
-            first, group, chars = first + len(group), [], 0
-    if group:
-        yield first, group
-
-
-def _line_batch(archive: str, outer: str | None, member: str, first: int, lines: list[str]) -> pa.RecordBatch:
-    count = len(lines)
-    return pa.record_batch(
-        [
-            pa.array([archive] * count, pa.string()),
-            pa.array([outer] * count, pa.string()),
-            pa.array([member] * count, pa.string()),
-            pa.array(range(first, first + count), pa.int64()),
-            pa.array(lines, pa.string()),
-        ],
-        names=["archive", "outer", "member", "line_no", "line"],
-    )
-
-
 class _tolerating:
     """Logs an unreadable archive or member and goes on, unless errors are to be raised."""
 
