@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
 from tidelog.operators.pairing import adjacent_pairs, ordinal_pairs
-from tidelog.operators.skew import CHUNK, WHOLE, split_hot_keys
+from tidelog.operators.skew import WHOLE, split_hot_keys
 
 SCHEMA = "id long, key string, at timestamp, kind string"
 START = datetime(2024, 10, 6, 8)
@@ -64,7 +64,7 @@ def run_ordinal(frame, rows_per_chunk):
         frame.withColumn("hour", F.hour("at")),
         "key",
         ["at", "id"],
-        F.unix_micros("at"),
+        [F.unix_micros("at"), F.col("id")],
         kind == "start",
         kind == "end",
         on=["hour"],
@@ -114,23 +114,53 @@ def test_a_key_with_a_third_of_the_rows_is_cut_into_even_chunks(spark):
     rows = spark.range(300_000, numPartitions=8).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id % 1000) END AS key", "pmod(xxhash64(id), 1000000) AS at"
     )
-    cut, was_split = split_hot_keys(rows, "key", F.col("at"), rows_per_chunk=2_000)
-    assert was_split
-    sizes = {(r["key"], r[CHUNK]): r["count"] for r in cut.groupBy("key", CHUNK).count().collect()}
+    cut, chunks = split_hot_keys(rows, "key", [F.col("at")], rows_per_chunk=2_000)
+    assert chunks == ["_chunk0"]
+    sizes = {(r["key"], r["_chunk0"]): r["count"] for r in cut.groupBy("key", "_chunk0").count().collect()}
     assert sum(sizes.values()) == 300_000
     hot = [n for (key, _), n in sizes.items() if key == "hot"]
     assert len(hot) > 25 and max(hot) < 20_000
     assert all(chunk == WHOLE for key, chunk in sizes if key != "hot")
-    spans = cut.where("key = 'hot'").groupBy(CHUNK).agg(F.min("at").alias("low"), F.max("at").alias("high")).orderBy(CHUNK)
-    borders = [(r["low"], r["high"]) for r in spans.collect()]
+    assert_ordered(cut.where("key = 'hot'"), chunks, F.struct("at"))
+
+
+def assert_ordered(rows, chunks, order):
+    """Along the chunk numbers, every row of a chunk comes before every row of the next."""
+    spans = rows.groupBy(*chunks).agg(F.min(order).alias("low"), F.max(order).alias("high")).orderBy(*chunks)
+    borders = [(tuple(r["low"]), tuple(r["high"])) for r in spans.collect()]
     assert all(before[1] < after[0] for before, after in zip(borders, borders[1:]))
 
 
+@pytest.mark.parametrize("base", [0, -5_000_000_000, 10**15])
+def test_equal_positions_are_cut_along_the_next(spark, base):
+    """A third of all rows share key and first position, most of those the second one too."""
+    rows = spark.range(300_000, numPartitions=8).select(
+        F.lit("k").alias("key"),
+        F.when(F.col("id") % 3 == 0, 500).otherwise(F.pmod(F.xxhash64("id"), F.lit(1_000))).alias("a") + base,
+        F.when(F.col("id") % 4 > 0, 7).otherwise(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(50))).alias("b"),
+        "id",
+    ).toDF("key", "a", "b", "id")
+    cut, chunks = split_hot_keys(rows, "key", [F.col("a"), F.col("b"), F.col("id")], rows_per_chunk=1_000)
+    assert cut.count() == 300_000
+    assert_ordered(cut, chunks, F.struct("a", "b", "id"))
+    sizes = [r["count"] for r in cut.groupBy(*chunks).count().collect()]
+    if base < 10**15:
+        assert len(chunks) == 3 and max(sizes) < 12_000
+
+
+def test_pairs_of_one_key_at_one_moment(spark):
+    rows = [(n, "k", START if n % 10 < 8 else START + timedelta(microseconds=n), random.Random(n).choice(["start", "end"])) for n in range(5_000)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    for rows_per_chunk in (10**6, 50, 5):
+        assert result(run_adjacent(frame, rows_per_chunk)) == brute_adjacent(rows)
+        assert result(run_ordinal(frame, rows_per_chunk)) == brute_ordinal(rows)
+
+
 def test_lookup_is_bounded(spark):
     rows = spark.range(50_000).selectExpr("id % 500 AS key", "id AS at")
-    cut, was_split = split_hot_keys(rows, "key", F.col("at"), rows_per_chunk=1, max_splits=200)
+    cut, chunks = split_hot_keys(rows, "key", [F.col("at")], rows_per_chunk=1, max_splits=2_000)
     assert cut.count() == 50_000
-    assert cut.select("key", CHUNK).distinct().where(F.col(CHUNK) != WHOLE).count() <= 400
+    assert 100 < cut.select("key", *chunks).distinct().where(F.col("_chunk0") != WHOLE).count() <= 6_000
 
 
 def test_keys_in_one_piece_need_one_shuffle(spark):

@@ -22,10 +22,13 @@ def seconds_between(start: Column, end: Column) -> Column:
     return F.unix_timestamp(end) - F.unix_timestamp(start)
 
 
-def time_position(rows: DataFrame, column: str) -> Column:
-    """A number that never falls while the time rises; used to cut a time line into pieces."""
+def time_positions(rows: DataFrame, column: str) -> list[Column]:
+    """Two whole numbers that rise with the time: seconds, and microseconds of the minute."""
     at = F.col(column)
     if isinstance(rows.schema[column].dataType, TimestampNTZType):
         # Wall-clock seconds: independent of the session's time zone.
-        return F.unix_date(F.to_date(at)) * 86_400 + F.hour(at) * 3_600 + F.minute(at) * 60 + F.second(at)
-    return F.unix_micros(at)
+        days = F.unix_date(F.to_date(at)).cast("long")
+        seconds = days * 86_400 + F.hour(at) * 3_600 + F.minute(at) * 60 + F.second(at)
+    else:
+        seconds = F.unix_seconds(at)
+    return [seconds, (F.date_part(F.lit("SECOND"), at) * 1_000_000).cast("long")]

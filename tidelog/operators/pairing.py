@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from tidelog.functions.time import seconds_between, time_position
-from tidelog.operators.skew import CHUNK, ROWS_PER_CHUNK, WHOLE, split_hot_keys
+from tidelog.functions.time import seconds_between, time_positions
+from tidelog.operators.skew import ROWS_PER_CHUNK, WHOLE, split_hot_keys
 
 
 def adjacent_pairs(
@@ -26,36 +28,40 @@ def adjacent_pairs(
     Of two starts in a row the first is left out, and so is an end without a start. ``tie_break``
     orders events with equal times. Result: key, ``start_time``, ``end_time``, ``seconds``.
 
-    One shuffle, on ``(key, chunk)``, of the columns needed.
+    One shuffle, on key and chunk, of the columns needed.
     """
     marked = events.select(key, time, *tie_break, is_start.alias("_start"), is_end.alias("_end")).where(
         F.col("_start") | F.col("_end")
     )
-    rows, was_split = split_hot_keys(marked, key, time_position(marked, time), rows_per_chunk)
+    whole_numbers = itertools.takewhile(lambda c: isinstance(marked.schema[c].dataType, IntegralType), tie_break)
+    positions = [*time_positions(marked, time), *map(F.col, whole_numbers)]
+    rows, chunks = split_hot_keys(marked, key, positions, rows_per_chunk)
 
-    along = Window.partitionBy(key, CHUNK).orderBy(time, *tie_break)
+    along = Window.partitionBy(key, *chunks).orderBy(time, *tie_break)
     pairs = (
         rows.withColumn("_next_time", F.lead(time).over(along))
         .withColumn("_next_end", F.lead("_end").over(along))
         .where(F.col("_start") & F.col("_next_end"))
         .select(key, F.col(time).alias("start_time"), F.col("_next_time").alias("end_time"))
     )
-    if was_split:
-        pairs = pairs.unionByName(_pairs_across_chunks(rows, key, time, tie_break))
+    if chunks:
+        pairs = pairs.unionByName(_pairs_across_chunks(rows, key, chunks, time, tie_break))
     return pairs.withColumn("seconds", seconds_between(F.col("start_time"), F.col("end_time")))
 
 
-def _pairs_across_chunks(rows: DataFrame, key: str, time: str, tie_break: Sequence[str]) -> DataFrame:
+def _pairs_across_chunks(
+    rows: DataFrame, key: str, chunks: Sequence[str], time: str, tie_break: Sequence[str]
+) -> DataFrame:
     """Pairs whose start closes one chunk and whose end opens the next.
 
     Each task reduces its rows to a first and a last event per chunk before the shuffle, so the
     window sees one row per chunk.
     """
     event = F.struct(time, *tie_break, "_start", "_end")
-    along = Window.partitionBy(key).orderBy(CHUNK)
+    along = Window.partitionBy(key).orderBy(*chunks)
     return (
-        rows.where(F.col(CHUNK) != WHOLE)
-        .groupBy(key, CHUNK)
+        rows.where(F.col(chunks[0]) != WHOLE)
+        .groupBy(key, *chunks)
         .agg(F.min(event).alias("first"), F.max(event).alias("last"))
         .withColumn("following", F.lead("first").over(along))
         .where(F.col("last._start") & F.col("following._end"))
@@ -71,7 +77,7 @@ def ordinal_pairs(
     events: DataFrame,
     key: str,
     order: Sequence[str],
-    position: Column,
+    positions: Sequence[Column],
     is_start: Column,
     is_end: Column,
     on: Sequence[str] = (),
@@ -81,7 +87,8 @@ def ordinal_pairs(
     """The n-th start of a key with its n-th end, where the ``on`` columns agree too.
 
     Starts and ends are numbered separately, so one start that never ended shifts every later pair
-    of its key. Rows with a null key pair with nothing. Result: key, ``ordinal``, the ``on``
+    of its key. Rows with a null key pair with nothing. ``positions`` are whole numbers that follow
+    ``order`` (see ``split_hot_keys``). Result: key, ``ordinal``, the ``on``
     columns, and each ``carry`` column twice (``start_…``, ``end_…``).
 
     ``(key, ordinal)`` is unique on both sides, so the join spreads evenly however the keys do.
@@ -90,9 +97,9 @@ def ordinal_pairs(
     marked = events.select(key, *needed, is_start.alias("_start"), is_end.alias("_end")).where(
         F.col("_start") | F.col("_end")
     )
-    rows, was_split = split_hot_keys(marked, key, position, rows_per_chunk)
-    starts = _number(rows.where("_start"), key, order, was_split)
-    ends = _number(rows.where("_end"), key, order, was_split)
+    rows, chunks = split_hot_keys(marked, key, positions, rows_per_chunk)
+    starts = _number(rows.where("_start"), key, chunks, order)
+    ends = _number(rows.where("_end"), key, chunks, order)
     return starts.select(key, "ordinal", *on, *[F.col(c).alias(f"start_{c}") for c in carry]).join(
         ends.select(key, "ordinal", *on, *[F.col(c).alias(f"end_{c}") for c in carry]),
         [key, "ordinal", *on],
@@ -100,19 +107,19 @@ def ordinal_pairs(
     )
 
 
-def _number(rows: DataFrame, key: str, order: Sequence[str], was_split: bool) -> DataFrame:
+def _number(rows: DataFrame, key: str, chunks: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Running number from 1 within each key: number within the chunk plus rows in earlier chunks."""
-    local = F.row_number().over(Window.partitionBy(key, CHUNK).orderBy(*order))
-    if not was_split:
+    local = F.row_number().over(Window.partitionBy(key, *chunks).orderBy(*order))
+    if not chunks:
         return rows.withColumn("ordinal", local.cast("long"))
-    earlier = Window.partitionBy(key).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    # One row per chunk of a heavy key: at most 2 * MAX_SPLITS rows.
+    earlier = Window.partitionBy(key).orderBy(*chunks).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per chunk of a heavy key: bounded by MAX_SPLITS, see split_hot_keys.
     offsets = (
-        rows.where(F.col(CHUNK) != WHOLE)
-        .groupBy(key, CHUNK)
+        rows.where(F.col(chunks[0]) != WHOLE)
+        .groupBy(key, *chunks)
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(key, CHUNK, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+        .select(key, *chunks, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     )
-    return rows.withColumn("_local", local).join(F.broadcast(offsets), [key, CHUNK], "left").withColumn(
+    return rows.withColumn("_local", local).join(F.broadcast(offsets), [key, *chunks], "left").withColumn(
         "ordinal", F.col("_local").cast("long") + F.coalesce(F.col("_before"), F.lit(0))
     )

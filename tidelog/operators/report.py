@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.text import cut_at_first_blank
@@ -31,14 +31,9 @@ def report_lines(lines: DataFrame, since: str = FIRST_DAY) -> DataFrame:
     )
 
 
-def vote_report(
-    lines: DataFrame,
-    position: Column | None = None,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
-) -> DataFrame:
+def vote_report(lines: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Ordinal vote pairs per file with the file's header facts; input from ``report_lines``.
 
-    ``position`` must rise along the lines of a file; the default is the start of the file block.
     The facts have one row per file and are joined in ``FACT_COPIES`` copies, so the pairs of an
     oversized file spread over as many join keys, which adaptive execution can cut further. While the
     facts are small it broadcasts them instead.
@@ -48,7 +43,7 @@ def vote_report(
         votes,
         key="file",
         order=["block", "line_id"],
-        position=F.col("block") if position is None else position,
+        positions=[F.col("block"), F.col("line_id")],
         is_start=F.col("message").contains(VOTE_START),
         is_end=F.col("message").contains(VOTE_END),
         on=["day"],

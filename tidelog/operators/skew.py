@@ -1,99 +1,127 @@
 """Cutting the rows of heavy keys into ordered chunks.
 
 A window partitioned by a key runs each key in one task, so a key that holds a third of the table
-is the whole job's run time. The operators here partition by ``(key, chunk)`` instead. A chunk is a
+is the whole job's run time. The operators here partition by key and chunk instead. A chunk is a
 contiguous stretch of the key's order, so neighbours can be found within the chunk and only the
 chunk borders need a second, tiny step.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
+from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-CHUNK = "_chunk"
-WHOLE = -1  # chunk number of keys that stay in one piece
+WHOLE = -1  # chunk number of rows that are not cut
 
 ROWS_PER_CHUNK = 1_000_000
 MAX_SPLITS = 50_000
 HOT_HITS = 4
 
+_BELOW_ONE = 1.0 - 2.0**-30
+
+Groups = dict[tuple, list[float]]
+
 
 def split_hot_keys(
     rows: DataFrame,
     key: str,
-    position: Column,
+    positions: Sequence[Column],
     rows_per_chunk: int = ROWS_PER_CHUNK,
     max_splits: int = MAX_SPLITS,
-) -> tuple[DataFrame, bool]:
-    """Add a chunk number that rises with ``position`` within each heavy key.
+) -> tuple[DataFrame, list[str]]:
+    """Add chunk numbers that rise along the order of each heavy key.
+
+    ``positions`` are whole numbers that, compared from left to right, never fall along the order
+    the caller uses within a key. Returns the frame and its chunk columns, none if no key is heavy.
+    A key in one piece carries ``WHOLE``.
 
-    ``position`` must never fall along the order the caller uses within a key; rows of one key with
-    equal positions share a chunk. Returns the frame and whether any key was cut. Keys in one piece
-    carry ``WHOLE``.
+    A key is cut along the first position. Where very many of its rows share one value there, those
+    rows get a chunk to themselves and are cut along the next position, and so on. Only rows that
+    agree in all positions, or have a null one, cannot be told apart.
 
-    One pass over ``(key, position)`` draws about one row in ``rows_per_chunk``. The draw only
-    chooses where to cut: every row stays in the result. At most ``max_splits`` points reach the
-    driver, and a key is heavy from ``HOT_HITS`` points on, so the lookup table that is broadcast
-    has at most ``max_splits / HOT_HITS`` rows and there are at most ``2 * max_splits`` chunks,
+    One pass over key and positions draws about one row in ``rows_per_chunk``. The draw only chooses
+    where to cut: every row stays in the result. At most ``max_splits`` drawn rows reach the driver,
+    and a group is heavy from ``HOT_HITS`` of them on, so a lookup table that is broadcast has at
+    most ``max_splits / HOT_HITS`` rows and each chunk column at most ``3 * max_splits`` values,
     whatever the size of the data.
     """
-    points = _sample_points(rows, key, position, rows_per_chunk, max_splits)
-    heavy = {value: sorted(found) for value, found in points.items() if len(found) >= HOT_HITS}
-    if not heavy:
-        return rows.withColumn(CHUNK, F.lit(WHOLE)), False
-
-    # Each heavy key gets the unit interval [slot, slot + 1) on one number line; its points become
-    # cuts inside that interval, so a single Bucketizer serves all keys.
-    lookup, cuts = [], set()
-    for slot, (value, found) in enumerate(heavy.items()):
-        low, span = found[0], max(found[-1] - found[0], 1.0)
-        lookup.append((value, slot, low, span))
-        cuts.add(float(slot))
-        cuts.update(slot + min((point - low) / span, _BELOW_ONE) for point in found)
+    names = [f"_position{depth}" for depth in range(len(positions))]
+    placed = rows.select("*", *[p.cast("double").alias(name) for p, name in zip(positions, names, strict=True)])
+    drawn = _draw(placed, [key, *names], rows_per_chunk, max_splits)
+
+    chunks: list[str] = []
+    cuttable = {row[:1] for row in drawn}
+    for depth, name in enumerate(names):
+        groups = _heavy_groups(drawn, cuttable, depth + 1)
+        if not groups:
+            break
+        chunks.append(f"_chunk{depth}")
+        placed, cuttable = _cut(placed, [key, *names[:depth]], name, groups, chunks[-1])
+    if not chunks:
+        return rows, []
+    return placed.select(*rows.columns, *chunks), chunks
+
+
+def _draw(rows: DataFrame, columns: list[str], rows_per_chunk: int, max_splits: int) -> list[tuple]:
+    """A bounded, even draw of the columns' values."""
+    drawn = rows.select(*columns).sample(fraction=1.0 / rows_per_chunk, seed=17).orderBy(F.rand(17)).limit(max_splits)
+    return [tuple(row) for row in drawn.collect()]
+
+
+def _heavy_groups(drawn: list[tuple], cuttable: set[tuple], width: int) -> Groups:
+    """Drawn values in column ``width`` of the groups that share the columns before it, if there are enough."""
+    groups: Groups = defaultdict(list)
+    for row in drawn:
+        if row[:width] in cuttable and row[width] is not None:
+            groups[row[:width]].append(row[width])
+    return {group: sorted(found) for group, found in groups.items() if len(found) >= HOT_HITS}
+
+
+def _cut(
+    rows: DataFrame, group_columns: list[str], position: str, groups: Groups, chunk: str
+) -> tuple[DataFrame, set[tuple]]:
+    """Number the pieces of each group; returns the groups that can be cut along the next position too."""
+    # Each group gets the interval [slot, slot + 1) on one number line and its cuts inside it, so a
+    # single Bucketizer serves all groups.
+    lookup, cuts, single = [], set(), set()
+    for slot, (group, found) in enumerate(groups.items()):
+        low = found[0] - 1
+        span = found[-1] - low + 2
+        lookup.append((*group, slot, low, span))
+
+        def place(value: float, slot: int = slot, low: float = low, span: float = span) -> float:
+            return slot + max(0.0, min(_BELOW_ONE, (value - low) / span))
 
+        cuts.add(float(slot))
+        cuts.update(map(place, found))
+        for value, hits in Counter(found).items():
+            # A value of its own chunk: cut on both sides, where the number line is fine enough.
+            if hits >= HOT_HITS and place(value - 1) < place(value) < place(value + 1):
+                cuts.add(place(value + 1))
+                single.add((*group, value))
+
+    aliases = [f"_group{n}" for n in range(len(group_columns))]
     schema = StructType(
         [
-            StructField("_heavy", rows.schema[key].dataType),
+            *[StructField(a, rows.schema[c].dataType) for a, c in zip(aliases, group_columns, strict=True)],
             StructField("_slot", IntegerType()),
             StructField("_low", DoubleType()),
             StructField("_span", DoubleType()),
         ]
     )
-    heavy_keys = F.broadcast(rows.sparkSession.createDataFrame(lookup, schema))
-    # Nulls sort first, so a null position counts as the lowest one. Other keys have a null slot.
-    within = (F.coalesce(position.cast("double"), F.col("_low")) - F.col("_low")) / F.col("_span")
-    place = F.col("_slot") + F.greatest(F.lit(0.0), F.least(F.lit(_BELOW_ONE), within))
-    placed = rows.join(heavy_keys, F.col(key).eqNullSafe(F.col("_heavy")), "left").withColumn("_place", place)
-    bucketizer = Bucketizer(
-        splits=[float("-inf"), *sorted(cuts), float("inf")],
-        inputCol="_place",
-        outputCol="_bucket",
-        handleInvalid="keep",
-    )
-    chunk = F.coalesce(F.col("_bucket").cast("int"), F.lit(WHOLE))
-    return bucketizer.transform(placed).select(*rows.columns, chunk.alias(CHUNK)), True
-
-
-_BELOW_ONE = 1.0 - 1e-9
-
-
-def _sample_points(
-    rows: DataFrame, key: str, position: Column, rows_per_chunk: int, max_splits: int
-) -> dict[object, list[float]]:
-    """A bounded, even draw of positions per key."""
-    drawn = (
-        rows.select(F.col(key).alias("key"), position.cast("double").alias("position"))
-        .where(F.col("position").isNotNull())
-        .sample(fraction=1.0 / rows_per_chunk, seed=17)
-        .orderBy(F.rand(17))
-        .limit(max_splits)
-    )
-    points: dict[object, list[float]] = defaultdict(list)
-    for row in drawn.collect():
-        points[row["key"]].append(row["position"])
-    return points
+    heavy = F.broadcast(rows.sparkSession.createDataFrame(lookup, schema))
+    same_group = [F.col(c).eqNullSafe(F.col(a)) for a, c in zip(aliases, group_columns, strict=True)]
+    # Nulls sort first, so a null counts as lowest. Rows outside the groups have a null slot.
+    within = (F.coalesce(F.col(position), F.col("_low")) - F.col("_low")) / F.col("_span")
+    place_of_row = F.col("_slot") + F.greatest(F.lit(0.0), F.least(F.lit(_BELOW_ONE), within))
+    located = rows.join(heavy, same_group, "left").withColumn("_place", place_of_row)
+    numbered = Bucketizer(
+        splits=[float("-inf"), *sorted(cuts), float("inf")], inputCol="_place", outputCol="_bucket", handleInvalid="keep"
+    ).transform(located)
+    number = F.coalesce(F.col("_bucket").cast("int"), F.lit(WHOLE))
+    return numbered.select(*rows.columns, number.alias(chunk)), single

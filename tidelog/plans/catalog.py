@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.functions.time import time_position
+from tidelog.functions.time import time_positions
 from tidelog.operators.columns import with_sanitized_columns
 from tidelog.operators.dimensions import distinct_projection
 from tidelog.operators.distance import TRIP_COORDINATES, great_circle_distance
@@ -72,7 +72,7 @@ def _ordinal(rows_per_chunk: int) -> Query:
             events,
             "user_id",
             ["ts", "event_id"],
-            time_position(events, "ts"),
+            [*time_positions(events, "ts"), F.col("event_id")],
             kind == "click",
             kind == "purchase",
             on=["day"],

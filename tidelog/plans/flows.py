@@ -32,8 +32,8 @@ def vote_marks(lines: DataFrame, since: str = FIRST_DAY) -> DataFrame:
     return with_line_order(votes).select(
         "machine",
         "event_time",
-        # Ties in time follow the lines of a file; a hash names the file in eight bytes.
-        F.xxhash64("file").alias("file_id"),
+        # Ties in time follow the lines of a file; a hash names the file in four bytes.
+        F.hash("file").alias("file_id"),
         "block",
         "line_id",
         F.col("message").contains(VOTE_START).alias("is_start"),
