@@ -61,10 +61,12 @@ def test_plain_members_and_many_lines(spark, tmp_path):
 def test_unreadable_archives(spark, tmp_path):
     (tmp_path / "bad.zip").write_bytes(b"no archive")
     (tmp_path / "good.zip").write_bytes(zipped({"x.dat": b"fine", "y.jez": b"no archive either"}))
+    whole = zipped({"x.dat": b"some text " * 1_000})
+    (tmp_path / "torn.zip").write_bytes(whole[:50] + b"\xff" * 20 + whole[70:])
     archives = read_archives(spark, str(tmp_path))
     assert [r["line"] for r in expand_archives(archives, ".dat").collect()] == ["fine"]
     assert expand_archives(archives, ".dat", nested_suffix="jez").count() == 0
-    with pytest.raises(Exception, match="BadZipFile"):
+    with pytest.raises(Exception, match="BadZipFile|zlib.error"):
         expand_archives(archives, ".dat", on_error="raise").count()
     with pytest.raises(ValueError, match="on_error"):
         expand_archives(archives, ".dat", on_error="ignore")

@@ -23,12 +23,12 @@ def test_colliding_names_are_an_error(spark, names):
 def test_csv_becomes_parquet_of_text(spark, tmp_path):
     with open(tmp_path / "in.csv", "w", newline="") as file:
         csv.writer(file).writerows(
-            [["first_field", "field with space", " fieldWithOuterSpaces "], ["3", "4", "1"], ["1", "5", "2"]]
+            [["bike", "ride time", " city "], ["07", "4.50", "Rio "], ["8", "5", ""]]
         )
     target = str(tmp_path / "out")
     ingest_csv_to_parquet(spark, str(tmp_path / "in.csv"), target)
     stored = spark.read.parquet(target)
-    assert stored.dtypes == [(n, "string") for n in ("first_field", "field_with_space", "_fieldWithOuterSpaces_")]
-    assert [tuple(r) for r in stored.collect()] == [("3", "4", "1"), ("1", "5", "2")]
+    assert stored.dtypes == [(n, "string") for n in ("bike", "ride_time", "_city_")]
+    assert [tuple(r) for r in stored.collect()] == [("07", "4.50", "Rio "), ("8", "5", None)]
     with pytest.raises(Exception, match="already exists"):
         ingest_csv_to_parquet(spark, str(tmp_path / "in.csv"), target)

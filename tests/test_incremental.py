@@ -40,6 +40,13 @@ def test_same_rows_however_the_files_are_grouped(spark, tmp_path):
     assert len(list((tmp_path / "out").glob("batch_id=*"))) == 3
 
 
+def test_files_at_any_depth(spark, tmp_path):
+    write(tmp_path / "logs" / "top.dat", votes("M1", 1))
+    write(tmp_path / "logs" / "a" / "b" / "deep.dat", votes("M2", 2))
+    write(tmp_path / "logs" / "a" / "b" / "deep.txt", votes("M3", 4))
+    assert take_in(spark, tmp_path, recursive=True).count() == 3
+
+
 def test_a_repeated_batch_replaces_its_rows(spark, tmp_path):
     write(tmp_path / "logs" / "a" / "1.dat", votes("M1", 4))
     assert take_in(spark, tmp_path).count() == 4

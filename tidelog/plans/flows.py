@@ -93,7 +93,7 @@ def run_vote_report(lines: DataFrame, output: str, since: str = FIRST_DAY) -> in
 
 
 def correspondence_from_archives(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    """The machine/precinct table out of archives of semicolon CSV files with equal headers."""
+    """The machine/precinct table out of archives of semicolon CSV files: equal headers, a record per line."""
     lines = expand_archives(read_archives(spark, path, glob), member_suffix="csv")
     header = lines.where("line_no = 1").select("line").first()
     if header is None:

@@ -10,6 +10,7 @@ import io
 import logging
 import sys
 import zipfile
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -26,7 +27,7 @@ LENGTH_PER_BATCH = 8 << 20
 MEMBER_SCHEMA = "archive string, member string, content binary"
 LINE_SCHEMA = "archive string, outer string, member string, line_no bigint, line string"
 
-_UNREADABLE = (zipfile.BadZipFile, zipfile.LargeZipFile, RuntimeError, NotImplementedError, EOFError, OSError)
+_UNREADABLE = (zipfile.BadZipFile, zlib.error, RuntimeError, EOFError, OSError)
 
 
 def read_archives(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

@@ -34,9 +34,8 @@ def read_machine_logs(
     if mode not in ("strict", "tolerant"):
         raise ValueError(f"unknown mode: {mode}")
     reader = spark.read.options(encoding=encoding, header=False, quote=quote, escape="")
-    if recursive:
-        reader = reader.options(recursiveFileLookup=True, pathGlobFilter=glob.rsplit("/", 1)[-1])
-    source = path if recursive or not glob else f"{path.rstrip('/')}/{glob}"
+    source, lookup = locate(path, glob, recursive)
+    reader = reader.options(**lookup)
     place = [F.col(column).alias(name) for name, column in PLACE.items()]
     if mode == "strict":
         fields = reader.schema(LOG_SCHEMA).csv(source, sep="\t").select(*LOG_FIELDS, *place)
@@ -45,6 +44,13 @@ def read_machine_logs(
     return parse_log_lines(lines, "value", drop_long=True)
 
 
+def locate(path: str, glob: str, recursive: bool) -> tuple[str, dict[str, str]]:
+    """Path and reader options for the files that match the glob, or its last part at any depth."""
+    if recursive:
+        return path, {"recursiveFileLookup": "true", "pathGlobFilter": glob.rsplit("/", 1)[-1]}
+    return f"{path.rstrip('/')}/{glob}", {}
+
+
 def parse_log_lines(lines: DataFrame, line: str, drop_long: bool) -> DataFrame:
     """Six fields and event time from a column of whole lines; the other columns stay."""
     parts = F.split(F.col(line), "\t", -1)

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.operators.report import report_lines, vote_report, with_report_names
 from tidelog.session import settled
-from tidelog.sources.machine_logs import NO_SEPARATOR, PLACE, parse_log_lines, with_line_order
+from tidelog.sources.machine_logs import NO_SEPARATOR, PLACE, locate, parse_log_lines, with_line_order
 
 
 def report_extract(lines: DataFrame) -> DataFrame:
@@ -33,6 +33,7 @@ def incremental_log_ingest(
     output_format: str = "csv",
     files_per_batch: int = 10_000,
     glob: str = "*/*.dat",
+    recursive: bool = False,
     encoding: str = "ISO-8859-1",
 ) -> StreamingQuery:
     """Processes every file not seen before, appends the results and stops.
@@ -42,11 +43,12 @@ def incremental_log_ingest(
     the ``extract`` of the lines, stored once per micro-batch. Each micro-batch overwrites its own ``batch_id=…`` folder: a batch repeated after a failure replaces
     its rows instead of doubling them. Lines with too many fields are dropped.
     """
+    source, lookup = locate(logs, glob, recursive)
     arriving = (
         spark.readStream.schema("value string")
         .options(sep=NO_SEPARATOR, header=False, quote="", escape="", encoding=encoding)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(f"{logs.rstrip('/')}/{glob}" if glob else logs)
+        .options(maxFilesPerTrigger=files_per_batch, **lookup)
+        .csv(source)
         .select("value", *[F.col(column).alias(name) for name, column in PLACE.items()])
     )
 
