@@ -44,27 +44,32 @@ Query = Callable[[SparkSession, str], DataFrame]
 LOG_FILES_GLOB = "*/*.csv"
 SINCE = "2024-01-03"
 
-# Chunks this small make most users of the small tables "heavy", so the cut-up path is checked too.
-TINY_CHUNK = 5
+# This many pieces make many users of the small tables "heavy", so the cut-up path is checked too.
+PIECES = 2_000
 
 
-def _adjacent(rows_per_chunk: int) -> Query:
+def _rows_per_chunk(events: DataFrame, chunked: bool) -> int:
+    return max(1, events.count() // PIECES) if chunked else ROWS_PER_CHUNK
+
+
+def _adjacent(chunked: bool) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
+        events = table(spark, folder, "events")
         kind = F.col("event_type")
         return adjacent_pairs(
-            table(spark, folder, "events"),
+            events,
             "user_id",
             "ts",
             kind == "click",
             kind == "purchase",
             tie_break=["event_id"],
-            rows_per_chunk=rows_per_chunk,
+            rows_per_chunk=_rows_per_chunk(events, chunked),
         )
 
     return query
 
 
-def _ordinal(rows_per_chunk: int) -> Query:
+def _ordinal(chunked: bool) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         events = table(spark, folder, "events").withColumn("day", F.to_date("ts"))
         kind = F.col("event_type")
@@ -77,7 +82,7 @@ def _ordinal(rows_per_chunk: int) -> Query:
             kind == "purchase",
             on=["day"],
             carry=["event_id", "value"],
-            rows_per_chunk=rows_per_chunk,
+            rows_per_chunk=_rows_per_chunk(events, chunked),
         )
 
     return query
@@ -224,11 +229,11 @@ def _incremental_log_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
-        "adjacent_pairs": _adjacent(ROWS_PER_CHUNK),
-        "adjacent_pairs_chunked": _adjacent(TINY_CHUNK),
+        "adjacent_pairs": _adjacent(chunked=False),
+        "adjacent_pairs_chunked": _adjacent(chunked=True),
         "select_events": _select_events,
-        "ordinal_pairs": _ordinal(ROWS_PER_CHUNK),
-        "ordinal_pairs_chunked": _ordinal(TINY_CHUNK),
+        "ordinal_pairs": _ordinal(chunked=False),
+        "ordinal_pairs_chunked": _ordinal(chunked=True),
         "first_facts": _first_facts,
         "vote_report": _vote_report,
         "vote_durations": _vote_durations,
