@@ -110,6 +110,16 @@ def test_equal_times_and_null_times(spark):
     assert plain == cut == [("k", 999)]
 
 
+def test_without_a_tie_break_chunks_change_nothing(spark):
+    rows = [(0, "k", START + timedelta(seconds=r[2].second), r[3]) for r in events(9, 4_000)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    kind = F.col("kind")
+    plain, cut = (
+        result(adjacent_pairs(frame, "key", "at", kind == "start", kind == "end", rows_per_chunk=n)) for n in (10**6, 20)
+    )
+    assert plain == cut and plain
+
+
 def test_a_key_with_a_third_of_the_rows_is_cut_into_even_chunks(spark):
     rows = spark.range(300_000, numPartitions=8).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id % 1000) END AS key", "pmod(xxhash64(id), 1000000) AS at"

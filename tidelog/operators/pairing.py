@@ -26,7 +26,7 @@ def adjacent_pairs(
 
     Only starts and ends count as events: anything else is dropped before "following" is decided.
     Of two starts in a row the first is left out, and so is an end without a start. ``tie_break``
-    orders events with equal times. Result: key, ``start_time``, ``end_time``, ``seconds``.
+    orders events with equal times; where it does not decide either, ends come first. Result: key, ``start_time``, ``end_time``, ``seconds``.
 
     One shuffle, on key and chunk, of the columns needed.
     """
@@ -37,7 +37,7 @@ def adjacent_pairs(
     positions = [*time_positions(marked, time), *map(F.col, whole_numbers)]
     rows, chunks = split_hot_keys(marked, key, positions, rows_per_chunk)
 
-    along = Window.partitionBy(key, *chunks).orderBy(time, *tie_break)
+    along = Window.partitionBy(key, *chunks).orderBy(*_event_order(time, tie_break))
     pairs = (
         rows.withColumn("_next_time", F.lead(time).over(along))
         .withColumn("_next_end", F.lead("_end").over(along))
@@ -49,6 +49,10 @@ def adjacent_pairs(
     return pairs.withColumn("seconds", seconds_between(F.col("start_time"), F.col("end_time")))
 
 
+def _event_order(time: str, tie_break: Sequence[str]) -> list[str]:
+    return [time, *tie_break, "_start", "_end"]
+
+
 def _pairs_across_chunks(
     rows: DataFrame, key: str, chunks: Sequence[str], time: str, tie_break: Sequence[str]
 ) -> DataFrame:
@@ -57,7 +61,7 @@ def _pairs_across_chunks(
     Each task reduces its rows to a first and a last event per chunk before the shuffle, so the
     window sees one row per chunk.
     """
-    event = F.struct(time, *tie_break, "_start", "_end")
+    event = F.struct(*_event_order(time, tie_break))
     along = Window.partitionBy(key).orderBy(*chunks)
     return (
         rows.where(F.col(chunks[0]) != WHOLE)
