@@ -17,18 +17,21 @@ def parse_day(text: Column, pattern: str) -> Column:
     return F.to_date(F.try_to_timestamp(text, F.lit(pattern)))
 
 
-def seconds_between(start: Column, end: Column) -> Column:
+def whole_seconds(rows: DataFrame, column: str) -> Column:
+    """Seconds of a time stamp since 1970; wall-clock ones where it has no time zone."""
+    at = F.col(column)
+    if isinstance(rows.schema[column].dataType, TimestampNTZType):
+        days = F.unix_date(F.to_date(at)).cast("long")
+        return days * 86_400 + F.hour(at) * 3_600 + F.minute(at) * 60 + F.second(at)
+    return F.unix_seconds(at)
+
+
+def seconds_between(rows: DataFrame, start: str, end: str) -> Column:
     """Whole seconds from start to end, on second boundaries."""
-    return F.unix_timestamp(end) - F.unix_timestamp(start)
+    return whole_seconds(rows, end) - whole_seconds(rows, start)
 
 
 def time_positions(rows: DataFrame, column: str) -> list[Column]:
     """Two whole numbers that rise with the time: seconds, and microseconds of the minute."""
-    at = F.col(column)
-    if isinstance(rows.schema[column].dataType, TimestampNTZType):
-        # Wall-clock seconds: independent of the session's time zone.
-        days = F.unix_date(F.to_date(at)).cast("long")
-        seconds = days * 86_400 + F.hour(at) * 3_600 + F.minute(at) * 60 + F.second(at)
-    else:
-        seconds = F.unix_seconds(at)
-    return [seconds, (F.date_part(F.lit("SECOND"), at) * 1_000_000).cast("long")]
+    microseconds = F.date_part(F.lit("SECOND"), F.col(column)) * 1_000_000
+    return [whole_seconds(rows, column), microseconds.cast("long")]

@@ -8,9 +8,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
+def sanitize_name(name: str) -> str:
+    """The name with every blank turned into an underscore; other whitespace stays."""
+    return name.replace(" ", "_")
+
+
 def sanitize_columns(columns: Sequence[str]) -> list[str]:
-    """The names with every blank turned into an underscore."""
-    return ["_".join(name.split(" ")) for name in columns]
+    """``sanitize_name`` for a list of names."""
+    return list(map(sanitize_name, columns))
 
 
 def with_sanitized_columns(frame: DataFrame) -> DataFrame:

@@ -46,7 +46,7 @@ def adjacent_pairs(
     )
     if chunks:
         pairs = pairs.unionByName(_pairs_across_chunks(rows, key, chunks, time, tie_break))
-    return pairs.withColumn("seconds", seconds_between(F.col("start_time"), F.col("end_time")))
+    return pairs.withColumn("seconds", seconds_between(pairs, "start_time", "end_time"))
 
 
 def _event_order(time: str, tie_break: Sequence[str]) -> list[str]:

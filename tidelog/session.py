@@ -1,4 +1,4 @@
-"""Session settings and the shared scratch folder."""
+"""Session settings and the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
@@ -25,26 +25,25 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Folder for checkpoints and intermediate tables.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate tables.
 
     A cluster names it in ``spark.checkpoint.dir`` (a folder every executor can reach). Only a local
     session that names none gets a temporary folder of its own.
     """
     context = spark.sparkContext
-    shared = context.getConf().get("spark.checkpoint.dir")
-    if context.getCheckpointDir() is None:
-        if shared is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-            shared = tempfile.mkdtemp(prefix="tidelog-")
-        context.setCheckpointDir(shared)
-    return shared or context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidelog-"))
+        named = context.getCheckpointDir()
+    return named
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared scratch folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 @contextmanager
