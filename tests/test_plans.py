@@ -69,3 +69,8 @@ def _formatted(spark):
 def test_columns_are_pruned(spark, name, unread):
     schema = final_plan(spark, name).split("ReadSchema: struct<")[1].split(">")[0]
     assert not [column for column in unread if f"{column}:" in schema]
+
+
+@pytest.mark.parametrize("name", ["adjacent_pairs_chunked", "ordinal_pairs_chunked"])
+def test_chunked_queries_are_cut(spark, name):
+    assert "_chunk0" in queries()[name](spark, FOLDER)._jdf.queryExecution().toString()

@@ -117,7 +117,7 @@ def _number(rows: DataFrame, key: str, chunks: Sequence[str], order: Sequence[st
     if not chunks:
         return rows.withColumn("ordinal", local.cast("long"))
     earlier = Window.partitionBy(key).orderBy(*chunks).rowsBetween(Window.unboundedPreceding, -1)
-    # One row per chunk of a heavy key: bounded by MAX_SPLITS, see split_hot_keys.
+    # One row per chunk of a heavy key: bounded, see split_hot_keys.
     offsets = (
         rows.where(F.col(chunks[0]) != WHOLE)
         .groupBy(key, *chunks)

@@ -19,8 +19,9 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 WHOLE = -1  # chunk number of rows that are not cut
 
 ROWS_PER_CHUNK = 1_000_000
-MAX_SPLITS = 50_000
-HOT_HITS = 4
+DRAWS_PER_CHUNK = 8  # evens out the chunks: each spans this many drawn rows
+HEAVY = 4 * DRAWS_PER_CHUNK  # drawn rows from which on a group is cut
+MAX_DRAWS = 200_000
 
 _BELOW_ONE = 1.0 - 2.0**-30
 
@@ -32,7 +33,7 @@ def split_hot_keys(
     key: str,
     positions: Sequence[Column],
     rows_per_chunk: int = ROWS_PER_CHUNK,
-    max_splits: int = MAX_SPLITS,
+    max_draws: int = MAX_DRAWS,
 ) -> tuple[DataFrame, list[str]]:
     """Add chunk numbers that rise along the order of each heavy key.
 
@@ -44,15 +45,15 @@ def split_hot_keys(
     rows get a chunk to themselves and are cut along the next position, and so on. Only rows that
     agree in all positions, or have a null one, cannot be told apart.
 
-    One pass over key and positions draws about one row in ``rows_per_chunk``. The draw only chooses
-    where to cut: every row stays in the result. At most ``max_splits`` drawn rows reach the driver,
-    and a group is heavy from ``HOT_HITS`` of them on, so a lookup table that is broadcast has at
-    most ``max_splits / HOT_HITS`` rows and each chunk column at most ``3 * max_splits`` values,
-    whatever the size of the data.
+    One pass over key and positions draws about ``DRAWS_PER_CHUNK`` rows in ``rows_per_chunk``. The
+    draw only chooses where to cut: every row stays in the result. At most ``max_draws`` drawn rows
+    reach the driver, and a group is heavy from ``HEAVY`` of them on. So, whatever the size of the
+    data, a lookup table that is broadcast has at most ``max_draws / HEAVY`` rows, and all heavy
+    keys together have fewer than ``max_draws / 4`` chunks per position.
     """
     names = [f"_position{depth}" for depth in range(len(positions))]
     placed = rows.select("*", *[p.cast("double").alias(name) for p, name in zip(positions, names, strict=True)])
-    drawn = _draw(placed, [key, *names], rows_per_chunk, max_splits)
+    drawn = _draw(placed, [key, *names], rows_per_chunk, max_draws)
 
     chunks: list[str] = []
     cuttable = {row[:1] for row in drawn}
@@ -67,9 +68,10 @@ def split_hot_keys(
     return placed.select(*rows.columns, *chunks), chunks
 
 
-def _draw(rows: DataFrame, columns: list[str], rows_per_chunk: int, max_splits: int) -> list[tuple]:
+def _draw(rows: DataFrame, columns: list[str], rows_per_chunk: int, max_draws: int) -> list[tuple]:
     """A bounded, even draw of the columns' values."""
-    drawn = rows.select(*columns).sample(fraction=1.0 / rows_per_chunk, seed=17).orderBy(F.rand(17)).limit(max_splits)
+    fraction = min(1.0, DRAWS_PER_CHUNK / rows_per_chunk)
+    drawn = rows.select(*columns).sample(fraction=fraction, seed=17).orderBy(F.rand(17)).limit(max_draws)
     return [tuple(row) for row in drawn.collect()]
 
 
@@ -79,7 +81,7 @@ def _heavy_groups(drawn: list[tuple], cuttable: set[tuple], width: int) -> Group
     for row in drawn:
         if row[:width] in cuttable and row[width] is not None:
             groups[row[:width]].append(row[width])
-    return {group: sorted(found) for group, found in groups.items() if len(found) >= HOT_HITS}
+    return {group: sorted(found) for group, found in groups.items() if len(found) >= HEAVY}
 
 
 def _cut(
@@ -98,11 +100,11 @@ def _cut(
             return slot + max(0.0, min(_BELOW_ONE, (value - low) / span))
 
         cuts.add(float(slot))
-        cuts.update(map(place, found))
+        cuts.update(map(place, found[::DRAWS_PER_CHUNK]))
         for value, hits in Counter(found).items():
             # A value of its own chunk: cut on both sides, where the number line is fine enough.
-            if hits >= HOT_HITS and place(value - 1) < place(value) < place(value + 1):
-                cuts.add(place(value + 1))
+            if hits >= HEAVY and place(value - 1) < place(value) < place(value + 1):
+                cuts.update([place(value), place(value + 1)])
                 single.add((*group, value))
 
     aliases = [f"_group{n}" for n in range(len(group_columns))]

@@ -44,26 +44,32 @@ Query = Callable[[SparkSession, str], DataFrame]
 LOG_FILES_GLOB = "*/*.csv"
 SINCE = "2024-01-03"
 
-# This many pieces make many users of the small tables "heavy", so the cut-up path is checked too.
-PIECES = 2_000
+# The chunked queries pair within seven teams of users. Asking for this many pieces makes every team
+# a heavy key at any scale, so the cut-up path is checked too.
+PIECES = 10_000
+TEAMS = 7
 
 
-def _rows_per_chunk(events: DataFrame, chunked: bool) -> int:
-    return max(1, events.count() // PIECES) if chunked else ROWS_PER_CHUNK
+def _keyed_events(spark: SparkSession, folder: str, chunked: bool) -> tuple[DataFrame, str, int]:
+    """Events, the key to pair on, and the rows per chunk."""
+    events = table(spark, folder, "events")
+    if not chunked:
+        return events, "user_id", ROWS_PER_CHUNK
+    return events.withColumn("team", F.col("user_id") % TEAMS), "team", max(1, events.count() // PIECES)
 
 
 def _adjacent(chunked: bool) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        events = table(spark, folder, "events")
+        events, key, rows_per_chunk = _keyed_events(spark, folder, chunked)
         kind = F.col("event_type")
         return adjacent_pairs(
             events,
-            "user_id",
+            key,
             "ts",
             kind == "click",
             kind == "purchase",
             tie_break=["event_id"],
-            rows_per_chunk=_rows_per_chunk(events, chunked),
+            rows_per_chunk=rows_per_chunk,
         )
 
     return query
@@ -71,18 +77,18 @@ def _adjacent(chunked: bool) -> Query:
 
 def _ordinal(chunked: bool) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        events = table(spark, folder, "events").withColumn("day", F.to_date("ts"))
+        events, key, rows_per_chunk = _keyed_events(spark, folder, chunked)
         kind = F.col("event_type")
         return ordinal_pairs(
-            events,
-            "user_id",
+            events.withColumn("day", F.to_date("ts")),
+            key,
             ["ts", "event_id"],
             [*time_positions(events, "ts"), F.col("event_id")],
             kind == "click",
             kind == "purchase",
             on=["day"],
             carry=["event_id", "value"],
-            rows_per_chunk=_rows_per_chunk(events, chunked),
+            rows_per_chunk=rows_per_chunk,
         )
 
     return query
@@ -257,31 +263,34 @@ def queries() -> dict[str, Query]:
     }
 
 
-_ADJACENT_SQL = """
+def _adjacent_sql(key: str, name: str) -> str:
+    return f"""
 WITH stepped AS (
-    SELECT user_id, ts, event_type,
+    SELECT {key} AS {name}, ts, event_type,
            lead(event_type) OVER along AS next_type,
            lead(ts) OVER along AS next_ts
     FROM events
     WHERE event_type IN ('click', 'purchase')
-    WINDOW along AS (PARTITION BY user_id ORDER BY ts, event_id)
+    WINDOW along AS (PARTITION BY {key} ORDER BY ts, event_id)
 )
-SELECT user_id, ts AS start_time, next_ts AS end_time, date_diff('second', ts, next_ts) AS seconds
+SELECT {name}, ts AS start_time, next_ts AS end_time, date_diff('second', ts, next_ts) AS seconds
 FROM stepped
 WHERE event_type = 'click' AND next_type = 'purchase'
 """
 
-_ORDINAL_SQL = """
+
+def _ordinal_sql(key: str, name: str) -> str:
+    return f"""
 WITH numbered AS (
-    SELECT user_id, event_id, value, event_type, CAST(ts AS DATE) AS day,
-           row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS ordinal
+    SELECT {key} AS {name}, event_id, value, event_type, CAST(ts AS DATE) AS day,
+           row_number() OVER (PARTITION BY {key}, event_type ORDER BY ts, event_id) AS ordinal
     FROM events
     WHERE event_type IN ('click', 'purchase')
 )
-SELECT s.user_id, s.ordinal, s.day, s.event_id AS start_event_id, s.value AS start_value,
+SELECT s.{name}, s.ordinal, s.day, s.event_id AS start_event_id, s.value AS start_value,
        e.event_id AS end_event_id, e.value AS end_value
 FROM numbered s
-JOIN numbered e ON e.user_id = s.user_id AND e.ordinal = s.ordinal AND e.day = s.day
+JOIN numbered e ON e.{name} = s.{name} AND e.ordinal = s.ordinal AND e.day = s.day
 WHERE s.event_type = 'click' AND e.event_type = 'purchase'
 """
 
@@ -405,14 +414,14 @@ def oracle_sql() -> dict[str, str]:
         for k in kinds
     )
     return {
-        "adjacent_pairs": _ADJACENT_SQL,
-        "adjacent_pairs_chunked": _ADJACENT_SQL,
+        "adjacent_pairs": _adjacent_sql("user_id", "user_id"),
+        "adjacent_pairs_chunked": _adjacent_sql(f"user_id % {TEAMS}", "team"),
         "select_events": """
             SELECT * FROM events
             WHERE event_type = 'purchase' AND ts >= TIMESTAMP '2024-01-15 00:00:00'
               AND (contains(props, '"k": 1') OR contains(props, '"k": 7'))""",
-        "ordinal_pairs": _ORDINAL_SQL,
-        "ordinal_pairs_chunked": _ORDINAL_SQL,
+        "ordinal_pairs": _ordinal_sql("user_id", "user_id"),
+        "ordinal_pairs_chunked": _ordinal_sql(f"user_id % {TEAMS}", "team"),
         "first_facts": f"SELECT user_id, {firsts} FROM events GROUP BY user_id",
         "vote_report": _vote_report_sql(),
         "vote_durations": _DURATIONS_SQL,
