@@ -50,7 +50,8 @@ def main() -> None:
 
     total = round(sum(seconds.values()), 3)
     scale = os.path.basename(folder.rstrip("/"))
-    print(json.dumps({"metric": "total_query_time", "value": total, "unit": "sec", "queries": seconds, "sf": scale.removeprefix("sf")}))
+    report = {"metric": "total_query_time", "value": total, "unit": "sec", "queries": seconds}
+    print(json.dumps(report | {"sf": scale.removeprefix("sf")}))
 
 
 if __name__ == "__main__":

@@ -48,12 +48,11 @@ def test_distinct_counts_nulls_as_equal(spark):
 def test_keys_that_look_like_numbers_come_back_as_text(spark, tmp_path):
     frame = spark.createDataFrame([("01", 1), ("2", 2), (None, 3)], "k string, v int")
     write_partitioned(frame, str(tmp_path / "t"), ["k"])
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    try:
-        stored = read_partitioned(spark, str(tmp_path / "t"), frame)
-        assert sorted(map(str, stored.collect())) == sorted(map(str, frame.collect()))
-    finally:
-        spark.conf.unset("spark.sql.sources.partitionColumnTypeInference.enabled")
+    stored = read_partitioned(spark, str(tmp_path / "t"), frame)
+    assert stored.dtypes == frame.dtypes
+    assert sorted(map(str, stored.collect())) == sorted(map(str, frame.collect()))
+    assert stored.where("k = '01'").count() == 1
+    assert "PartitionFilters: [isnotnull(k" in plan_of(stored.where("k = '01'"))
 
 
 def test_a_key_with_most_rows_is_written_by_many_tasks(spark, conf, tmp_path):

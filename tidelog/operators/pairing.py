@@ -26,7 +26,8 @@ def adjacent_pairs(
 
     Only starts and ends count as events: anything else is dropped before "following" is decided.
     Of two starts in a row the first is left out, and so is an end without a start. ``tie_break``
-    orders events with equal times; where it does not decide either, ends come first. Result: key, ``start_time``, ``end_time``, ``seconds``.
+    orders events with equal times; where it does not decide either, ends come first. Result: key,
+    ``start_time``, ``end_time``, ``seconds``.
 
     One shuffle, on key and chunk, of the columns needed.
     """

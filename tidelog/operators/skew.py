@@ -122,8 +122,8 @@ def _cut(
     within = (F.coalesce(F.col(position), F.col("_low")) - F.col("_low")) / F.col("_span")
     place_of_row = F.col("_slot") + F.greatest(F.lit(0.0), F.least(F.lit(_BELOW_ONE), within))
     located = rows.join(heavy, same_group, "left").withColumn("_place", place_of_row)
-    numbered = Bucketizer(
-        splits=[float("-inf"), *sorted(cuts), float("inf")], inputCol="_place", outputCol="_bucket", handleInvalid="keep"
-    ).transform(located)
+    splits = [float("-inf"), *sorted(cuts), float("inf")]
+    bucketizer = Bucketizer(splits=splits, inputCol="_place", outputCol="_bucket", handleInvalid="keep")
+    numbered = bucketizer.transform(located)
     number = F.coalesce(F.col("_bucket").cast("int"), F.lit(WHOLE))
     return numbered.select(*rows.columns, number.alias(chunk)), single

@@ -401,7 +401,8 @@ WITH found AS (
     SELECT page_id, regexp_extract_all(html, '<li><a href="/([^"]*)"', 1) AS links FROM pages
 ),
 entries AS (
-    SELECT page_id, unnest(generate_series(0, len(links) - 1)) AS place, unnest(links) AS link FROM found WHERE len(links) > 0
+    SELECT page_id, unnest(generate_series(0, len(links) - 1)) AS place, unnest(links) AS link
+    FROM found WHERE len(links) > 0
 )
 SELECT page_id, split_part(link, '/', -1) || '.zip' AS file_name FROM entries WHERE place % 2 = 0 AND place % 3 <> 2
 """

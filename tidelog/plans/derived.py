@@ -144,9 +144,8 @@ def catalogue_pages(pages: DataFrame) -> DataFrame:
 
     def entry(link: Column, at: Column) -> Column:
         kind = F.when(at % 2 == 0, F.lit(".zip")).otherwise(F.lit(".pdf"))
-        download = F.concat(
-            F.lit('<ul><li><a class="btn resource-url-analytics" href="https://files.example/d/'), link, kind, F.lit('">get</a></li></ul>')
-        )
+        opening = '<ul><li><a class="btn resource-url-analytics" href="https://files.example/d/'
+        download = F.concat(F.lit(opening), link, kind, F.lit('">get</a></li></ul>'))
         heading = F.concat(F.lit('<li><a class="heading" title="'), link, F.lit('">'), link, F.lit("</a>"))
         return F.concat(heading, F.when(at % 3 == 2, F.lit("")).otherwise(download), F.lit("</li>"))
 
@@ -171,12 +170,12 @@ def document_archives(documents: DataFrame, nested: bool) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, DOCUMENTS_PER_ARCHIVE):
                 rows = batch.slice(start, DOCUMENTS_PER_ARCHIVE)
-                members = [(str(d), t) for d, t in zip(rows["doc_id"].to_pylist(), rows["text"].to_pylist(), strict=True)]
-                files = [(f"{name}.dat", text.encode()) for name, text in members]
+                names, texts = rows["doc_id"].to_pylist(), rows["text"].to_pylist()
+                files = [(f"{name}.dat", text.encode()) for name, text in zip(names, texts, strict=True)]
                 if nested:
-                    files = [(f"{name}.jez", _zipped([file])) for (name, _), file in zip(members, files, strict=True)]
+                    files = [(f"{name}.jez", _zipped([file])) for name, file in zip(names, files, strict=True)]
                 yield pa.record_batch(
-                    [pa.array([f"mem/{members[0][0]}.zip"]), pa.array([_zipped(files)], pa.binary())],
+                    [pa.array([f"mem/{names[0]}.zip"]), pa.array([_zipped(files)], pa.binary())],
                     names=["archive", "content"],
                 )
 

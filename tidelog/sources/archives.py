@@ -56,7 +56,8 @@ def expand_archives(
     if nested_suffix is None:
         packed = archives.select("archive", F.lit(None).cast("string").alias("outer"), "content")
     else:
-        members = archives.select("archive", "content").mapInArrow(_member_reader(nested_suffix, on_error), MEMBER_SCHEMA)
+        read_members = _member_reader(nested_suffix, on_error)
+        members = archives.select("archive", "content").mapInArrow(read_members, MEMBER_SCHEMA)
         packed = members.select("archive", F.col("member").alias("outer"), "content").repartition("archive", "outer")
     return packed.mapInArrow(_line_reader(member_suffix, encoding, on_error), LINE_SCHEMA)
 
@@ -115,8 +116,8 @@ def _batched(rows: Iterable[tuple], names: dict[str, pa.DataType]) -> Iterator[p
 
 
 def _batch(rows: list[tuple], names: dict[str, pa.DataType]) -> pa.RecordBatch:
-    columns = zip(*rows, strict=True)
-    return pa.record_batch([pa.array(c, kind) for c, kind in zip(columns, names.values(), strict=True)], names=list(names))
+    arrays = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), names.values(), strict=True)]
+    return pa.record_batch(arrays, names=list(names))
 
 
 def _opened(batches: Batches, on_error: str) -> Iterator[tuple[str, str | None, zipfile.ZipFile]]:

@@ -49,15 +49,7 @@ def write_partitioned(frame: DataFrame, path: str, keys: Sequence[str]) -> None:
 def read_partitioned(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """Reads ``write_partitioned`` output back with the columns and types of ``like``.
 
-    Partition columns come back last, and typed by the look of the directory names, so both the
-    order and the types are put right. Partition pruning still works on plain text keys.
+    Partition columns would come back last, and typed by the look of the directory names (``01``
+    would turn into a number); the given schema and column order prevent both.
     """
-    stored = spark.read.parquet(path)
-    return stored.select(
-        *[
-            F.col(f"`{field.name}`")
-            if stored.schema[field.name].dataType == field.dataType
-            else F.col(f"`{field.name}`").cast(field.dataType).alias(field.name)
-            for field in like.schema.fields
-        ]
-    )
+    return spark.read.schema(like.schema).parquet(path).select(*[F.col(f"`{name}`") for name in like.columns])

@@ -40,8 +40,9 @@ def incremental_log_ingest(
 
     ``progress`` remembers the files already taken in. A file is never split over micro-batches, so
     a ``transform`` that works file by file gives the same rows however the files arrive. It gets
-    the ``extract`` of the lines, stored once per micro-batch. Each micro-batch overwrites its own ``batch_id=…`` folder: a batch repeated after a failure replaces
-    its rows instead of doubling them. Lines with too many fields are dropped.
+    the ``extract`` of the lines, stored once per micro-batch. Lines with too many fields are
+    dropped. Each micro-batch overwrites its own ``batch_id=…`` folder: a batch repeated after a
+    failure replaces its rows instead of doubling them.
     """
     source, lookup = locate(logs, glob, recursive)
     arriving = (
