@@ -1,0 +1,60 @@
+"""Column expressions against the same thing in Python."""
+
+import math
+import random
+
+import regex
+from pyspark.sql import functions as F
+
+from tidelog.functions.geo import great_circle_miles
+from tidelog.functions.text import after_last, cut_at_first_blank, has_letters, words
+from tidelog.functions.time import parse_day, parse_timestamp, seconds_between, time_positions
+
+LETTERS = "ab Zé:-'9\t́ß語\U0001d7ce. "
+
+
+def texts(count):
+    rand = random.Random(5)
+    return ["", ":", " ", "''", *["".join(rand.choices(LETTERS, k=rand.randrange(12))) for _ in range(count)]]
+
+
+def test_cutting_text(spark):
+    frame = spark.createDataFrame([(t,) for t in texts(400)], "t string")
+    head, tail = cut_at_first_blank(F.col("t"))
+    for row in frame.select("t", after_last(F.col("t"), ":").alias("last"), head.alias("head"), tail.alias("tail")).collect():
+        assert row["last"] == row["t"].split(":")[-1].strip()
+        assert [row["head"], row["tail"]] == (row["t"].split(" ", 1) + [None])[:2]
+
+
+def test_words(spark):
+    frame = spark.createDataFrame([(t,) for t in texts(400)], "t string")
+    for row in frame.select("t", F.filter(words(F.col("t")), has_letters).alias("words")).collect():
+        found = regex.findall(r"[\p{L}\p{M}\p{N}']+", row["t"].lower())
+        assert row["words"] == [word for word in found if word.strip("'")]
+
+
+def test_random_distances(spark):
+    rand = random.Random(6)
+    points = [[rand.uniform(-90, 90), rand.uniform(-180, 180), rand.uniform(-90, 90), rand.uniform(-180, 180)] for _ in range(300)]
+    frame = spark.createDataFrame(points, "a double, b double, c double, d double")
+    for *given, found in frame.select("*", great_circle_miles(*map(F.col, "abcd"))).collect():
+        a, b, c, d = map(math.radians, given)
+        angle = math.acos(max(-1, min(1, math.sin(a) * math.sin(c) + math.cos(a) * math.cos(c) * math.cos(d - b))))
+        assert math.isclose(found, 6_371_000 / 1609.344 * angle, rel_tol=1e-6, abs_tol=1e-3)
+
+
+def test_bad_times_are_null(spark):
+    frame = spark.createDataFrame([("06/10/2024 08:00:05",), ("6/10/24",), ("31/02/2024 00:00:00",), (None,)], "t string")
+    found = frame.select(parse_timestamp(F.col("t"), "dd/MM/yyyy HH:mm:ss").alias("at")).collect()
+    assert [r["at"] is None for r in found] == [False, True, True, True]
+    day = frame.select(parse_day(F.substring("t", 1, 10), "dd/MM/yyyy").alias("day")).collect()
+    assert [str(r["day"]) for r in day] == ["2024-10-06", "None", "None", "None"]
+
+
+def test_seconds_and_positions(spark):
+    frame = spark.sql(
+        "SELECT timestamp'1969-12-31 23:59:59.9' AS a, timestamp'1970-01-01 00:00:01.1' AS b,"
+        " timestamp_ntz'1969-12-31 23:59:59.9' AS c, timestamp_ntz'1970-01-01 00:00:01.1' AS d"
+    )
+    row = frame.select(seconds_between(frame, "a", "b"), seconds_between(frame, "c", "d"), *time_positions(frame, "b"), *time_positions(frame, "c"))
+    assert list(row.collect()[0]) == [2, 2, 1, 1_100_000, -1, 59_900_000]
