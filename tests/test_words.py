@@ -42,6 +42,15 @@ def test_same_counts_for_one_and_many_files(spark, tmp_path):
     assert results[0] == results[1] == sorted(expected(LINES * 50).items())
 
 
+def test_one_long_line_is_read_by_many_tasks(spark, conf, tmp_path):
+    conf(spark__sql__files__maxPartitionBytes="65536", spark__sql__files__openCostInBytes="0")
+    (tmp_path / "line.txt").write_text(" ".join(LINES * 3_000), encoding="utf-8")
+    assert spark.read.text(str(tmp_path / "line.txt"), lineSep=" ").rdd.getNumPartitions() > 5
+    run_word_count(spark, str(tmp_path / "line.txt"), str(tmp_path / "out"))
+    found = spark.read.csv(str(tmp_path / "out"), header=True, inferSchema=True)
+    assert counts(found) == expected(LINES * 3_000)
+
+
 def test_output_is_quoted_and_empty_input_gives_a_header(spark, tmp_path):
     (tmp_path / "in.txt").write_text("b a b")
     run_word_count(spark, str(tmp_path / "in.txt"), str(tmp_path / "out"))

@@ -129,9 +129,11 @@ def run_word_count(spark: SparkSession, source: str, target: str, pattern: str =
     """Word counts of text files as CSV with a header and quoted values, in word order.
 
     The files of a large result follow each other in name order; a small one is a single file.
+    ``pattern`` must not match blanks.
     """
-    counts = word_count(spark.read.text(source), "value", pattern)
-    counts.orderBy("word").write.csv(target, header=True, quoteAll=True)
+    # Rows end at blanks, not at line ends: a file that is one long line is still read by many tasks.
+    pieces = spark.read.text(source, lineSep=" ")
+    word_count(pieces, "value", pattern).orderBy("word").write.csv(target, header=True, quoteAll=True)
 
 
 def run_machine_logs_folder(spark: SparkSession, source: str, output: str) -> int:
