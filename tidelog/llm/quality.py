@@ -96,7 +96,8 @@ def votes(text: Column) -> Column:
 
 @dataclass
 class Labels:
-    """What expectation-maximisation found: the good share, and for each labeller how often a good (bad) document gets each vote."""
+    """What expectation-maximisation found: the good share, and for each labeller how often a good (bad) document that
+    gets a vote gets each."""
 
     prior: float
     good: np.ndarray  # labellers x votes (-1, 0, 1)
@@ -124,14 +125,18 @@ def fit_labels(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> L
     # a single firm bad vote starts as a doubt: bad signs are rare and each looks at something else
     belief = np.where((patterns < 0).any(1), np.minimum(belief, 0.3), belief)
     m = patterns.shape[1]
+    if not len(patterns):
+        return Labels(0.5, np.ones((m, 3)), np.ones((m, 3)))
     labels = Labels(0.5, np.zeros((m, 3)), np.zeros((m, 3)))
     for _ in range(rounds):
         up, down = counts * belief, counts * (1 - belief)
         labels.prior = float(np.clip((up.sum() + 1) / (counts.sum() + 2), 1e-4, 1 - 1e-4))
-        for v in (-1, 0, 1):
-            is_v = patterns == v
-            labels.good[:, v + 1] = ((up[:, None] * is_v).sum(0) + 1) / (up.sum() + 3)
-            labels.bad[:, v + 1] = ((down[:, None] * is_v).sum(0) + 1) / (down.sum() + 3)
+        for side, weight in ((labels.good, up), (labels.bad, down)):
+            voted = (weight[:, None] * (patterns != 0)).sum(0) + 2
+            for v in (-1, 1):
+                side[:, v + 1] = ((weight[:, None] * (patterns == v)).sum(0) + 1) / voted
+            # no vote says nothing
+            side[:, 1] = 1
         new = labels.posterior(patterns)
         moved = np.abs(new - belief).max()
         belief = new
