@@ -154,10 +154,12 @@ def reference_encoding(vocabulary):
 
 def test_bpe_equals_tiktoken(spark, docs, odd, vocabulary, reference_encoding):
     every = docs.select("text").union(odd.where("length(text) < 100000 or text is null").select("text"))
-    coded = every.withColumn("ids", bpe.encode(spark, vocabulary, F.col("text"))).withColumn("back", bpe.decode(spark, vocabulary, F.col("ids")))
+    every = every.withColumn("ids", F.lit("replaced")).withColumn("__texts", F.lit(1))
+    coded = bpe.decode(bpe.encode_and_decode(every, vocabulary), vocabulary, decoded="back")
+    assert bpe.encode(every, vocabulary).columns == ["text", "__texts", "ids"]
     for r in coded.withColumn("joined", bpe.joined_ids(F.col("ids"))).collect():
         ids = reference_encoding.encode_ordinary(r.text or "")
-        assert r.ids == ids and bytes(r.back) == (r.text or "").encode() and r.joined == ",".join(map(str, ids))
+        assert r.ids == ids and bytes(r.back) == bytes(r.decoded) == (r.text or "").encode() and r.joined == ",".join(map(str, ids))
 
 
 def test_bpe_cuts_as_tiktoken_does(vocabulary, reference_encoding):

@@ -51,8 +51,7 @@ def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = bpe.read_vocabulary(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
-    docs = _table(spark, folder, "documents").select("doc_id", bpe.encode(spark, vocabulary, F.col("text")).alias("ids"))
-    docs = docs.withColumn("decoded", bpe.decode(spark, vocabulary, F.col("ids")))
+    docs = bpe.encode_and_decode(_table(spark, folder, "documents").select("doc_id", "text"), vocabulary)
     return docs.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(bpe.joined_ids(F.col("ids")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
