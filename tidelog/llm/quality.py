@@ -13,10 +13,10 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +32,13 @@ INSULTS = frozenset(
     "imbecile jerk loser lowlife moron pathetic pig retard scum scumbag shit shithead slob stupid subhuman trash "
     "vermin whore worthless wretch".split()
 )
+_DECORATED = re.compile(r"[^\W_][^\w\s]{2,}(?=\s|\Z)")
+_BARS = re.compile(r"(?<!\S)[^\w\s]{1,2}(?!\S)")
+_SHORT = re.compile(r"\b[^\W\d_]{1,3}\b")
+_ENDS = re.compile(r"[.?!](?=\s|\Z)")
+_WORDS = re.compile(r"\w+")
 _LETTERS = re.compile(r"[^\W\d_]+")
-QUALITY = ("marks", "capitals", "word_run", "line_repeats", "separators", "word_length", "sentences", "variety")
+QUALITY = ("marks", "decorated", "capitals", "word_run", "line_repeats", "separators", "short_words", "word_length", "sentences", "variety")
 TOXICITY = ("insults", "different_insults", "insult_share")
 
 
@@ -46,39 +51,38 @@ def votes_of(text: str | None) -> tuple[list[int], list[int]]:
     tokens = text.split()
     n = len(tokens)
     if not n:
-        return [0, 0, 0, 0, 0, -1, 0, -1], [0] * len(TOXICITY)
+        return [0, 0, 0, 0, 0, 0, 0, -1, 0, -1], [0] * len(TOXICITY)
     letters = sum(map(len, _LETTERS.findall(text)))
-    chars = len(text)
-    blanks = chars - sum(map(len, tokens))
-    marks = (chars - blanks - letters) / max(1, chars - blanks)
+    chars = sum(map(len, tokens))
+    marks = 1 - sum(map(len, _WORDS.findall(text))) / chars
+    decorated = len(_DECORATED.findall(text)) / n
     upper = sum(map(str.isupper, tokens)) / n
-    runs = sum(a == b for a, b in zip(tokens, tokens[1:], strict=False)) / n
+    runs = sum(map(eq, tokens, tokens[1:])) / n
     lines = [x for x in text.split("\n") if x.strip()]
     repeats = 1 - len(set(lines)) / len(lines)
-    bars = sum(not any(map(str.isalnum, x)) for x in set(tokens)) and sum(len(x) == 1 and not x.isalnum() for x in tokens) / n
+    bars = len(_BARS.findall(text)) / n
+    short = len(_SHORT.findall(text)) / max(1, n - len(_BARS.findall(text)))
     length = letters / n
-    ends = sum(x[-1] in ".?!" for x in tokens) / n
-    variety = len(set(tokens)) / min(n, 2000) if n >= 20 else 0.5
+    ends = len(_ENDS.findall(text)) / n
+    variety = len(set(tokens)) / min(n, 2000)
 
-    def vote(bad: bool, good: bool) -> int:
-        return -1 if bad else 1 if good else 0
+    def vote(bad: bool, none: bool = False) -> int:
+        return 0 if none else -1 if bad else 1
 
     quality = [
-        vote(marks > 0.2, marks < 0.1),
-        vote(upper > 0.4, upper < 0.15),
-        vote(runs > 0.1, runs < 0.03),
-        vote(repeats > 0.4 and len(lines) > 3, repeats < 0.1 and len(lines) > 3),
-        vote(bars > 0.15, bars < 0.03),
-        vote(length < 2 or length > 14, 2.5 < length < 10),
-        vote(ends < 0.01 and n > 40 or ends > 0.6 and n > 20, 0.03 < ends < 0.35),
-        vote(variety < 0.15, variety > 0.3),
-    ]
-    hits = [w for w in re.findall(r"\w+", text.lower()) if w in INSULTS] if n else []
-    toxic = [
-        vote(len(hits) >= 2, not hits),
-        vote(len(set(hits)) >= 2, len(set(hits)) == 0),
-        vote(len(hits) / n > 0.004 and len(hits) > 1, len(hits) / n < 0.0005 or len(hits) == 0),
+        vote(marks > 0.2),
+        vote(decorated > 0.15),
+        vote(upper > 0.4, n < 10),
+        vote(runs > 0.1),
+        vote(repeats > 0.3, len(lines) < 4),
+        vote(bars > 0.1),
+        vote(short < 0.1, n < 30),
+        vote(length < 2 or length > 14),
+        vote(ends < 0.01 or ends > 0.6, n < 30),
+        vote(variety < 0.2, n < 30),
     ]
+    hits = [w for w in _WORDS.findall(text.lower()) if w in INSULTS]
+    toxic = [vote(len(hits) >= 2, len(hits) == 1), vote(len(set(hits)) >= 2, len(set(hits)) == 1), vote(len(hits) / n > 0.002, len(hits) == 1)]
     return quality, toxic
 
 
@@ -122,8 +126,8 @@ def fit_labels(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> L
     patterns, counts = patterns.astype(int), counts.astype(float)
     vote = patterns.sum(1)
     belief = np.where(vote > 0, 0.9, np.where(vote < 0, 0.1, 0.5))
-    # a single firm bad vote starts as a doubt: bad signs are rare and each looks at something else
-    belief = np.where((patterns < 0).any(1), np.minimum(belief, 0.3), belief)
+    # a single bad vote starts as a doubt: bad signs are rare, and each labeller looks at something else
+    belief = np.where((patterns < 0).any(1), np.minimum(belief, 0.1), belief)
     m = patterns.shape[1]
     if not len(patterns):
         return Labels(0.5, np.ones((m, 3)), np.ones((m, 3)))
