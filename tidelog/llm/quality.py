@@ -25,6 +25,8 @@ from tidelog.llm.common import packed, stored, unpacked
 #: Features of the scorer; rows it is trained on, about; parts they are trained in before averaging.
 FEATURES, SAMPLE_ROWS, PARTS = 1 << 16, 20_000, 8
 EPOCHS, RATE = 4, 0.5
+#: A labeller votes bad on at most this share of good documents.
+ALARM = 0.003
 #: Bytes hashed at once.
 SLICE = 1 << 20
 INSULTS = frozenset(
@@ -32,12 +34,8 @@ INSULTS = frozenset(
     "imbecile jerk loser lowlife moron pathetic pig retard scum scumbag shit shithead slob stupid subhuman trash "
     "vermin whore worthless wretch".split()
 )
-_DECORATED = re.compile(r"[^\W_][^\w\s]{2,}(?=\s|\Z)")
-_BARS = re.compile(r"(?<!\S)[^\w\s]{1,2}(?!\S)")
-_SHORT = re.compile(r"\b[^\W\d_]{1,3}\b")
-_ENDS = re.compile(r"[.?!](?=\s|\Z)")
+_ENDS = tuple(mark + blank for mark in ".?!" for blank in " \n")
 _WORDS = re.compile(r"\w+")
-_LETTERS = re.compile(r"[^\W\d_]+")
 QUALITY = ("marks", "decorated", "capitals", "word_run", "line_repeats", "separators", "short_words", "word_length", "sentences", "variety")
 TOXICITY = ("insults", "different_insults", "insult_share")
 
@@ -52,26 +50,28 @@ def votes_of(text: str | None) -> tuple[list[int], list[int]]:
     n = len(tokens)
     if not n:
         return [0, 0, 0, 0, 0, 0, 0, -1, 0, -1], [0] * len(TOXICITY)
-    letters = sum(map(len, _LETTERS.findall(text)))
-    chars = sum(map(len, tokens))
-    marks = 1 - sum(map(len, _WORDS.findall(text))) / chars
-    decorated = len(_DECORATED.findall(text)) / n
+    chars, different = sum(map(len, tokens)), set(tokens)
+    words = _WORDS.findall(text.lower())
+    lengths = list(map(len, words))
+    marks = 1 - min(1, sum(lengths) / chars)
+    decorated = sum(not x[-1].isalnum() and len(x) > 2 and not x[-2].isalnum() for x in tokens) / n
     upper = sum(map(str.isupper, tokens)) / n
     runs = sum(map(eq, tokens, tokens[1:])) / n
     lines = [x for x in text.split("\n") if x.strip()]
     repeats = 1 - len(set(lines)) / len(lines)
-    bars = len(_BARS.findall(text)) / n
-    short = len(_SHORT.findall(text)) / max(1, n - len(_BARS.findall(text)))
-    length = letters / n
-    ends = len(_ENDS.findall(text)) / n
-    variety = len(set(tokens)) / min(n, 2000)
+    signs = {x for x in different if len(x) <= 2 and not any(map(str.isalnum, x))}
+    bars = sum(map(signs.__contains__, tokens)) / n if signs else 0
+    short = sum(map(lengths.count, (1, 2, 3))) / max(1, len(words))
+    length = sum(lengths) / n
+    ends = sum(map(text.count, _ENDS)) / n
+    variety = len(different) / min(n, 2000)
 
     def vote(bad: bool, none: bool = False) -> int:
         return 0 if none else -1 if bad else 1
 
     quality = [
         vote(marks > 0.2),
-        vote(decorated > 0.15),
+        vote(decorated > 0.2),
         vote(upper > 0.4, n < 10),
         vote(runs > 0.1),
         vote(repeats > 0.3, len(lines) < 4),
@@ -81,7 +81,7 @@ def votes_of(text: str | None) -> tuple[list[int], list[int]]:
         vote(ends < 0.01 or ends > 0.6, n < 30),
         vote(variety < 0.2, n < 30),
     ]
-    hits = [w for w in _WORDS.findall(text.lower()) if w in INSULTS]
+    hits = [w for w in words if w in INSULTS] if not INSULTS.isdisjoint(words) else []
     toxic = [vote(len(hits) >= 2, len(hits) == 1), vote(len(set(hits)) >= 2, len(set(hits)) == 1), vote(len(hits) / n > 0.002, len(hits) == 1)]
     return quality, toxic
 
@@ -121,8 +121,12 @@ class Labels:
         return right / (right + wrong)
 
 
-def fit_labels(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> Labels:
-    """Expectation-maximisation over vote patterns; starts from the majority vote."""
+def fit_labels(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, alarm: float = 1.0) -> Labels:
+    """Expectation-maximisation over vote patterns; starts from the majority vote.
+
+    ``alarm`` bounds how often a labeller may vote bad on good documents: without it, a defect that only few labellers
+    see can be taken for a habit of good documents.
+    """
     patterns, counts = patterns.astype(int), counts.astype(float)
     vote = patterns.sum(1)
     belief = np.where(vote > 0, 0.9, np.where(vote < 0, 0.1, 0.5))
@@ -139,6 +143,9 @@ def fit_labels(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> L
             voted = (weight[:, None] * (patterns != 0)).sum(0) + 2
             for v in (-1, 1):
                 side[:, v + 1] = ((weight[:, None] * (patterns == v)).sum(0) + 1) / voted
+        labels.good[:, 0] = np.minimum(labels.good[:, 0], alarm)
+        labels.good[:, 2] = np.maximum(labels.good[:, 2], 1 - alarm)
+        for side in (labels.good, labels.bad):
             # no vote says nothing
             side[:, 1] = 1
         new = labels.posterior(patterns)
@@ -273,7 +280,7 @@ def fit_quality(frame: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -
     found = []
     for task, names in (("quality", QUALITY), ("toxicity", TOXICITY)):
         table = np.array([list(x[task]) for x in patterns["votes"]], int).reshape(-1, len(names))
-        found.append(fit_labels(table, counts))
+        found.append(fit_labels(table, counts, alarm=ALARM))
     share = rows / max(1.0, counts.sum())
     sample = frame.select(F.col(f"`{text}`").alias("text")).where("text is not null")
     if share < 1:
