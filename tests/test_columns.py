@@ -2,7 +2,7 @@ import csv
 
 import pytest
 
-from tidelog.operators.columns import sanitize_columns, with_sanitized_columns
+from tidelog.operators.columns import with_sanitized_columns
 from tidelog.plans.flows import ingest_csv_to_parquet
 
 
@@ -10,8 +10,8 @@ from tidelog.plans.flows import ingest_csv_to_parquet
     ("given", "expected"),
     [("plain", "plain"), (" outer ", "_outer_"), ("in between", "in_between"), ("two  blanks", "two__blanks"), ("a\tb", "a\tb")],
 )
-def test_blanks_become_underscores(given, expected):
-    assert sanitize_columns([given]) == [expected]
+def test_blanks_become_underscores(spark, given, expected):
+    assert with_sanitized_columns(spark.createDataFrame([(1,)], [given])).columns == [expected]
 
 
 @pytest.mark.parametrize("names", [("a b", "a_b"), ("A b", "a_b")])

@@ -7,7 +7,7 @@ import regex
 from pyspark.sql import functions as F
 
 from tidelog.functions.geo import great_circle_miles
-from tidelog.functions.text import after_last, cut_at_first_blank, has_letters, words
+from tidelog.functions.text import after_last, cut_at_first_blank, has_letter_or_digit, words
 from tidelog.functions.time import parse_day, parse_timestamp, seconds_between, time_positions
 
 LETTERS = "ab Zé:-'9\t́ß語\U0001d7ce. "
@@ -28,7 +28,7 @@ def test_cutting_text(spark):
 
 def test_words(spark):
     frame = spark.createDataFrame([(t,) for t in texts(400)], "t string")
-    for row in frame.select("t", F.filter(words(F.col("t")), has_letters).alias("words")).collect():
+    for row in frame.select("t", F.filter(words(F.col("t")), has_letter_or_digit).alias("words")).collect():
         found = regex.findall(r"[\p{L}\p{M}\p{N}']+", row["t"].lower())
         assert row["words"] == [word for word in found if word.strip("'")]
 

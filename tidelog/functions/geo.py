@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Mean radius of the globe and the international mile, both in metres.
-GLOBE_RADIUS = 6_371_000.0
-MILE = 1_609.344
+GLOBE_RADIUS_METRES = 6_371_000.0
+MILE_METRES = 1_609.344
 
 
 def great_circle_miles(lat_a: Column, lon_a: Column, lat_b: Column, lon_b: Column) -> Column:
@@ -18,4 +18,4 @@ def great_circle_miles(lat_a: Column, lon_a: Column, lat_b: Column, lon_b: Colum
     # Rounding can push h just above 1 for opposite points, where asin would give NaN. `least`
     # skips nulls, so it must not see a null h.
     clamped = F.when(h.isNotNull(), F.least(h, F.lit(1.0)))
-    return 2 * GLOBE_RADIUS * F.asin(F.sqrt(clamped)) / MILE
+    return 2 * GLOBE_RADIUS_METRES * F.asin(F.sqrt(clamped)) / MILE_METRES

@@ -17,7 +17,7 @@ def words(text: Column, pattern: str = WORD_PATTERN) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
 
 
-def has_letters(word: Column) -> Column:
+def has_letter_or_digit(word: Column) -> Column:
     """False for words made of apostrophes only."""
     return F.btrim(word, F.lit("'")) != ""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.functions.text import WORD_PATTERN, has_letters, words
+from tidelog.functions.text import WORD_PATTERN, has_letter_or_digit, words
 
 
 def word_count(lines: DataFrame, text: str = "value", pattern: str = WORD_PATTERN) -> DataFrame:
@@ -15,7 +15,7 @@ def word_count(lines: DataFrame, text: str = "value", pattern: str = WORD_PATTER
     """
     return (
         lines.select(F.explode(words(F.col(text), pattern)).alias("word"))
-        .where(has_letters(F.col("word")))
+        .where(has_letter_or_digit(F.col("word")))
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("count"))
     )

@@ -125,14 +125,14 @@ def run_distance(spark: SparkSession, source: str, target: str) -> None:
     great_circle_distance(spark.read.parquet(source)).write.mode("append").parquet(target)
 
 
-def run_word_count(spark: SparkSession, source: str, target: str, pattern: str = WORD_PATTERN) -> None:
+def run_word_count(spark: SparkSession, source: str, target: str, pattern: str = WORD_PATTERN, line_end: str | None = None) -> None:
     """Word counts of text files as CSV with a header and quoted values, in word order.
 
     The files of a large result follow each other in name order; a small one is a single file.
-    ``pattern`` must not match blanks.
+    Files are cut at line ends and so read by many tasks. For texts whose lines are very long, ``line_end=" "`` cuts at
+    blanks instead; ``pattern`` must then not match blanks.
     """
-    # Rows end at blanks, not at line ends: a file that is one long line is still read by many tasks.
-    pieces = spark.read.text(source, lineSep=" ")
+    pieces = spark.read.text(source, lineSep=line_end)
     word_count(pieces, "value", pattern).orderBy("word").write.csv(target, header=True, quoteAll=True)
 
 
