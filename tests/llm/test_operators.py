@@ -490,7 +490,7 @@ def test_html_odd_pages(spark):
 def test_quality_on_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
-    model = quality.fit_quality(docs, rows=3000)
+    model = quality.fit_quality(docs, rows=3000, labels=labels)
     rows = quality.classify(docs, model).join(labels, "doc_id").collect()
     good = [r for r in rows if r.quality and not r.toxic]
     assert sum(r.keep for r in good) >= 0.99 * len(good)
@@ -500,6 +500,30 @@ def test_quality_on_labels(spark):
     assert sum((r.score > 0.5) == bool(r.quality) for r in rows) >= 0.95 * len(rows)
 
 
+def test_toxicity_on_held_out_labels(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    third = F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0
+    model = quality.fit_quality(docs, rows=3000, labels=labels.where(~third))
+    rows = quality.classify(docs, model).join(labels.where(third), "doc_id").collect()
+    toxic, good = [r for r in rows if r.toxic], [r for r in rows if r.quality and not r.toxic]
+    assert sum(not r.keep for r in toxic) >= 0.95 * len(toxic)
+    assert sum(r.keep for r in good) >= 0.99 * len(good)
+
+
+def test_marks_odd_labels(spark, odd, empty):
+    """Null keys and labels, repeated keys, keys without documents, and no labels at all."""
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    some = spark.createDataFrame([(1, 1), (2, None), (None, 1), (4, 1), (4, 0), (99, 0), (6, 0)], "doc_id long, toxic int")
+    for table in (odd, empty):
+        for labels in (none, some):
+            assert quality.learn_marks(table, labels) == {}
+    texts = [(k, f"plain words number{k} " + ("badwordish stay" if k % 5 == 0 else "stay")) for k in range(200)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    marks = quality.learn_marks(frame, frame.select("doc_id", (F.col("doc_id") % 5 == 0).cast("int").alias("toxic")))
+    assert set(marks) == {"badwordish", "badwor*"} and min(marks.values()) > 4
+
+
 def test_labels_are_recovered():
     """Expectation-maximisation finds planted accuracies."""
     rng = np.random.default_rng(6)

@@ -5,12 +5,16 @@ vote patterns (a table whose size depends on the number of labellers alone) esti
 right and how likely a pattern is good. These posteriors are the labels from which a hashed linear scorer is trained,
 on a bounded sample, over words and letter-shape patterns, so that it also judges where few labellers vote.
 
-Toxicity is a second task with labellers of its own, made and trained in the same way.
+Toxicity is a second task with labellers of its own, made and trained in the same way. A word list knows one
+language only, so two of them read marks: words and word beginnings that stand in toxic documents of a labelled sample
+far more often than in its other documents.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
@@ -27,6 +31,10 @@ FEATURES, SAMPLE_ROWS, PARTS = 1 << 16, 20_000, 8
 EPOCHS, RATE = 4, 0.5
 #: A labeller votes bad on at most this share of good documents.
 ALARM = 0.003
+#: Marks are learnt from about this many labelled rows; at most so many are held.
+LABELLED_ROWS, MARKS = 20_000, 20_000
+#: Letters of a word's beginning; what a text's marks must weigh together, or one of them alone, to be a bad sign.
+BEGINNING, WEIGHT, STRONG = 6, 5.0, 4.8
 #: Bytes hashed at once.
 SLICE = 1 << 20
 INSULTS = frozenset(
@@ -37,13 +45,54 @@ INSULTS = frozenset(
 _ENDS = tuple(mark + blank for mark in ".?!" for blank in " \n")
 _WORDS = re.compile(r"\w+")
 QUALITY = ("marks", "decorated", "capitals", "word_run", "line_repeats", "separators", "short_words", "word_length", "sentences", "variety")
-TOXICITY = ("insults", "different_insults", "insult_share")
+TOXICITY = ("insults", "different_insults", "insult_share", "marks_together", "strongest_mark")
 
 
-def votes_of(text: str | None) -> tuple[list[int], list[int]]:
+def marks_of(words: set[str], marks: dict[str, float]) -> list[float]:
+    """The weights of a text's marks: for each different word the larger of its own and its beginning's."""
+    own = [max(marks.get(w, 0.0), marks.get(w[:BEGINNING] + "*", 0.0) if len(w) > BEGINNING else 0.0) for w in words]
+    return [x for x in own if x]
+
+
+def learn_marks(frame: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", rows: int = LABELLED_ROWS) -> dict[str, float]:
+    """Marks of toxic texts and their weights, from about ``rows`` of the ``labels`` (key, toxic).
+
+    A weight is the log of how much more often a mark stands in toxic texts, at the unfavourable end of one standard
+    error on both sides. The rows are drawn by a hash of the key; null keys, labels and texts teach nothing.
+    """
+    known = labels.select(F.col(f"`{key}`").alias("key"), F.col("toxic").cast("int").alias("toxic")).where("key IS NOT NULL AND toxic IS NOT NULL")
+    share = rows / max(1, known.count())
+    if share < 1:
+        known = known.where(F.pmod(F.xxhash64("key", F.lit(9)), F.lit(1_000_000)) < int(share * 1_000_000))
+    texts = frame.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).where("text IS NOT NULL")
+    # at most about ``rows`` keys
+    drawn = texts.join(F.broadcast(known.groupBy("key").agg(F.max("toxic").alias("toxic"))), "key").select("text", "toxic")
+
+    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            sides: tuple[Counter, Counter] = (Counter(), Counter())
+            for one, toxic in zip(part["text"], part["toxic"], strict=True):
+                words = set(_WORDS.findall(one.lower()))
+                sides[int(toxic > 0)].update(words | {w[:BEGINNING] + "*" for w in words if len(w) > BEGINNING} | {""})
+            names = list(sides[0].keys() | sides[1].keys())
+            yield pd.DataFrame({"mark": names, "toxic": [sides[1][x] for x in names], "clean": [sides[0][x] for x in names]})
+
+    counted = drawn.mapInPandas(count, "mark string, toxic long, clean long").groupBy("mark").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    # the empty mark counts the documents
+    counted = stored(counted, "marks")
+    total = counted.where("mark = ''").first()
+    if total is None or not total.toxic or not total.clean:
+        return {}
+    weight = F.log((F.col("toxic") - F.sqrt("toxic")) / total.toxic) - F.log((F.col("clean") + 1 + F.sqrt("clean")) / total.clean)
+    found = counted.where("mark <> '' AND toxic >= 3").withColumn("weight", weight).where("weight > 1.5").orderBy(F.desc("weight"), "mark").limit(MARKS)
+    return {r.mark: r.weight for r in found.collect()}
+
+
+def votes_of(text: str | None, marks: dict[str, float] | None = None) -> tuple[list[int], list[int]]:
     """Votes on quality and on toxicity: 1 good (not toxic), -1 bad (toxic), 0 none.
 
-    A text without words is bad by its variety and its word length, and has no vote on toxicity.
+    A text without words is bad by its variety and its word length, and has no vote on toxicity. Where marks are known,
+    a text without words of the list has no votes for that: the list knows one language only.
     """
     text = text or ""
     tokens = text.split()
@@ -53,7 +102,7 @@ def votes_of(text: str | None) -> tuple[list[int], list[int]]:
     chars, different = sum(map(len, tokens)), set(tokens)
     words = _WORDS.findall(text.lower())
     lengths = list(map(len, words))
-    marks = 1 - min(1, sum(lengths) / chars)
+    signed = 1 - min(1, sum(lengths) / chars)
     decorated = sum(not x[-1].isalnum() and len(x) > 2 and not x[-2].isalnum() for x in tokens) / n
     upper = sum(map(str.isupper, tokens)) / n
     runs = sum(map(eq, tokens, tokens[1:])) / n
@@ -70,7 +119,7 @@ def votes_of(text: str | None) -> tuple[list[int], list[int]]:
         return 0 if none else -1 if bad else 1
 
     quality = [
-        vote(marks > 0.2),
+        vote(signed > 0.2),
         vote(decorated > 0.2),
         vote(upper > 0.4, n < 10),
         vote(runs > 0.1),
@@ -82,16 +131,23 @@ def votes_of(text: str | None) -> tuple[list[int], list[int]]:
         vote(variety < 0.2, n < 30),
     ]
     hits = [w for w in words if w in INSULTS] if not INSULTS.isdisjoint(words) else []
-    toxic = [vote(len(hits) >= 2, len(hits) == 1), vote(len(set(hits)) >= 2, len(set(hits)) == 1), vote(len(hits) / n > 0.002, len(hits) == 1)]
-    return quality, toxic
-
-
-def votes(text: Column) -> Column:
+    unsure = len(hits) == 1 or bool(marks and not hits)
+    toxic = [vote(len(hits) >= 2, unsure), vote(len(set(hits)) >= 2, unsure or len(set(hits)) == 1), vote(len(hits) / n > 0.002, unsure)]
+    if not marks:
+        return quality, [*toxic, 0, 0]
+    known = set(words)
+    weights = marks_of(known, marks)
+    # long texts meet marks by chance
+    together, strongest = sum(weights) - math.log1p(len(known) / 100), max(weights, default=0.0)
+    return quality, [*toxic, vote(together > WEIGHT, together > WEIGHT / 2 and together <= WEIGHT), vote(strongest > STRONG, 0 < strongest <= STRONG)]
+
+
+def votes(text: Column, marks: dict[str, float]) -> Column:
     """Struct of the two arrays of votes."""
 
     def every(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in parts:
-            both = [votes_of(x if isinstance(x, str) else None) for x in texts]
+            both = [votes_of(x if isinstance(x, str) else None, marks) for x in texts]
             yield pd.DataFrame({"quality": [x[0] for x in both], "toxicity": [x[1] for x in both]})
 
     every.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
@@ -270,11 +326,16 @@ class QualityModel:
     toxicity: Labels
     scorer: Scorer
     toxic_scorer: Scorer
+    marks: dict[str, float]
 
 
-def fit_quality(frame: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -> QualityModel:
-    """Estimates the labellers over all documents and trains the scorers on about ``rows`` of them, drawn by a hash of the text."""
-    voted = frame.select(F.col(f"`{text}`").alias("text")).withColumn("votes", votes(F.col("text")))
+def fit_quality(frame: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS, labels: DataFrame | None = None, key: str = "doc_id") -> QualityModel:
+    """Estimates the labellers over all documents and trains the scorers on about ``rows`` of them, drawn by a hash of the text.
+
+    ``labels`` (key, toxic) give the marks of toxic texts; without them the labellers of marks never vote.
+    """
+    marks = learn_marks(frame, labels, text, key) if labels is not None else {}
+    voted = frame.select(F.col(f"`{text}`").alias("text")).withColumn("votes", votes(F.col("text"), marks))
     patterns = stored(voted.groupBy("votes").count(), "votes").toPandas()
     counts = patterns["count"].to_numpy(float)
     found = []
@@ -285,9 +346,9 @@ def fit_quality(frame: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -
     sample = frame.select(F.col(f"`{text}`").alias("text")).where("text is not null")
     if share < 1:
         sample = sample.where(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1_000_000)) < int(share * 1_000_000))
-    sample = stored(sample.withColumn("votes", votes(F.col("text"))), "quality-sample")
+    sample = stored(sample.withColumn("votes", votes(F.col("text"), marks)), "quality-sample")
     scorers = [train_scorer(sample.withColumn("p", posterior(labels, F.col(f"votes.{task}")))) for labels, task in zip(found, ("quality", "toxicity"), strict=True)]
-    return QualityModel(*found, *scorers)
+    return QualityModel(*found, *scorers, marks)
 
 
 def posterior(labels: Labels, pattern: Column) -> Column:
@@ -311,12 +372,12 @@ def classify(frame: DataFrame, model: QualityModel, text: str = "text") -> DataF
     odds, is above a half), and it is not toxic by the labellers, or the scorer where none of them votes. Null, empty
     and blank texts are not kept. Repeated rows are judged alike. An empty table gives an empty table.
     """
-    scorer, toxic_scorer = model.scorer, model.toxic_scorer
+    scorer, toxic_scorer, marks = model.scorer, model.toxic_scorer, model.marks
 
     def every(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in parts:
             listed = [x if isinstance(x, str) else None for x in texts]
-            both = [votes_of(x) for x in listed]
+            both = [votes_of(x, marks) for x in listed]
             rows = _rows(listed)
             p, q = (np.array([s.bias + float(s.weights[c] @ v) for c, v in rows]) for s in (scorer, toxic_scorer))
             yield pd.DataFrame({"quality": [x[0] for x in both], "toxicity": [x[1] for x in both], "p": p, "q": q})
