@@ -112,3 +112,31 @@ def test_tasks_do_not_need_the_package(tmp_path):
     environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd="/", env=environment, capture_output=True, text=True, timeout=300)
     assert "LINE fine" in done.stdout, done.stderr[-2000:]
+
+
+def test_no_line_leaves_a_damaged_member(spark, tmp_path):
+    whole = bytearray(zipped({"x.dat": "\n".join(f"line {n} {n * 7919 % 1009}" for n in range(50_000)).encode()}))
+    middle = len(whole) // 2
+    whole[middle : middle + 200] = bytes(200)
+    (tmp_path / "torn.zip").write_bytes(bytes(whole))
+    archives = read_archives(spark, str(tmp_path))
+    assert expand_archives(archives, ".dat", on_error="skip").count() == 0
+    with pytest.raises(Exception, match="BadZipFile|zlib.error"):
+        logs_from_archives(spark, str(tmp_path)).count()
+
+
+HEADER = "AA_ELEICAO;CD_PLEITO;SG_UF;CD_MUNICIPIO;NM_MUNICIPIO;NR_ZONA;NR_URNA_ESPERADA"
+
+
+def test_unequal_headers_are_refused(spark, tmp_path):
+    swapped = "AA_ELEICAO;CD_PLEITO;SG_UF;NR_ZONA;NM_MUNICIPIO;CD_MUNICIPIO;NR_URNA_ESPERADA"
+    for name, header in (("a", HEADER), ("b", swapped)):
+        (tmp_path / f"{name}.zip").write_bytes(zipped({"x.csv": f"{header}\n2024;1;TO;7;A;1;5\n"}))
+    with pytest.raises(ValueError, match="different headers"):
+        correspondence_from_archives(spark, str(tmp_path), "*.zip")
+
+
+def test_quoted_line_breaks_are_refused(spark, tmp_path):
+    (tmp_path / "a.zip").write_bytes(zipped({"x.csv": f'{HEADER}\n2024;1;TO;7;"A\nB";1;5\n'}))
+    with pytest.raises(Exception, match="record over several lines"):
+        correspondence_from_archives(spark, str(tmp_path), "*.zip").collect()

@@ -21,7 +21,7 @@ def final_plan(spark, name):
     [
         ("adjacent_pairs", 1),
         ("select_events", 0),
-        ("ordinal_pairs", 2),
+        ("ordinal_pairs", 1),
         ("first_facts", 1),
         ("word_count", 1),
         ("great_circle_distance", 0),

@@ -65,3 +65,11 @@ def test_a_key_with_most_rows_is_written_by_many_tasks(spark, conf, tmp_path):
     parts = {d.name: len(list(d.glob("part-*"))) for d in (tmp_path / "t").glob("k=*")}
     assert parts["k=hot"] >= 3 and all(n <= 8 for n in parts.values())
     assert spark.read.parquet(str(tmp_path / "t")).count() == 300_000
+
+
+def test_rows_that_differ_in_values_that_do_not_fit_all_stay(spark, tmp_path):
+    rows = [f"x;2024;1;TO;7;A;1;{machine}" for machine in ("x1", "x2", "3000000001", "5", "05")]
+    (tmp_path / "1.csv").write_text("\n".join([HEADER, *rows]))
+    assert run_correspondence_files(spark, str(tmp_path / "1.csv"), str(tmp_path / "out")) == 4
+    stored = spark.read.parquet(str(tmp_path / "out" / "parquet"))
+    assert [r.NR_URNA_ESPERADA for r in stored.collect()].count(None) == 3

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from tidelog.jobs.command import run_command
-from tidelog.plans.flows import correspondence_from_archives, run_correspondence, run_correspondence_files
+from tidelog.plans.flows import correspondence_text, run_correspondence, run_correspondence_files
 from tidelog.sources.archives import read_archives
 
 
@@ -19,7 +19,7 @@ def work(spark: SparkSession, source: str, output: str, params: str) -> int:
     glob = f"CESP_{turn}t_*_{stamp}.zip"
     if read_archives(spark, source, glob).select("archive").isEmpty():
         return run_correspondence_files(spark, f"{source}/unzipped/*.csv", output)
-    return run_correspondence(correspondence_from_archives(spark, source, glob), output)
+    return run_correspondence(correspondence_text(spark, source, glob), output)
 
 
 if __name__ == "__main__":

@@ -96,13 +96,16 @@ def ordinal_pairs(
     ``order`` (see ``split_hot_keys``). Result: key, ``ordinal``, the ``on``
     columns, and each ``carry`` column twice (``start_…``, ``end_…``).
 
-    ``(key, ordinal)`` is unique on both sides, so the join spreads evenly however the keys do.
+    Where no key is cut, starts and ends are numbered and brought together after one shuffle, without a join.
+    Where keys are cut, ``(key, ordinal)`` is unique on both sides, so the join spreads evenly however the keys do.
     """
     needed = list(dict.fromkeys([*order, *on, *carry]))
     marked = events.select(key, *needed, is_start.alias("_start"), is_end.alias("_end")).where(
         F.col("_start") | F.col("_end")
     )
     rows, chunks = split_hot_keys(marked, key, positions, rows_per_chunk)
+    if not chunks:
+        return _pairs_by_ordinal(rows, key, order, on, carry)
     starts = _number(rows.where("_start"), key, chunks, order)
     ends = _number(rows.where("_end"), key, chunks, order)
     return starts.select(key, "ordinal", *on, *[F.col(c).alias(f"start_{c}") for c in carry]).join(
@@ -112,6 +115,31 @@ def ordinal_pairs(
     )
 
 
+def _pairs_by_ordinal(rows: DataFrame, key: str, order: Sequence[str], on: Sequence[str], carry: Sequence[str]) -> DataFrame:
+    """Rows of both kinds, numbered for each kind; a start and an end of one number meet in a group.
+
+    The rows stay where ``repartition`` puts them: windows and groups need nothing but equal keys in one place.
+    """
+    kinds = F.filter(F.array(F.when(F.col("_start"), False), F.when(F.col("_end"), True)), lambda kind: kind.isNotNull())
+    present = [F.col(c).isNotNull() for c in (key, *on)]
+    numbered = (
+        rows.where(present[0])
+        .withColumn("_is_end", F.explode(kinds))
+        .repartition(key)
+        .withColumn("ordinal", F.row_number().over(Window.partitionBy(key, "_is_end").orderBy(*order)).cast("long"))
+    )
+    for there in present[1:]:
+        numbered = numbered.where(there)
+    carried = F.struct(F.lit(True).alias("_there"), *carry)
+    sides = {"start": ~F.col("_is_end"), "end": F.col("_is_end")}
+    return (
+        numbered.groupBy(key, "ordinal", *on)
+        .agg(*[F.first(F.when(of_side, carried), ignorenulls=True).alias(f"_{side}_row") for side, of_side in sides.items()])
+        .where("_start_row IS NOT NULL AND _end_row IS NOT NULL")
+        .select(key, "ordinal", *on, *[F.col(f"_{side}_row").getField(c).alias(f"{side}_{c}") for side in sides for c in carry])
+    )
+
+
 def _number(rows: DataFrame, key: str, chunks: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Running number from 1 within each key: number within the chunk plus rows in earlier chunks."""
     local = F.row_number().over(Window.partitionBy(key, *chunks).orderBy(*order))

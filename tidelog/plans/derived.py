@@ -86,6 +86,7 @@ def write_log_files(lines: DataFrame, path: str) -> None:
     )
     (
         lines.select("date", "event_id", line.alias("line"))
+        .repartitionByRange("date", "event_id")
         .sortWithinPartitions("date", "event_id")
         .select("date", "line")
         .write.partitionBy("date")

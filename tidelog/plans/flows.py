@@ -5,12 +5,13 @@ Each flow runs its transformation once. Counts and second outputs come from the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import logging
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.text import WORD_PATTERN
 from tidelog.operators.columns import with_sanitized_columns
-from tidelog.operators.dimensions import distinct_projection
 from tidelog.operators.distance import great_circle_distance
 from tidelog.operators.pairing import adjacent_pairs
 from tidelog.operators.report import report_lines, vote_report, with_report_names
@@ -21,7 +22,7 @@ from tidelog.schemas import CORRESPONDENCE_TYPES, FIRST_DAY, LOG_FIELDS, VOTE_AC
 from tidelog.session import settled
 from tidelog.sources.archives import archive_stem, expand_archives, read_archives
 from tidelog.sources.machine_logs import parse_log_lines, read_machine_logs, with_line_order
-from tidelog.sources.tables import read_correspondence, read_csv_untyped, typed_correspondence, write_partitioned
+from tidelog.sources.tables import distinct_correspondence, read_csv_untyped, typed_correspondence, write_partitioned
 
 
 def vote_marks(lines: DataFrame, since: str = FIRST_DAY) -> DataFrame:
@@ -32,8 +33,8 @@ def vote_marks(lines: DataFrame, since: str = FIRST_DAY) -> DataFrame:
     return with_line_order(votes).select(
         "machine",
         "event_time",
-        # Ties in time follow the lines of a file; a hash names the file in four bytes.
-        F.hash("file").alias("file_id"),
+        # Ties in time follow the names of the files, then their lines.
+        "file",
         "block",
         "line_id",
         F.col("message").contains(VOTE_START).alias("is_start"),
@@ -49,7 +50,7 @@ def vote_durations(marks: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> Da
         "event_time",
         F.col("is_start"),
         F.col("is_end"),
-        tie_break=["file_id", "block", "line_id"],
+        tie_break=["file", "block", "line_id"],
         rows_per_chunk=rows_per_chunk,
     )
     # Published names of the result.
@@ -70,13 +71,16 @@ def run_vote_durations(lines: DataFrame, output: str, since: str = FIRST_DAY) ->
     return stored.count()
 
 
-def logs_from_archives(spark: SparkSession, path: str, nested_suffix: str | None = None) -> DataFrame:
+def logs_from_archives(
+    spark: SparkSession, path: str, nested_suffix: str | None = None, on_error: str = "raise"
+) -> DataFrame:
     """Log lines straight out of archives, in the shape of ``read_machine_logs``.
 
     The archive name stands for the folder it would have been unpacked to, and the line number is
-    the position in the file.
+    the position in the file. What cannot be read fails the job unless ``on_error="skip"``.
     """
-    lines = expand_archives(read_archives(spark, path), member_suffix=".dat", nested_suffix=nested_suffix)
+    archives = read_archives(spark, path)
+    lines = expand_archives(archives, member_suffix=".dat", nested_suffix=nested_suffix, on_error=on_error)
     holder = F.coalesce("outer", "archive")
     named = lines.withColumn("_holder", holder).select(
         "line", F.concat_ws("/", archive_stem("_holder"), "member").alias("file"), F.col("line_no").alias("block")
@@ -93,26 +97,50 @@ def run_vote_report(lines: DataFrame, output: str, since: str = FIRST_DAY) -> in
 
 
 def correspondence_from_archives(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    """The machine/precinct table out of archives of semicolon CSV files: equal headers, a record per line."""
-    lines = expand_archives(read_archives(spark, path, glob), member_suffix="csv")
-    header = lines.where("line_no = 1").select("line").first()
-    if header is None:
+    """The machine/precinct table out of archives of semicolon CSV files."""
+    return typed_correspondence(correspondence_text(spark, path, glob))
+
+
+def correspondence_text(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """``correspondence_from_archives`` with every column as text.
+
+    All files must have the same header and a record per line; other headers, quoted line breaks and damaged archives
+    are errors.
+    """
+    lines = expand_archives(read_archives(spark, path, glob), member_suffix="csv", on_error="raise")
+    headers = [row["line"] for row in lines.where("line_no = 1").select("line").distinct().limit(2).collect()]
+    if not headers:
         raise ValueError(f"no csv file in the archives {glob} below {path}")
-    names = [name.strip().strip('"') for name in header["line"].split(";")]
+    if len(headers) > 1:
+        raise ValueError(f"csv files with different headers in the archives {glob} below {path}: {headers}")
+    names = [name.strip().strip('"') for name in headers[0].split(";")]
     schema = ", ".join(f"`{name}` string" for name in names)
-    rows = lines.where("line_no > 1 and line <> ''").select(F.from_csv("line", schema, {"sep": ";"}).alias("row"))
-    return typed_correspondence(rows.select("row.*"))
+    broken = F.length(F.regexp_replace("line", '[^"]', "")) % 2 == 1
+    place = F.concat_ws(" ", F.lit("record over several lines:"), "archive", "member", F.lit("line"), "line_no")
+    line = F.when(broken, F.raise_error(place).cast("string")).otherwise(F.col("line"))
+    rows = lines.where("line_no > 1 and line <> ''").select(F.from_csv(line, schema, {"sep": ";"}).alias("row"))
+    return rows.select("row.*")
+
 
+def run_correspondence(text: DataFrame, output: str) -> int:
+    """Distinct machine/precinct rows of an all-text table, one directory per state; returns the number of rows.
 
-def run_correspondence(table: DataFrame, output: str) -> int:
-    """Distinct machine/precinct rows, one directory per state; returns the number of rows."""
-    write_partitioned(distinct_projection(table, list(CORRESPONDENCE_TYPES)), f"{output}/parquet", ["SG_UF"])
-    return table.sparkSession.read.parquet(f"{output}/parquet").count()
+    How many values did not fit their type, and are null, is logged for each column.
+    """
+    distinct = distinct_correspondence(text)
+    misfits = [name for name in distinct.columns if name not in CORRESPONDENCE_TYPES]
+    seen = Observation("misfits")
+    counted = distinct.observe(seen, *[F.count(name).alias(name) for name in misfits])
+    write_partitioned(counted.select(*CORRESPONDENCE_TYPES), f"{output}/parquet", ["SG_UF"])
+    for name, count in seen.get.items():
+        if count:
+            logging.getLogger(__name__).warning("values that do not fit: %s: %d", name.removeprefix("_misfit_"), count)
+    return text.sparkSession.read.parquet(f"{output}/parquet").count()
 
 
 def run_correspondence_files(spark: SparkSession, path: str, output: str) -> int:
     """``run_correspondence`` on unpacked CSV files."""
-    return run_correspondence(read_correspondence(spark, path), output)
+    return run_correspondence(read_csv_untyped(spark, path, sep=";", encoding="ISO-8859-1"), output)
 
 
 def ingest_csv_to_parquet(spark: SparkSession, source: str, target: str) -> None:

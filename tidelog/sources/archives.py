@@ -48,8 +48,8 @@ def expand_archives(
     Input columns ``archive`` and ``content``. With ``nested_suffix`` the members so named are
     archives themselves and the lines come from inside them; ``outer`` holds their name, and they
     are spread over the cluster before they are opened, so a large outer archive keeps many tasks
-    busy. ``line_no`` counts from 1. An archive that cannot be read is logged and skipped, or fails
-    the job with ``on_error="raise"``.
+    busy. ``line_no`` counts from 1. An archive or member that cannot be read whole is logged and
+    skipped, with all its lines, or fails the job with ``on_error="raise"``.
     """
     if on_error not in ("skip", "raise"):
         raise ValueError(f"unknown on_error: {on_error}")
@@ -94,7 +94,9 @@ def _line_reader(suffix: str, encoding: str, on_error: str) -> Callable[[Batches
     def lines(batches: Batches) -> Iterator[tuple]:
         for archive, outer, packed in _opened(batches, on_error):
             for info in _chosen(packed, suffix):
-                with _tolerating(on_error, archive, info.filename), packed.open(info) as member:
+                with _tolerating(on_error, archive, info.filename):
+                    _check(packed, info)
+                    member = packed.open(info)
                     text = io.TextIOWrapper(member, encoding=encoding, errors="replace")
                     for number, line in enumerate(text, 1):
                         yield archive, outer, info.filename, number, line.removesuffix("\n")
@@ -134,6 +136,13 @@ def _chosen(packed: zipfile.ZipFile, suffix: str) -> list[zipfile.ZipInfo]:
     return [info for info in packed.infolist() if not info.is_dir() and info.filename.endswith(suffix)]
 
 
+def _check(packed: zipfile.ZipFile, info: zipfile.ZipInfo) -> None:
+    """Reads a member to its end, where its checksum is compared: no line may leave a damaged one."""
+    with packed.open(info) as member:
+        while member.read(1 << 20):
+            pass
+
+
 class _tolerating:
     """Logs an unreadable archive or member and goes on, unless errors are to be raised."""
 

@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.operators.dimensions import distinct_projection
 from tidelog.schemas import CORRESPONDENCE_TYPES
 
 
-def read_csv_untyped(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_csv_untyped(spark: SparkSession, path: str | list[str], sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
     """Headered CSV with every column as text: only the header line is read to plan."""
-    return spark.read.csv(path, header=True)
+    return spark.read.csv(path, header=True, sep=sep, encoding=encoding)
 
 
 def read_correspondence(
@@ -21,7 +22,7 @@ def read_correspondence(
     """Semicolon CSV of machines and precincts: the known columns by name, with known types.
 
     Naming the types saves the pass over all files that inference takes (``infer=True`` takes it).
-    Text that does not fit a type becomes null.
+    Text that does not fit a type becomes null; ``distinct_correspondence`` keeps rows apart that differ in it.
     """
     raw = spark.read.csv(path, sep=";", header=True, encoding=encoding, inferSchema=infer)
     return raw.select(*CORRESPONDENCE_TYPES) if infer else typed_correspondence(raw)
@@ -37,6 +38,18 @@ def typed_correspondence(raw: DataFrame) -> DataFrame:
     )
 
 
+def distinct_correspondence(raw: DataFrame) -> DataFrame:
+    """Distinct rows of an all-text frame as the known columns, cast to their types.
+
+    Values that do not fit their type are compared as text, so rows that differ only there all stay. Such values are
+    null in the result; how many there are of each column, once per distinct row, is logged when the result is used.
+    """
+    columns = [name for name, kind in CORRESPONDENCE_TYPES.items() if kind != "string"]
+    misfits = [F.when(F.col(n).try_cast(CORRESPONDENCE_TYPES[n]).isNull(), F.col(n)).alias(f"_misfit_{n}") for n in columns]
+    typed = [F.col(n).try_cast(kind).alias(n) if kind != "string" else F.col(n) for n, kind in CORRESPONDENCE_TYPES.items()]
+    return distinct_projection(raw.select(*typed, *misfits), [*CORRESPONDENCE_TYPES, *[f"_misfit_{n}" for n in columns]])
+
+
 def write_partitioned(frame: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Parquet with one directory per key value.
 
