@@ -74,3 +74,12 @@ def test_columns_are_pruned(spark, name, unread):
 @pytest.mark.parametrize("name", ["adjacent_pairs_chunked", "ordinal_pairs_chunked"])
 def test_chunked_queries_are_cut(spark, name):
     assert "_chunk0" in queries()[name](spark, FOLDER)._jdf.queryExecution().toString()
+
+
+def test_ordinal_pairs_at_scale(spark, conf):
+    """Without broadcasts, as for large tables: one scan, one shuffle and no join."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    plan = final_plan(spark, "ordinal_pairs")
+    assert plan.count("Exchange ") == 1 and plan.count("FileScan parquet") == 1 and "Join" not in plan
+    # pairs, facts, and the copies of the facts
+    assert final_plan(spark, "vote_report").count("Exchange ") <= 4
