@@ -7,7 +7,7 @@ on a bounded sample, over words and letter-shape patterns, so that it also judge
 
 Toxicity is a second task with labellers of its own, made and trained in the same way. A word list knows one
 language only, so two of them read marks: words and word beginnings that stand in toxic documents of a labelled sample
-far more often than in its other documents.
+far more often than in its other documents. A held-out part of the sample sets the weight of marks that counts.
 """
 
 from __future__ import annotations
@@ -31,9 +31,9 @@ FEATURES, SAMPLE_ROWS, PARTS = 1 << 16, 20_000, 8
 EPOCHS, RATE = 4, 0.5
 #: A labeller votes bad on at most this share of good documents.
 ALARM = 0.003
-#: Marks are learnt from about this many labelled rows; at most so many are held.
+#: Marks are learnt from, and their needed weight set by, about this many labelled rows; at most so many marks are held.
 LABELLED_ROWS, MARKS = 20_000, 20_000
-#: Letters of a word's beginning; what a text's marks must weigh together, or one of them alone, to be a bad sign.
+#: Letters of a word's beginning; the least that a text's marks must weigh together, or one of them alone, to be a bad sign.
 BEGINNING, WEIGHT, STRONG = 6, 5.0, 4.8
 #: Bytes hashed at once.
 SLICE = 1 << 20
@@ -54,19 +54,25 @@ def marks_of(words: set[str], marks: dict[str, float]) -> list[float]:
     return [x for x in own if x]
 
 
-def learn_marks(frame: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", rows: int = LABELLED_ROWS) -> dict[str, float]:
-    """Marks of toxic texts and their weights, from about ``rows`` of the ``labels`` (key, toxic).
-
-    A weight is the log of how much more often a mark stands in toxic texts, at the unfavourable end of one standard
-    error on both sides. The rows are drawn by a hash of the key; null keys, labels and texts teach nothing.
-    """
+def _labelled(frame: DataFrame, labels: DataFrame, text: str, key: str, rows: int) -> DataFrame:
+    """(text, toxic, held): about ``rows`` labelled texts, a quarter of them held out, both by a hash of the key."""
     known = labels.select(F.col(f"`{key}`").alias("key"), F.col("toxic").cast("int").alias("toxic")).where("key IS NOT NULL AND toxic IS NOT NULL")
     share = rows / max(1, known.count())
     if share < 1:
         known = known.where(F.pmod(F.xxhash64("key", F.lit(9)), F.lit(1_000_000)) < int(share * 1_000_000))
     texts = frame.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).where("text IS NOT NULL")
     # at most about ``rows`` keys
-    drawn = texts.join(F.broadcast(known.groupBy("key").agg(F.max("toxic").alias("toxic"))), "key").select("text", "toxic")
+    known = F.broadcast(known.groupBy("key").agg(F.max("toxic").alias("toxic")))
+    return texts.join(known, "key").select("text", "toxic", (F.pmod(F.xxhash64("key", F.lit(11)), F.lit(4)) == 0).alias("held"))
+
+
+def learn_marks(frame: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", rows: int = LABELLED_ROWS) -> dict[str, float]:
+    """Marks of toxic texts and their weights, from about three quarters of ``rows`` of the ``labels`` (key, toxic).
+
+    A weight is the log of how much more often a mark stands in toxic texts, at the unfavourable end of one standard
+    error on both sides. Null keys, labels and texts teach nothing.
+    """
+    drawn = _labelled(frame, labels, text, key, rows).where("NOT held").select("text", "toxic")
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -88,7 +94,28 @@ def learn_marks(frame: DataFrame, labels: DataFrame, text: str = "text", key: st
     return {r.mark: r.weight for r in found.collect()}
 
 
-def votes_of(text: str | None, marks: dict[str, float] | None = None) -> tuple[list[int], list[int]]:
+def together_of(weights: list[float], words: int) -> float:
+    """What a text's marks weigh together; long texts meet marks by chance."""
+    return sum(weights) - math.log1p(words / 100)
+
+
+def needed_weight(frame: DataFrame, labels: DataFrame, marks: dict[str, float], text: str = "text", key: str = "doc_id", rows: int = LABELLED_ROWS) -> float:
+    """The weight that at most ``ALARM`` of the held-out texts that are not toxic exceed, and ``WEIGHT`` at least.
+
+    The more rows marks are learnt from, the more weak ones there are, so no fixed weight fits every sample.
+    """
+
+    def weigh(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            each = [set(_WORDS.findall(one.lower())) for one in part["text"]]
+            yield pd.DataFrame({"weight": [together_of(marks_of(words, marks), len(words)) for words in each]})
+
+    clean = _labelled(frame, labels, text, key, rows).where("held AND toxic = 0").select("text")
+    found = clean.mapInPandas(weigh, "weight double").agg(F.percentile_approx("weight", 1 - ALARM, 100_000)).first()[0]
+    return max(WEIGHT, found if found is not None else WEIGHT)
+
+
+def votes_of(text: str | None, marks: dict[str, float] | None = None, needed: float = WEIGHT) -> tuple[list[int], list[int]]:
     """Votes on quality and on toxicity: 1 good (not toxic), -1 bad (toxic), 0 none.
 
     A text without words is bad by its variety and its word length, and has no vote on toxicity. Where marks are known,
@@ -137,17 +164,16 @@ def votes_of(text: str | None, marks: dict[str, float] | None = None) -> tuple[l
         return quality, [*toxic, 0, 0]
     known = set(words)
     weights = marks_of(known, marks)
-    # long texts meet marks by chance
-    together, strongest = sum(weights) - math.log1p(len(known) / 100), max(weights, default=0.0)
-    return quality, [*toxic, vote(together > WEIGHT, together > WEIGHT / 2 and together <= WEIGHT), vote(strongest > STRONG, 0 < strongest <= STRONG)]
+    together, strongest = together_of(weights, len(known)), max(weights, default=0.0)
+    return quality, [*toxic, vote(together > needed), vote(strongest > STRONG, 0 < strongest <= STRONG)]
 
 
-def votes(text: Column, marks: dict[str, float]) -> Column:
+def votes(text: Column, marks: dict[str, float], needed: float) -> Column:
     """Struct of the two arrays of votes."""
 
     def every(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in parts:
-            both = [votes_of(x if isinstance(x, str) else None, marks) for x in texts]
+            both = [votes_of(x if isinstance(x, str) else None, marks, needed) for x in texts]
             yield pd.DataFrame({"quality": [x[0] for x in both], "toxicity": [x[1] for x in both]})
 
     every.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
@@ -327,6 +353,7 @@ class QualityModel:
     scorer: Scorer
     toxic_scorer: Scorer
     marks: dict[str, float]
+    needed: float
 
 
 def fit_quality(frame: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS, labels: DataFrame | None = None, key: str = "doc_id") -> QualityModel:
@@ -335,7 +362,8 @@ def fit_quality(frame: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS, l
     ``labels`` (key, toxic) give the marks of toxic texts; without them the labellers of marks never vote.
     """
     marks = learn_marks(frame, labels, text, key) if labels is not None else {}
-    voted = frame.select(F.col(f"`{text}`").alias("text")).withColumn("votes", votes(F.col("text"), marks))
+    needed = needed_weight(frame, labels, marks, text, key) if marks else WEIGHT
+    voted = frame.select(F.col(f"`{text}`").alias("text")).withColumn("votes", votes(F.col("text"), marks, needed))
     patterns = stored(voted.groupBy("votes").count(), "votes").toPandas()
     counts = patterns["count"].to_numpy(float)
     found = []
@@ -346,9 +374,9 @@ def fit_quality(frame: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS, l
     sample = frame.select(F.col(f"`{text}`").alias("text")).where("text is not null")
     if share < 1:
         sample = sample.where(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1_000_000)) < int(share * 1_000_000))
-    sample = stored(sample.withColumn("votes", votes(F.col("text"), marks)), "quality-sample")
+    sample = stored(sample.withColumn("votes", votes(F.col("text"), marks, needed)), "quality-sample")
     scorers = [train_scorer(sample.withColumn("p", posterior(labels, F.col(f"votes.{task}")))) for labels, task in zip(found, ("quality", "toxicity"), strict=True)]
-    return QualityModel(*found, *scorers, marks)
+    return QualityModel(*found, *scorers, marks, needed)
 
 
 def posterior(labels: Labels, pattern: Column) -> Column:
@@ -372,12 +400,12 @@ def classify(frame: DataFrame, model: QualityModel, text: str = "text") -> DataF
     odds, is above a half), and it is not toxic by the labellers, or the scorer where none of them votes. Null, empty
     and blank texts are not kept. Repeated rows are judged alike. An empty table gives an empty table.
     """
-    scorer, toxic_scorer, marks = model.scorer, model.toxic_scorer, model.marks
+    scorer, toxic_scorer, marks, needed = model.scorer, model.toxic_scorer, model.marks, model.needed
 
     def every(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in parts:
             listed = [x if isinstance(x, str) else None for x in texts]
-            both = [votes_of(x, marks) for x in listed]
+            both = [votes_of(x, marks, needed) for x in listed]
             rows = _rows(listed)
             p, q = (np.array([s.bias + float(s.weights[c] @ v) for c, v in rows]) for s in (scorer, toxic_scorer))
             yield pd.DataFrame({"quality": [x[0] for x in both], "toxicity": [x[1] for x in both], "p": p, "q": q})
