@@ -322,6 +322,48 @@ def test_line_dedup_odd_rows(odd, empty):
     assert linededup.dedup_lines(empty).count() == 0
 
 
+def brute_passages(rows):
+    """Texts' units that go, by number, by comparing runs as they are."""
+    first, gone = {}, defaultdict(set)
+    for i, text in sorted(rows):
+        bodies = [u.strip(" ") for line in (text or "").split("\n") for u in re.split(r" (?<=[.!?…] )(?=[^ \t\n\x0b\f\r])", line)]
+        runs = set()
+        for k in range(len(bodies)):
+            runs.add(next(((k, e) for e in range(k + 1, len(bodies) + 1) if len("\n".join(bodies[k:e])) >= 40), None))
+            runs.add(next(((b, k + 1) for b in range(k, -1, -1) if len("\n".join(bodies[b : k + 1])) >= 40), None))
+        for b, e in sorted(runs - {None}):
+            if first.setdefault("\n".join(bodies[b:e]), (i, b)) != (i, b):
+                gone[i].update(range(b, e))
+    return {i: len(gone[i]) for i, _ in rows}
+
+
+def test_passages_equal_brute_force(docs, texts):
+    found = linededup.dedup_passages(docs).collect()
+    assert {r.doc_id: r.n_removed for r in found} == brute_passages(list(texts.items()))
+    assert all(r.text == texts[r.doc_id] for r in found if not r.n_removed)
+
+
+def test_planted_passages_of_one_to_six_lines_go(spark):
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 6))
+    line = lambda: " ".join(" ".join(word() for _ in range(9)) + "." for _ in range(2))
+    passages = {k: [line() for _ in range(1 + k % 6)] for k in range(60)}
+    rows = [(d * 100 + k, "\n".join([line(), *p, line()])) for d in range(2) for k, p in passages.items()]
+    rows += [(200 + k, f"{line()} {' '.join(p)} {line()}") for k, p in passages.items()]
+    found = {r.doc_id: r.text for r in linededup.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for (k, p), d in ((x, d) for x in passages.items() for d in range(3)):
+        own = dict(rows)[d * 100 + k]
+        gone = {0: own, 1: "\n".join(own.split("\n")[:: len(p) + 1]), 2: " ".join(x.strip() for x in own.split(" ".join(p)))}
+        assert found[d * 100 + k] == gone[d]
+
+
+def test_passages_odd_rows(odd, empty):
+    found = linededup.dedup_passages(odd).collect()
+    assert {(r.doc_id, r.text) for r in found if r.doc_id != 6} == {(i, t) for i, t in ODD if i != 6} and len(found) == len(ODD)
+    assert [(r.text, r.n_removed) for r in found if r.doc_id == 6] == [("the same line again and again, as it was before", 199)]
+    assert linededup.dedup_passages(empty).count() == 0
+
+
 # decontamination
 
 

@@ -46,7 +46,7 @@ def simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return linededup.dedup_lines(_table(spark, folder, "documents").select("doc_id", "text"))
+    return linededup.dedup_passages(_table(spark, folder, "documents").select("doc_id", "text"))
 
 
 def byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
