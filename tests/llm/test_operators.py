@@ -500,6 +500,20 @@ def test_html_by_template_alone(spark):
     assert {r.page_id: r.text for r in found} == {k: " ".join(f"word{k}x{j}" for j in range(40)) for k in range(8)}
 
 
+def test_html_template_decides_in_articles(spark):
+    """What is the same on all pages of a host goes, whatever it is called; short text that changes stays."""
+    for open_, close in (("<div id=c>", "</div>"),):
+        bodies = [f"{open_}<h1>Title {k}</h1><div class=b>Same words on all pages here</div><p>{' '.join(f'word{k}x{j}' for j in range(60))}</p>{close}" for k in range(6)]
+        found = htmltext.extract(pages_of(spark, bodies), F.lit("h")).collect()
+        assert {r.page_id: r.text for r in found} == {k: f"Title {k} " + " ".join(f"word{k}x{j}" for j in range(60)) for k in range(6)}
+
+
+def test_html_copies_keep_their_text(spark):
+    for open_, close in (("<article>", "</article>"), ("<div id=c>", "</div>")):
+        found = htmltext.extract(pages_of(spark, [f"{open_}<h1>Title</h1><p>The same article.</p>{close}"] * 3), F.lit("h")).collect()
+        assert [r.text for r in found] == ["Title The same article."] * 3
+
+
 def test_html_signatures_find_equal_vectors(spark):
     """Tokens share a class exactly if their counts agree on all pages."""
     pages = pages_of(spark, [f"<div id=a>{'<section><i>x</i></section><dl></dl>' * (k % 3)}</div>{'<table></table>' * (k % 2)}" for k in range(12)])

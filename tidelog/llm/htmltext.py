@@ -9,7 +9,7 @@ pages a host has.
 A class is valid if it is frequent and either is the class of what stands exactly once on every page or has two
 tokens or more. Valid classes nest by their paths; together they are the host's template, and the text between its
 tokens falls into slots: the slot of a text is the deepest template token above it. Slots are told apart by their place (navigation,
-footer, advert, ...), and where no article is marked up by their links and by whether their text ever changes.
+footer, advert, ...), by their links and by whether their text changes between pages that are not copies.
 What stands in the slots that remain is the main text.
 """
 
@@ -31,8 +31,6 @@ from tidelog.llm.common import packed, stored, unpacked
 FREQUENT = 0.3
 #: A slot with a larger share of its characters in links is a menu.
 LINKED = 0.5
-#: Outside marked articles a slot holds main text if its mean length is at least this share of the longest slot's.
-WEIGHTY = 0.2
 #: Token counts gathered in a task before they are handed on.
 GATHERED = 200_000
 _MASK = (1 << 64) - 1
@@ -165,7 +163,7 @@ def page_tokens(html: str) -> dict[int, list]:
     return tokens
 
 
-TOKENS = "host string, token long, above array<long>, flags int, signature long, pages long, chars long, linked long, first_text long, last_text long"
+TOKENS = "host string, token long, above array<long>, flags int, signature long, pages long, chars long, linked long, first_text long, last_text long, first_page long, last_page long"
 
 
 def _signed(x: int) -> int:
@@ -177,9 +175,9 @@ def count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[tuple[str, int], list] = {}
 
     def handed_on() -> pa.RecordBatch:
-        rows = [(h, _signed(t), [_signed(x) for x in v[0]], v[1], _signed(v[2]), *v[3:6], _signed(v[6]), _signed(v[7])) for (h, t), v in sums.items()]
+        rows = [(h, _signed(t), [_signed(x) for x in v[0]], v[1], _signed(v[2]), *v[3:6], *map(_signed, v[6:])) for (h, t), v in sums.items()]
         sums.clear()
-        kinds = [pa.string(), pa.int64(), pa.list_(pa.int64()), pa.int32(), *[pa.int64()] * 6]
+        kinds = [pa.string(), pa.int64(), pa.list_(pa.int64()), pa.int32(), *[pa.int64()] * 8]
         names = [x.split()[0] for x in TOKENS.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
 
@@ -192,7 +190,7 @@ def count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     cell = sums.get((row["host"], token))
                     if cell is None:
                         signed = _signed(body)
-                        sums[row["host"], token] = [up, flags, n * number & _MASK, 1, chars, linked, signed & _MASK, signed & _MASK]
+                        sums[row["host"], token] = [up, flags, n * number & _MASK, 1, chars, linked, signed & _MASK, signed & _MASK, number, number]
                         continue
                     cell[2] = cell[2] + n * number & _MASK
                     cell[3] += 1
@@ -201,6 +199,7 @@ def count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     signed = _signed(body)
                     cell[6] = min(_signed(cell[6]), signed) & _MASK
                     cell[7] = max(_signed(cell[7]), signed) & _MASK
+                    cell[8], cell[9] = min(cell[8], number, key=_signed), max(cell[9], number, key=_signed)
             if len(sums) >= GATHERED:
                 yield handed_on()
     if sums:
@@ -218,7 +217,7 @@ def deduce_templates(pages: DataFrame, host: Column, html: str = "html") -> Data
     low, high = F.col("signature").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("signature", 32)
     summed = tokens.groupBy("host", "token").agg(
         F.sum(low).alias("low"), F.sum(high).alias("high"), F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"),
-        F.min("first_text").alias("first_text"), F.max("last_text").alias("last_text"), F.max("flags").alias("flags"), F.max(F.size("above")).alias("depth"), F.first("above").alias("above"),
+        F.min("first_text").alias("first_text"), F.max("last_text").alias("last_text"), F.min("first_page").alias("first_page"), F.max("last_page").alias("last_page"), F.max("flags").alias("flags"), F.max(F.size("above")).alias("depth"), F.first("above").alias("above"),
     )
     mask = F.lit(0xFFFFFFFF)
     summed = summed.withColumn("signature", F.shiftleft((F.col("high") + F.shiftrightunsigned("low", 32)).bitwiseAND(mask), 32).bitwiseOR(F.col("low").bitwiseAND(mask)))
@@ -230,22 +229,23 @@ def deduce_templates(pages: DataFrame, host: Column, html: str = "html") -> Data
     template = valid.select("host", "token", "flags", "of", "depth")
     template = stored(template, "template")
     # each token's text goes to the slot of the deepest template token above it
-    places = summed.select("host", "token", "pages", "chars", "linked", "first_text", "last_text", F.explode("above").alias("slot"))
+    varies, distinct = F.col("first_text") != F.col("last_text"), F.col("first_page") != F.col("last_page")
+    worded = F.col("chars") > 0
+    places = summed.select("host", "token", "chars", "linked", (worded & varies).alias("varies"), (worded & ~varies & distinct).alias("same"), F.explode("above").alias("slot"))
     home = places.join(template.select("host", F.col("token").alias("slot"), "depth"), ["host", "slot"])
     deepest = home.groupBy("host", "token").agg(F.max("depth").alias("depth"))
     home = home.join(deepest, ["host", "token", "depth"])
     slots = home.groupBy("host", "slot").agg(
-        F.sum("chars").alias("chars"), F.sum("linked").alias("linked"), F.max("pages").alias("pages"),
-        F.min(F.when(F.col("chars") > 0, F.col("first_text"))).alias("first_text"), F.max(F.when(F.col("chars") > 0, F.col("last_text"))).alias("last_text"),
+        F.sum("chars").alias("chars"), F.sum("linked").alias("linked"), F.max("varies").alias("varies"), F.max("same").alias("same"),
     )
     slots = template.join(slots.withColumnRenamed("slot", "token"), ["host", "token"], "left")
-    mean = F.coalesce(F.col("chars"), F.lit(0)) / F.col("of")
     free = (F.col("flags").bitwiseAND(F.lit(1)) == 0) & (F.coalesce("linked", F.lit(0)) <= F.coalesce("chars", F.lit(0)) * LINKED)
-    free = free & ((F.col("of") == 1) | (F.col("chars") == 0) | ~F.col("first_text").eqNullSafe(F.col("last_text")))
-    slots = slots.withColumn("mean", F.when(free, mean).otherwise(0.0))
-    longest = slots.groupBy("host").agg(F.max("mean").alias("longest"))
-    slots = slots.join(longest, "host")
-    keep = free & (F.col("mean") >= F.col("longest") * WEIGHTY)
+    slots = slots.withColumn("free", free).withColumn("main", F.col("flags").bitwiseAND(F.lit(2)) > 0)
+    # where nothing changes from page to page, nothing tells an article from the template
+    told = slots.groupBy("host", "main").agg(F.max(F.col("free") & F.coalesce("varies", F.lit(False))).alias("told"))
+    slots = slots.join(told, ["host", "main"])
+    unchanging = F.col("told") & F.coalesce("same", F.lit(False)) & ~F.coalesce("varies", F.lit(False))
+    keep = F.col("free") & ~unchanging
     return slots.groupBy("host").agg(F.collect_list(F.struct("token", keep.alias("keep"))).alias("slots"))
 
 
