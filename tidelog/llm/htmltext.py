@@ -250,17 +250,19 @@ def deduce_templates(pages: DataFrame, host: Column, html: str = "html") -> Data
 
 
 def main_text(html: str | None, slots: dict[int, bool]) -> str:
-    """Text of the slots that remain: within marked articles all that is not aside, else what the template keeps."""
+    """Text of the slots that remain, and where an article is marked up of those in it."""
     if not html:
         return ""
     pieces: list[tuple[bool, str]] = []
-    marked = False
+    marked = worded = False
     open_piece: list[str] = []
     state: tuple[bool, bool] | None = None
 
     def close() -> None:
+        nonlocal worded
         if open_piece and state:
             words = " ".join(unescape("".join(open_piece)).split())
+            worded |= bool(words) and state[0]
             if words and state[1]:
                 pieces.append((state[0], words))
         open_piece.clear()
@@ -275,10 +277,10 @@ def main_text(html: str | None, slots: dict[int, bool]) -> str:
         if place.aside:
             continue
         kept = next((slots[h] for h in reversed(place.up) if h in slots), True)
-        state = (place.main, place.main or kept)
+        state = (place.main, kept)
         open_piece.append(data[0])
     close()
-    if marked and any(main for main, _ in pieces):
+    if marked and worded:
         pieces = [x for x in pieces if x[0]]
     return " ".join(words for _, words in pieces)
 
