@@ -357,6 +357,21 @@ def test_planted_passages_of_one_to_six_lines_go(spark):
         assert found[d * 100 + k] == gone[d]
 
 
+def test_pipeline_leaves_one_of_each_group_of_copies(spark):
+    """Exact copies leave in the line stage whole, so that no part of one passes near-dedup as a document."""
+    import corpus_pipeline
+
+    rng = np.random.default_rng(6)
+    word = lambda: "".join(rng.choice(list("abcdefghijkl"), 6))
+    line = lambda: " ".join(word() for _ in range(9))
+    groups = ["\n".join(line() for _ in range(1 + g)) for g in range(12)]
+    rows = [(d * 100 + g, t, "en", "s", len(t)) for d in range(5) for g, t in enumerate(groups)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for stage in (corpus_pipeline.lines, corpus_pipeline.near_duplicates):
+        docs = stage(spark, docs, "")
+    assert sorted((r.doc_id, r.text) for r in docs.collect()) == list(enumerate(groups))
+
+
 def test_passages_odd_rows(odd, empty):
     found = linededup.dedup_passages(odd).collect()
     assert {(r.doc_id, r.text) for r in found if r.doc_id != 6} == {(i, t) for i, t in ODD if i != 6} and len(found) == len(ODD)
