@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import ann, bpe, decontam, htmltext, langid, linededup, quality, sharding, simhash, warc
+from tidelog.llm import ann, bpe, conversations, decontam, htmltext, langid, linededup, quality, sharding, simhash, warc
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -80,6 +80,12 @@ def language_id_pages(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "host", "declared", "detected", "posterior", "accepted")
 
 
+def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    given = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    edits = conversations.repair(conversations.damaged(given))
+    return conversations.summary(edits, given.select(F.col("conv_id").alias("conv"))).withColumnRenamed("conv", "conv_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": html_extraction,
@@ -92,6 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_byte_level_bpe": byte_level_bpe,
         "op9_sharding": shards,
         "op10_language_id": language_id,
+        "op11_conversation_repair": conversation_repair,
         "language_id_pages": language_id_pages,
     }
 
