@@ -1,0 +1,127 @@
+"""Periodic runs against a search over all periods."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import time
+import zlib
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidelog.llm import periodic, queries
+
+TABLES = "/root/testdata/sf0.01"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def all_runs(words):
+    """Every period, every stretch; a stretch with a smaller period is that period's."""
+    n, found = len(words), {}
+    for q in range(1, n // 4 + 1):
+        at = 0
+        while at + q < n:
+            if words[at] != words[at + q]:
+                at += 1
+                continue
+            end = at + q
+            while end < n and words[end] == words[end - q]:
+                end += 1
+            if end - at >= max(6, 4 * q):
+                found.setdefault((at, end), q)
+            at = end - q + 1
+    return sorted(((s, e - s, q) for (s, e), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def expected(doc_id, text):
+    words = WORD.findall(text or "")
+    n, h = len(words), zlib.crc32(str(doc_id).encode())
+    if h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    runs = all_runs(words)
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=(None,) * 3)
+    listed = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
+    left = " ".join(w for i, w in enumerate(words) if i not in gone)
+    milli = 1000 * best[1] // best[2] if runs else None
+    return (len(runs), *best, milli, hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(left.encode()).hexdigest())
+
+
+def texts_with_runs(rng):
+    """Words over a small alphabet, with powers, powers of powers and runs that overlap."""
+    few = rng.choice([2, 2, 3, 4, 30])
+    words = []
+    while len(words) < rng.randrange(10, 160):
+        unit = [rng.randrange(few) for _ in range(rng.choice([1, 1, 2, 3, 4, 5, 7, 9, 13]))]
+        if rng.random() < 0.4:
+            unit = unit * rng.randrange(2, 9) + [rng.randrange(few) for _ in range(rng.randrange(3))]
+        times = rng.choice([1, 1, 2, 4, 5, 6])
+        words += (unit * times)[: len(unit) * times - rng.randrange(0, len(unit))]
+    return [b"%d" % w for w in words]
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_runs_equal_search(seed):
+    rng = random.Random(seed)
+    for _ in range(60):
+        words = texts_with_runs(rng)
+        assert periodic.find_runs(words) == all_runs(words), words
+
+
+def test_every_short_word_sequence():
+    for n in range(13):
+        for code in range(2**n):
+            words = [b"ab"[(code >> k) & 1 : ((code >> k) & 1) + 1] for k in range(n)]
+            assert periodic.find_runs(words) == all_runs(words), words
+
+
+def test_equal_hashes_are_compared(monkeypatch):
+    monkeypatch.setattr(periodic, "_MIX", periodic._MIX * 0)
+    rng = random.Random(3)
+    for _ in range(150):
+        words = texts_with_runs(rng)
+        # with all hashes equal only what follows from them may be missed: nothing is invented
+        assert set(periodic.find_runs(words)) <= set(all_runs(words)) and periodic.find_runs([b"x"] * 50) == [(0, 50, 1)]
+
+
+def test_long_texts_in_time():
+    """One word, one line among others, and two words at random: work stays near the length."""
+    rng = random.Random(1)
+    line = [b"l%d" % k for k in range(20)]
+    began = time.monotonic()
+    assert periodic.find_runs([b"from"] * 200_000) == [(0, 200_000, 1)]
+    assert periodic.find_runs([w for _ in range(3000) for w in [*line, b"%d" % rng.randrange(10**9)]]) == []
+    assert len(periodic.find_runs([w for _ in range(5000) for w in [*[b"a"] * 30, b"b"]])) == 5001
+    assert time.monotonic() - began < 60
+
+
+def test_query_equals_brute_force(spark):
+    table = spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "text").collect()
+    found = queries.periodic_run_detection(spark, TABLES).collect()
+    assert {r[0]: tuple(r)[1:] for r in found} == {r.doc_id: expected(r.doc_id, r.text) for r in table}
+    assert len(found) == len(table) and sum(r.n_runs > 0 for r in found) > 50
+
+
+def test_odd_rows(spark):
+    texts = [
+        (1, None), (2, ""), (3, " \t\r\n\x0b\x0c"), (4, "one"), (4, "one"), (None, "a a a a a a"), (5, "x" * 300_000), (6, "\x1c \x1c　 \x1c \x1c \x1c é é é é é é"),
+        (7, "\n".join(["again and again"] * 500)), (10, "a b " * 20),
+    ]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").withColumns({n: F.lit(1) for n in ("runs", "found", "start", "words")})
+    out = periodic.with_periodic_runs(frame).collect()
+    assert len(out) == len(texts)
+    for row in out:
+        words = WORD.findall(row.text or "")
+        assert (row.found.n_words, [tuple(r) for r in row.found.runs]) == (len(words), all_runs(words))
+        gone = {i for s, length, q in all_runs(words) for i in range(s + q, s + length)}
+        assert row.found.collapsed == " ".join(w for i, w in enumerate(words) if i not in gone)
+        assert (row.found.strongest is None) == (not row.found.runs)
+    assert periodic.with_periodic_runs(frame.limit(0)).count() == 0
+    kept = frame.select("doc_id", periodic.planted(F.col("doc_id"), F.col("text")).alias("text")).collect()
+    assert [r.text for r in kept][:4] == [None, "", " \t\r\n\x0b\x0c", "one"]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import ann, bpe, conversations, decontam, htmltext, langid, linededup, quality, sharding, simhash, warc
+from tidelog.llm import ann, bpe, conversations, decontam, htmltext, langid, linededup, periodic, quality, sharding, simhash, warc
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -86,6 +86,18 @@ def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.summary(edits, given.select(F.col("conv_id").alias("conv"))).withColumnRenamed("conv", "conv_id")
 
 
+def periodic_run_detection(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", periodic.planted(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic.with_periodic_runs(docs).withColumn("best", F.col("found.strongest"))
+    lines = F.transform("found.runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    # each run on a line of its own, the last one too
+    listed = F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("found.runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), F.sha2(listed, 256).alias("runs_sha256"), F.sha2("found.collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": html_extraction,
@@ -99,6 +111,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_sharding": shards,
         "op10_language_id": language_id,
         "op11_conversation_repair": conversation_repair,
+        "op12_periodic_runs": periodic_run_detection,
         "language_id_pages": language_id_pages,
     }
 
