@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import ann, bpe, conversations, decontam, htmltext, langid, linededup, periodic, quality, sharding, simhash, warc
+from tidelog.llm import ann, bpe, conversations, decontam, htmltext, langid, licenses, linededup, periodic, quality, sharding, simhash, warc
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -98,6 +98,17 @@ def periodic_run_detection(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.with_licenses(_table(spark, folder, "documents").select("doc_id", "text"), into="found")
+    base = F.filter("found.places", lambda p: p["template"] < len(licenses.PHRASES))
+    starts = F.transform(base, lambda p: p["start"])
+    labels = lambda places: F.array_join(F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"]))), ",")
+    return found.select(
+        "doc_id", "found.n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"), labels("found.places").alias("labels"), "found.score",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": html_extraction,
@@ -112,6 +123,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_language_id": language_id,
         "op11_conversation_repair": conversation_repair,
         "op12_periodic_runs": periodic_run_detection,
+        "op13_license_scan": license_scan,
         "language_id_pages": language_id_pages,
     }
 
