@@ -125,12 +125,11 @@ def test_a_key_with_a_third_of_the_rows_is_cut_into_even_chunks(spark):
         "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id % 1000) END AS key", "pmod(xxhash64(id), 1000000) AS at"
     )
     cut, chunks = split_hot_keys(rows, "key", [F.col("at")], rows_per_chunk=2_000)
-    assert chunks == ["_chunk0"]
-    sizes = {(r["key"], r["_chunk0"]): r["count"] for r in cut.groupBy("key", "_chunk0").count().collect()}
+    sizes = {(r["key"], r["_chunk0"], r["_chunk1"]): r["count"] for r in cut.groupBy("key", *chunks).count().collect()}
     assert sum(sizes.values()) == 300_000
-    hot = [n for (key, _), n in sizes.items() if key == "hot"]
-    assert 25 < len(hot) < 80 and max(hot) < 6_000
-    assert all(chunk == WHOLE for key, chunk in sizes if key != "hot")
+    hot = [n for (key, *_), n in sizes.items() if key == "hot"]
+    assert 100 < len(hot) < 400 and max(hot) < 2_000
+    assert all(chunk == [WHOLE, WHOLE] for key, *chunk in sizes if key != "hot")
     assert_ordered(cut.where("key = 'hot'"), chunks, F.struct("at"))
 
 
@@ -154,8 +153,7 @@ def test_equal_positions_are_cut_along_the_next(spark, base):
     assert cut.count() == 300_000
     assert_ordered(cut, chunks, F.struct("a", "b", "id"))
     sizes = [r["count"] for r in cut.groupBy(*chunks).count().collect()]
-    if base < 10**15:
-        assert len(chunks) == 3 and max(sizes) < 4_000
+    assert max(sizes) < 2_000
 
 
 def test_pairs_of_one_key_at_one_moment(spark):
@@ -166,18 +164,56 @@ def test_pairs_of_one_key_at_one_moment(spark):
         assert result(run_ordinal(frame, rows_per_chunk)) == brute_ordinal(rows)
 
 
-def test_lookup_is_bounded(spark):
-    rows = spark.range(50_000).selectExpr("id % 500 AS key", "id AS at")
-    cut, chunks = split_hot_keys(rows, "key", [F.col("at")], rows_per_chunk=1, max_draws=25_000)
-    assert cut.count() == 50_000
-    assert 2_000 < cut.select("key", *chunks).distinct().where(F.col("_chunk0") != WHOLE).count() <= 6_250
+@pytest.mark.parametrize("seed", range(6))
+def test_chunks_keep_the_order_of_rows_that_were_not_drawn(spark, seed):
+    """A few rows in hundreds are drawn: others have smaller, larger, null or single other positions."""
+    rand = random.Random(seed)
+    mostly = lambda value, other: value if rand.random() < 0.995 else rand.choice(other)
+    first = [lambda: mostly(5, [None, -(2**62), 4, 6, 2**62]), lambda: rand.choice([3, 3, 3, rand.randrange(10**6)])][seed % 2]
+    second = [lambda: mostly(rand.randrange(3), [None, -9, 9]), lambda: mostly(7, [None, 6, 8]), lambda: mostly(None, [1, 2])][seed % 3]
+    rows = [(first(), second(), rand.randrange(2**50)) for _ in range(60_000)]
+    frame = spark.createDataFrame(rows, "a long, b long, c long").withColumn("key", F.lit("k"))
+    cut, chunks = split_hot_keys(frame, "key", [F.col("a"), F.col("b"), F.col("c")], rows_per_chunk=6_400)
+    place = [F.struct(F.col(c).isNotNull(), c) for c in "abc"]
+    spans = cut.groupBy(*chunks).agg(F.min(F.struct(*place)).alias("low"), F.max(F.struct(*place)).alias("high"), F.count("*").alias("n")).orderBy(*chunks).collect()
+    key = lambda x: [(f[0], f[1] or 0) for f in x]
+    assert all(key(x["high"]) < key(y["low"]) for x, y in zip(spans, spans[1:], strict=False))
+    assert sum(s["n"] for s in spans) == 60_000
+    if seed % 3 < 2:
+        assert max(s["n"] for s in spans) < 6_400
+
+
+def test_tenfold_rows_make_chunks_of_the_same_size(spark):
+    largest = []
+    for rows in (40_000, 400_000):
+        frame = spark.range(rows).select(F.lit("k").alias("key"), F.pmod(F.xxhash64("id"), F.lit(10**9)).alias("at"))
+        cut, chunks = split_hot_keys(frame, "key", [F.col("at")], rows_per_chunk=4_000)
+        sizes = [r["count"] for r in cut.groupBy(*chunks).count().collect()]
+        assert sum(sizes) == rows
+        largest.append(max(sizes))
+    assert largest[1] < 1.5 * largest[0] and max(largest) < 4_000
+
+
+def test_no_job_runs_while_a_plan_is_built(spark):
+    frame = spark.createDataFrame(events(5, 500), SCHEMA)
+    tracker, group = spark.sparkContext.statusTracker(), "building"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        built = run_adjacent(frame, 20), run_ordinal(frame, 20)
+        assert not tracker.getJobIdsForGroup(group)
+        for one in built:
+            one.collect()
+        assert tracker.getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_keys_in_one_piece_need_one_shuffle(spark):
     frame = spark.createDataFrame(events(5, 500), SCHEMA)
     plan = plan_of(run_adjacent(frame, 1_000_000))
     final = plan.split("== Initial Plan ==")[0]
-    assert final.count("Exchange hashpartitioning") == 1 and "Union" not in final and final.count("Window ") == 1
+    # one of the rows, one of the draw that looks for heavy keys
+    assert final.count("Exchange hashpartitioning") <= 2 and "Union" not in final and final.count("Window ") == 1
 
 
 def test_log_example(spark):

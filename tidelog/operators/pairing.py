@@ -29,7 +29,8 @@ def adjacent_pairs(
     orders events with equal times; where it does not decide either, ends come first. Result: key,
     ``start_time``, ``end_time``, ``seconds``.
 
-    One shuffle, on key and chunk, of the columns needed.
+    One shuffle, on key and chunk, of the columns needed. The rows of a heavy key are cut into chunks
+    (``split_hot_keys``), and only the borders of chunks are compared along the key.
     """
     marked = events.select(key, time, *tie_break, is_start.alias("_start"), is_end.alias("_end")).where(
         F.col("_start") | F.col("_end")
@@ -39,14 +40,13 @@ def adjacent_pairs(
     rows, chunks = split_hot_keys(marked, key, positions, rows_per_chunk)
 
     along = Window.partitionBy(key, *chunks).orderBy(*_event_order(time, tie_break))
-    pairs = (
+    within = (
         rows.withColumn("_next_time", F.lead(time).over(along))
         .withColumn("_next_end", F.lead("_end").over(along))
         .where(F.col("_start") & F.col("_next_end"))
         .select(key, F.col(time).alias("start_time"), F.col("_next_time").alias("end_time"))
     )
-    if chunks:
-        pairs = pairs.unionByName(_pairs_across_chunks(rows, key, chunks, time, tie_break))
+    pairs = within.unionByName(_pairs_across_chunks(rows, key, chunks, time, tie_break))
     return pairs.withColumn("seconds", seconds_between(pairs, "start_time", "end_time"))
 
 
@@ -96,40 +96,29 @@ def ordinal_pairs(
     ``order`` (see ``split_hot_keys``). Result: key, ``ordinal``, the ``on``
     columns, and each ``carry`` column twice (``start_…``, ``end_…``).
 
-    Where no key is cut, starts and ends are numbered and brought together after one shuffle, without a join.
-    Where keys are cut, ``(key, ordinal)`` is unique on both sides, so the join spreads evenly however the keys do.
+    Keys in one piece: starts and ends are numbered and brought together after one shuffle, without a join.
+    Keys that are cut: numbers within a chunk, plus the rows of earlier chunks, joined back; then starts and ends meet by
+    ``(key, ordinal)``, which spreads evenly however the keys do. Without a heavy key nothing of this runs.
     """
     needed = list(dict.fromkeys([*order, *on, *carry]))
     marked = events.select(key, *needed, is_start.alias("_start"), is_end.alias("_end")).where(
-        F.col("_start") | F.col("_end")
+        (F.col("_start") | F.col("_end")) & F.col(key).isNotNull()
     )
     rows, chunks = split_hot_keys(marked, key, positions, rows_per_chunk)
-    if not chunks:
-        return _pairs_by_ordinal(rows, key, order, on, carry)
-    starts = _number(rows.where("_start"), key, chunks, order)
-    ends = _number(rows.where("_end"), key, chunks, order)
-    return starts.select(key, "ordinal", *on, *[F.col(c).alias(f"start_{c}") for c in carry]).join(
-        ends.select(key, "ordinal", *on, *[F.col(c).alias(f"end_{c}") for c in carry]),
-        [key, "ordinal", *on],
-        "inner",
-    )
-
-
-def _pairs_by_ordinal(rows: DataFrame, key: str, order: Sequence[str], on: Sequence[str], carry: Sequence[str]) -> DataFrame:
-    """Rows of both kinds, numbered for each kind; a start and an end of one number meet in a group.
-
-    The rows stay where ``repartition`` puts them: windows and groups need nothing but equal keys in one place.
-    """
     kinds = F.filter(F.array(F.when(F.col("_start"), False), F.when(F.col("_end"), True)), lambda kind: kind.isNotNull())
-    present = [F.col(c).isNotNull() for c in (key, *on)]
-    numbered = (
-        rows.where(present[0])
-        .withColumn("_is_end", F.explode(kinds))
-        .repartition(key)
-        .withColumn("ordinal", F.row_number().over(Window.partitionBy(key, "_is_end").orderBy(*order)).cast("long"))
-    )
-    for there in present[1:]:
-        numbered = numbered.where(there)
+    kept = rows.withColumn("_is_end", F.explode(kinds)).select(key, "_is_end", *chunks, *needed)
+    whole = F.col(chunks[0]) == WHOLE
+    # The rows stay where repartition puts them: windows and groups need nothing but equal keys in one place.
+    along = Window.partitionBy(key, "_is_end").orderBy(*order)
+    light = kept.where(whole).repartition(key).withColumn("ordinal", F.row_number().over(along).cast("long"))
+    heavy = _number(kept.where(~whole), [key, "_is_end"], chunks, order)
+    return _meet(light, key, on, carry).unionByName(_meet(heavy, key, on, carry))
+
+
+def _meet(numbered: DataFrame, key: str, on: Sequence[str], carry: Sequence[str]) -> DataFrame:
+    """A start and an end of one number meet in a group of their own, so large keys spread over many groups."""
+    for name in on:
+        numbered = numbered.where(F.col(name).isNotNull())
     carried = F.struct(F.lit(True).alias("_there"), *carry)
     sides = {"start": ~F.col("_is_end"), "end": F.col("_is_end")}
     return (
@@ -140,19 +129,16 @@ def _pairs_by_ordinal(rows: DataFrame, key: str, order: Sequence[str], on: Seque
     )
 
 
-def _number(rows: DataFrame, key: str, chunks: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Running number from 1 within each key: number within the chunk plus rows in earlier chunks."""
-    local = F.row_number().over(Window.partitionBy(key, *chunks).orderBy(*order))
-    if not chunks:
-        return rows.withColumn("ordinal", local.cast("long"))
-    earlier = Window.partitionBy(key).orderBy(*chunks).rowsBetween(Window.unboundedPreceding, -1)
-    # One row per chunk of a heavy key: bounded, see split_hot_keys.
-    offsets = (
-        rows.where(F.col(chunks[0]) != WHOLE)
-        .groupBy(key, *chunks)
+def _number(rows: DataFrame, keys: Sequence[str], chunks: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Running number from 1 within the keys: number within the chunk plus rows in earlier chunks."""
+    local = F.row_number().over(Window.partitionBy(*keys, *chunks).orderBy(*order))
+    earlier = Window.partitionBy(*keys).orderBy(*chunks).rowsBetween(Window.unboundedPreceding, -1)
+    # The carry of a chunk is its count. Numbered rows already lie by key and chunk, so only the carries move.
+    carries = (
+        rows.groupBy(*keys, *chunks)
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(key, *chunks, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+        .select(*keys, *chunks, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     )
-    return rows.withColumn("_local", local).join(F.broadcast(offsets), [key, *chunks], "left").withColumn(
-        "ordinal", F.col("_local").cast("long") + F.coalesce(F.col("_before"), F.lit(0))
+    return rows.withColumn("_local", local).join(carries, [*keys, *chunks]).withColumn(
+        "ordinal", F.col("_local").cast("long") + F.col("_before")
     )

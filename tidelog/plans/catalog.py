@@ -44,9 +44,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 LOG_FILES_GLOB = "*/*.csv"
 SINCE = "2024-01-03"
 
-# The chunked queries pair within seven teams of users. Asking for this many pieces makes every team
-# a heavy key at any scale, so the cut-up path is checked too.
-PIECES = 10_000
+# The chunked queries pair within seven teams of users, each a heavy key for chunks of so few rows: the cut-up path.
+ROWS_PER_SMALL_CHUNK = 40
 TEAMS = 7
 
 
@@ -55,7 +54,7 @@ def _keyed_events(spark: SparkSession, folder: str, chunked: bool) -> tuple[Data
     events = table(spark, folder, "events")
     if not chunked:
         return events, "user_id", ROWS_PER_CHUNK
-    return events.withColumn("team", F.col("user_id") % TEAMS), "team", max(1, events.count() // PIECES)
+    return events.withColumn("team", F.col("user_id") % TEAMS), "team", ROWS_PER_SMALL_CHUNK
 
 
 def _adjacent(chunked: bool) -> Query:
