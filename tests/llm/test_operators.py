@@ -14,7 +14,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from tidelog.llm import ann, bpe, decontam, htmltext, langid, linededup, quality, sharding, simhash, warc
+from tidelog.llm import ann, bpe, decontam, htmltext, langid, quality, sharding, simhash, warc
 from tidelog.llm.common import connected
 from tidelog.llm.queries import RANKS
 
@@ -267,118 +267,6 @@ def test_warc_damage_is_an_error(spark, tmp_path):
         warc.read_warc(spark, f"file://{tmp_path}").collect()
 
 
-# line dedup
-
-
-def brute_lines(rows):
-    """Texts after removal, by the operator's definition in plain Python."""
-
-    def chunks(text):
-        lines = text.split("\n")
-        signed = lambda x: x - (1 << 64) if x >> 63 else x
-        h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in lines]
-        pair = lambda a, b: xxhash.xxh64_intdigest(b.to_bytes(8, "little"), xxhash.xxh64_intdigest(a.to_bytes(8, "little"), 42))
-        starts = [i for i in range(len(lines)) if i == 0 or signed(pair(h[i - 1], h[i])) % 2 == 0]
-        return [lines[a:b] for a, b in zip(starts, [*starts[1:], len(lines)], strict=True)]
-
-    seen, out = set(), {}
-    for i, text in sorted(rows):
-        kept = []
-        for c in chunks(text):
-            joined = "\n".join(c)
-            if len(c) >= 2 and len(joined) >= 40:
-                if joined in seen:
-                    continue
-                seen.add(joined)
-            kept.append(joined)
-        out[i] = "\n".join(kept)
-    return out
-
-
-def test_line_dedup_equals_brute_force(docs, texts):
-    found = linededup.dedup_lines(docs)
-    assert found.columns == [*docs.columns, "n_removed", "removed_chars"]
-    rows = {r.doc_id: r for r in found.collect()}
-    wanted = brute_lines(texts.items())
-    assert {i: r.text for i, r in rows.items()} == wanted
-    assert any(r.n_removed for r in rows.values()) and all((r.removed_chars == 0) == (r.n_removed == 0) for r in rows.values())
-
-
-def test_line_dedup_is_shift_resistant(spark):
-    rng = np.random.default_rng(2)
-    line = lambda: " ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(9))
-    passage = [line() for _ in range(12)]
-    rows = [(k, "\n".join([*(line() for _ in range(k + 1)), *passage, line()])) for k in range(20)]
-    found = {r.doc_id: r.text for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert found[0] == rows[0][1]
-    left = [sum(x in found[k].split("\n") for x in passage) for k in range(1, 20)]
-    assert max(left) <= 8 and all(x in found[k] for k in range(20) for x in rows[k][1].split("\n")[: k])
-
-
-def test_line_dedup_odd_rows(odd, empty):
-    found = linededup.dedup_lines(odd).collect()
-    assert len(found) == len(ODD)
-    assert {(r.doc_id, r.text) for r in found if r.doc_id != 6} == {(i, t) for i, t in ODD if i != 6}
-    assert linededup.dedup_lines(empty).count() == 0
-
-
-def brute_passages(rows):
-    """Texts' units that go, by number, by comparing runs as they are."""
-    first, gone = {}, defaultdict(set)
-    for i, text in sorted(rows):
-        bodies = [u.strip(" ") for line in (text or "").split("\n") for u in re.split(r" (?<=[.!?…] )(?=[^ \t\n\x0b\f\r])", line)]
-        runs = set()
-        for k in range(len(bodies)):
-            runs.add(next(((k, e) for e in range(k + 1, len(bodies) + 1) if len("\n".join(bodies[k:e])) >= 40), None))
-            runs.add(next(((b, k + 1) for b in range(k, -1, -1) if len("\n".join(bodies[b : k + 1])) >= 40), None))
-        for b, e in sorted(runs - {None}):
-            if first.setdefault("\n".join(bodies[b:e]), (i, b)) != (i, b):
-                gone[i].update(range(b, e))
-    return {i: len(gone[i]) for i, _ in rows}
-
-
-def test_passages_equal_brute_force(docs, texts):
-    found = linededup.dedup_passages(docs).collect()
-    assert {r.doc_id: r.n_removed for r in found} == brute_passages(list(texts.items()))
-    assert all(r.text == texts[r.doc_id] for r in found if not r.n_removed)
-
-
-def test_planted_passages_of_one_to_six_lines_go(spark):
-    rng = np.random.default_rng(5)
-    word = lambda: "".join(rng.choice(list("abcdefgh"), 6))
-    line = lambda: " ".join(" ".join(word() for _ in range(9)) + "." for _ in range(2))
-    passages = {k: [line() for _ in range(1 + k % 6)] for k in range(60)}
-    rows = [(d * 100 + k, "\n".join([line(), *p, line()])) for d in range(2) for k, p in passages.items()]
-    rows += [(200 + k, f"{line()} {' '.join(p)} {line()}") for k, p in passages.items()]
-    found = {r.doc_id: r.text for r in linededup.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    for (k, p), d in ((x, d) for x in passages.items() for d in range(3)):
-        own = dict(rows)[d * 100 + k]
-        gone = {0: own, 1: "\n".join(own.split("\n")[:: len(p) + 1]), 2: " ".join(x.strip() for x in own.split(" ".join(p)))}
-        assert found[d * 100 + k] == gone[d]
-
-
-def test_pipeline_leaves_one_of_each_group_of_copies(spark):
-    """Exact copies leave in the line stage whole, so that no part of one passes near-dedup as a document."""
-    import corpus_pipeline
-
-    rng = np.random.default_rng(6)
-    word = lambda: "".join(rng.choice(list("abcdefghijkl"), 6))
-    line = lambda: " ".join(word() for _ in range(9))
-    groups = ["\n".join(line() for _ in range(1 + g)) for g in range(12)]
-    rows = [(d * 100 + g, t, "en", "s", len(t)) for d in range(5) for g, t in enumerate(groups)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    for stage in (corpus_pipeline.lines, corpus_pipeline.near_duplicates):
-        docs = stage(spark, docs, "")
-    assert sorted((r.doc_id, r.text) for r in docs.collect()) == list(enumerate(groups))
-
-
-def test_passages_odd_rows(odd, empty):
-    found = linededup.dedup_passages(odd).collect()
-    assert {(r.doc_id, r.text) for r in found if r.doc_id != 6} == {(i, t) for i, t in ODD if i != 6} and len(found) == len(ODD)
-    assert [(r.text, r.n_removed) for r in found if r.doc_id == 6] == [("the same line again and again, as it was before", 199)]
-    assert linededup.dedup_passages(empty).count() == 0
-
-
 # decontamination
 
 

@@ -1,10 +1,12 @@
 """Removal of repeated passages by content-defined chunks of lines. DataFrame functions only.
 
-A text is cut into lines. A boundary lies before a line where a rolling hash over it and the line before is even, so
-boundaries depend on the lines around them alone and come back after text is put in or taken out. What lies between
-two boundaries is a chunk. A chunk of two lines or more that occurs more than once in all documents stays where it
-occurs first and goes everywhere else. Grouping is by the bytes of the chunk: hashes only carry the decision back to
-the documents, and a hash that two different chunks share decides nothing.
+A text is cut into lines, and lines at the ends of sentences, so that a passage of one long line has several. A rolling
+hash over every two lines that follow each other is compared with its neighbours: a chunk begins where it is no larger
+than either. Where chunks begin depends on the lines around alone and comes back after text is put in or taken out.
+
+A chunk is known by its first two lines. One that begins as an earlier chunk does is aligned with where that stands
+first; lines are then compared by their bytes there, and every stretch of equal lines around the beginning goes. Hashes
+only say where to compare. One that two different pairs of lines share costs a comparison and removes nothing.
 """
 
 from __future__ import annotations
@@ -14,77 +16,16 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.common import packed, stored
 
-#: A chunk has at least so many lines and characters to count as repeated.
-LEAST_LINES, LEAST_CHARS = 2, 40
-
+#: A repeated stretch has at least two lines and so many characters.
+LEAST_CHARS = 40
+#: Lines by which a stretch may reach beyond the outermost chunks that began alike.
+REACH = 8
 
-def with_chunks(frame: DataFrame, text: Column) -> DataFrame:
-    """Adds ``chunks``: an array of (chunk, lines) in order; the chunks joined by line ends are the text.
 
-    Null and empty texts have one chunk without characters.
-    """
-    cut = frame.withColumn("__lines", F.split(F.coalesce(text, F.lit("")), "\n"))
-    cut = cut.withColumn("__hashes", F.transform("__lines", lambda x: F.xxhash64(x)))
-    even = lambda i: F.pmod(F.xxhash64(F.get("__hashes", i - 1), F.get("__hashes", i)), F.lit(2)) == 0
-    cut = cut.withColumn("__starts", F.filter(F.sequence(F.lit(0), F.size("__lines") - 1), lambda i: (i == 0) | even(i)))
-    cut = cut.withColumn("__sizes", F.transform("__starts", lambda s, j: F.coalesce(F.get("__starts", j + 1), F.size("__lines")) - s))
-    chunk = lambda s, j: F.struct(
-        F.array_join(F.slice("__lines", s + 1, F.get("__sizes", j)), "\n").alias("chunk"), F.get("__sizes", j).alias("lines")
-    )
-    # the always true condition counts as random: else Catalyst copies these nested expressions into pushed-down filters,
-    # where every element of the outer array computes the inner ones again
-    return cut.withColumn("chunks", F.when(F.rand(1) >= 0, F.transform("__starts", chunk))).drop("__lines", "__hashes", "__starts", "__sizes")
-
-
-def repeated_chunks(frame: DataFrame, order: list[str], text: str = "text") -> DataFrame:
-    """Occurrences to remove: (key, at, chunk_hash), the document's key and the chunk's number, but for each first one.
-
-    The key is (order columns, hash of the text): rows that agree in these are one document.
-    """
-    docs = frame.select(*_key(order, text), F.col(f"`{text}`").alias("text"))
-    docs = with_chunks(docs, F.col("text")).drop("text")
-    found = docs.select("key", F.posexplode_outer("chunks").alias("at", "c"))
-    found = found.where((F.col("c.lines") >= LEAST_LINES) & (F.length("c.chunk") >= LEAST_CHARS))
-    found = found.select("key", "at", F.col("c.chunk").alias("chunk"), F.xxhash64("c.chunk").alias("h"), F.xxhash64("c.chunk", F.lit(1)).alias("g"))
-    # one row per distinct chunk, by its bytes; then hashes that stand for one chunk only
-    known = found.groupBy("chunk", "h", "g").agg(F.count("*").alias("n"))
-    repeated = known.groupBy("h", "g").agg(F.count("*").alias("texts"), F.max("n").alias("n")).where("texts = 1 and n > 1").select("h", "g")
-    occurs = found.select("key", "at", "h", "g").join(repeated, ["h", "g"])
-    first = occurs.groupBy("h", "g").agg(F.min(F.struct("key", "at")).alias("first"))
-    later = occurs.join(first, ["h", "g"]).where(F.struct("key", "at") != F.col("first"))
-    return later.select("key", "at", F.col("h").alias("chunk_hash"))
-
-
-def _key(order: list[str], text: str) -> list[Column]:
-    nulls_last = [x for c in order for x in (F.col(f"`{c}`").isNull().alias(f"no_{c}"), F.col(f"`{c}`").alias(c))]
-    return [F.struct(*nulls_last, F.xxhash64(F.col(f"`{text}`")).alias("text_hash")).alias("key")]
-
-
-def dedup_lines(frame: DataFrame, order: list[str] | None = None, text: str = "text") -> DataFrame:
-    """The frame with repeated chunks cut out of ``text``, and new columns n_removed (chunks) and removed_chars.
-
-    ``order`` names the columns by which the first occurrence is found (``doc_id`` unless given; null comes last). Rows
-    that agree in these and in the text count as one document and come out alike. A null text stays null and an empty
-    one empty, nothing removed. What repeats in one document counts as repeated too. Other columns pass; columns named
-    n_removed or removed_chars are replaced. An empty table gives an empty table.
-    """
-    gone = repeated_chunks(frame, order or ["doc_id"], text)
-    gone = gone.distinct().groupBy("key").agg(F.collect_set("at").alias("gone"))
-    docs = frame.select(packed(frame), *_key(order or ["doc_id"], text)).join(gone, "key", "left")
-    # only documents that lose something are cut again
-    docs = docs.withColumn("cut", F.when(F.col("gone").isNotNull(), F.col("row").getField(text)))
-    docs = with_chunks(docs, F.col("cut"))
-    left = F.array_join(F.transform(F.filter("chunks", lambda c, i: ~F.array_contains("gone", i)), lambda c: c["chunk"]), "\n")
-    docs = docs.withColumn("left", F.when(F.col("gone").isNotNull(), left).otherwise(F.col("row").getField(text)))
-    lost = F.coalesce(F.length(F.col("row").getField(text)) - F.length("left"), F.lit(0))
-    columns = [F.col("left").alias(text) if c == text else F.col("row").getField(c).alias(c) for c in frame.columns if c not in ("n_removed", "removed_chars")]
-    return docs.select(*columns, F.coalesce(F.size("gone"), F.lit(0)).alias("n_removed"), lost.alias("removed_chars"))
-
-
-# Whole passages: runs of lines and sentences, compared at every offset
-
-#: Units that a window tries first and next, and those that always have LEAST_CHARS with the marks between them.
-FEW, SOME, MANY = 3, 12, LEAST_CHARS + 1
+def _hard(x: Column) -> Column:
+    """An expression that Catalyst does not copy into filters and other lambdas, where it would be computed again and
+    again: the always true condition counts as random."""
+    return F.when(F.rand(1) >= 0, x)
 
 
 def with_units(frame: DataFrame, text: Column) -> DataFrame:
@@ -97,68 +38,111 @@ def with_units(frame: DataFrame, text: Column) -> DataFrame:
     mark = lambda j, k: F.when(k > 0, " ").when(j > 0, "\n").otherwise("")
     unit = lambda j: lambda x, k: F.struct(j.alias("line"), k.alias("nth"), F.concat(mark(j, k), x).alias("unit"), F.trim(x).alias("body"))
     units = F.flatten(F.transform(lines, lambda x, j: F.transform(F.split(x, r" (?<=[.!?…] )(?=\S)"), unit(j))))
-    # as above, so that Catalyst does not copy what is computed once
-    return frame.withColumn("units", F.when(F.rand(1) >= 0, units))
-
+    return frame.withColumn("units", _hard(units))
 
-def _least(sizes: Column, i: Column) -> Column:
-    """How many units from the one at i on have LEAST_CHARS; null if the text ends before."""
-    def within(n: int) -> Column:
-        # characters times 64 and units in one number: an aggregate over structs takes several times as long
-        add = lambda s, x: F.when(s >= LEAST_CHARS * 64, s).otherwise(s + (x.cast("long") + 1) * 64 + 1)
-        return F.aggregate(F.slice(sizes, i + 1, n), F.lit(-64).cast("long"), add, lambda s: F.when(s >= LEAST_CHARS * 64, s % 64))
 
-    return F.when(F.get(sizes, i) >= LEAST_CHARS, F.lit(1).cast("long")).otherwise(F.coalesce(within(FEW), within(SOME), within(MANY)))
+def _key(order: list[str], text: str) -> Column:
+    nulls_last = [x for c in order for x in (F.col(f"`{c}`").isNull().alias(f"no_{c}"), F.col(f"`{c}`").alias(c))]
+    return F.struct(*nulls_last, F.xxhash64(F.col(f"`{text}`")).alias("text_hash"))
 
 
-def windows(frame: DataFrame, order: list[str], text: str = "text") -> DataFrame:
-    """(key, at, n, h, g): the shortest run of units with LEAST_CHARS from each unit on, and the one up to each unit.
+def chunk_heads(frame: DataFrame, order: list[str], text: str = "text", together: str | None = None) -> DataFrame:
+    """(party, key, at, h, g): where each chunk begins, with the hashes of its first two lines.
 
-    Every run of units with LEAST_CHARS is covered by those within it. h and g are two hashes with seeds of their own;
-    blanks around a unit do not count.
+    The key is (order columns, hash of the text): rows that agree in these are one document. ``party`` is the value of
+    the column ``together``, or the key without one.
+    """
+    key = _key(order, text)
+    docs = frame.select((F.col(f"`{together}`") if together else key).alias("party"), key.alias("key"), F.col(f"`{text}`").alias("text"))
+    docs = with_units(docs, F.col("text"))
+    docs = docs.select("party", "key", _hard(F.transform("units", lambda u: F.xxhash64(u["body"]))).alias("hs"))
+    # rolling[i - 1] is the hash over the lines i - 1 and i
+    n = F.size("hs")
+    rolling = F.zip_with(F.slice("hs", F.lit(1), n - 1), F.slice("hs", F.lit(2), n - 1), lambda a, b: F.xxhash64(a, b))
+    docs = docs.select("party", "key", "hs", _hard(rolling).alias("rolling"))
+    low = lambda i, j: F.get("rolling", i - 1) <= F.coalesce(F.get("rolling", j), F.get("rolling", i - 1))
+    begins = F.filter(F.sequence(F.lit(0), n - 2), lambda i: (i == 0) | (low(i, i - 2) & low(i, i)))
+    docs = docs.where(n > 1).select("party", "key", "hs", _hard(begins).alias("begins"))
+    heads = F.transform("begins", lambda i: F.struct(i.alias("at"), F.get("hs", i).alias("h"), F.get("hs", i + 1).alias("g")))
+    return docs.select("party", "key", F.explode(heads).alias("x")).select("party", "key", "x.at", "x.h", "x.g")
+
+
+def alignments(frame: DataFrame, order: list[str], text: str = "text", together: str | None = None) -> DataFrame:
+    """(key, low, ats, lines): for each document the stretches to compare with earlier ones.
+
+    ``lines`` are the bodies of the other document from the line on that should equal line ``low``; ``ats`` are the lines
+    where chunks began alike.
     """
-    docs = with_units(frame.select(*_key(order, text), F.col(f"`{text}`").alias("text")), F.col("text")).drop("text")
-    hard = lambda x: F.when(F.rand(1) >= 0, x)
-    docs = docs.select(
-        "key", hard(F.transform("units", lambda x: F.length(x["body"]))).alias("sizes"), hard(F.transform("units", lambda x: F.xxhash64(x["body"]))).alias("hs"),
-        hard(F.transform("units", lambda x: F.xxhash64(F.lit(1), x["body"]))).alias("gs"),
+    heads = stored(chunk_heads(frame, order, text, together), "heads")
+    place = F.struct("party", "key", "at")
+    # one row for each beginning, with its first place: hot ones shrink before they are shuffled
+    first = heads.groupBy("h", "g").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
+    # stored, so that the join has two plain sides and adaptive execution may split a hot beginning
+    first = stored(first.select("h", "g", "first"), "firsts")
+    later = heads.join(first, ["h", "g"]).where(F.struct("party", "key", "at") != F.col("first"))
+    if together:
+        later = later.where(~F.col("party").eqNullSafe(F.col("first.party")))
+    aligned = later.groupBy("key", F.col("first.key").alias("other"), (F.col("first.at") - F.col("at")).alias("shift"))
+    aligned = aligned.agg(F.min("at").alias("from"), F.max("at").alias("to"), F.collect_set("at").alias("ats"))
+    low = F.greatest(F.lit(0), -F.col("shift"), F.col("from") - REACH)
+    aligned = stored(aligned.select("key", "other", "shift", low.alias("low"), (F.col("to") + 2 + REACH).alias("high"), "ats"), "alignments")
+    others = frame.select(_key(order, text).alias("other"), F.col(f"`{text}`").alias("text"))
+    others = others.join(aligned.select("other").distinct(), "other", "left_semi").dropDuplicates(["other"])
+    others = with_units(others, F.col("text")).select("other", F.transform("units", lambda u: u["body"]).alias("bodies"))
+    met = aligned.join(stored(others, "others"), "other")
+    lines = F.slice("bodies", F.col("low") + F.col("shift") + 1, F.col("high") - F.col("low"))
+    return met.select("key", "low", "ats", lines.alias("lines"))
+
+
+def _repeated(compared: str, units: str) -> list[tuple[str, Column]]:
+    """Columns, one after the other, that end with ``gone``: the numbers of the units that go."""
+    differs = lambda a: F.filter(
+        F.sequence(F.lit(0), F.size(a["lines"]) - 1),
+        lambda k: ~F.get(units, a["low"] + k)["body"].eqNullSafe(F.get(a["lines"], k)),
+    )
+    narrow = F.transform(compared, lambda a: F.struct(a["low"].alias("low"), a["ats"].alias("ats"), a["lines"].alias("lines"), differs(a).alias("differs")))
+    # a stretch is kept as one number: its begin and its end among the lines compared
+    equal = lambda a, x: ~F.array_contains(a["differs"], x - a["low"]) & ~F.array_contains(a["differs"], x + 1 - a["low"])
+    begin = lambda a, x: F.coalesce(F.array_max(F.filter(a["differs"], lambda z: z < x - a["low"])), F.lit(-1)) + 1
+    end = lambda a, x: F.coalesce(F.array_min(F.filter(a["differs"], lambda z: z > x - a["low"])), F.size(a["lines"]))
+    code = lambda a: lambda x: begin(a, x).cast("long") * (1 << 31) + end(a, x)
+    runs = F.transform(
+        "narrow",
+        lambda a: F.struct(a["low"].alias("low"), a["lines"].alias("lines"), F.array_distinct(F.transform(F.filter(a["ats"], lambda x: equal(a, x)), code(a))).alias("runs")),
     )
-    docs = docs.withColumn("back", hard(F.reverse("sizes")))
-    # start and number of units in one number
-    least = lambda c: hard(F.transform(c, lambda x, i: _least(F.col(c), i)))
-    docs = docs.select("key", "hs", "gs", least("sizes").alias("onward"), least("back").alias("up_to"))
-    onward = F.transform("onward", lambda n, i: i * 64 + n)
-    up_to = F.transform("up_to", lambda n, i: (F.size("up_to") - i - n) * 64 + n)
-    docs = docs.withColumn("codes", hard(F.array_distinct(F.filter(F.concat(onward, up_to), lambda c: c.isNotNull()))))
-    # hashed before the rows are made, so that a row does not carry the arrays
-    start, n = lambda c: F.shiftright(c, 6).cast("int"), lambda c: (c % 64).cast("int")
-    part = lambda x, c: F.slice(F.col(x), start(c) + 1, n(c))
-    found = F.transform("codes", lambda c: F.struct(start(c).alias("at"), n(c).alias("n"), F.xxhash64(part("hs", c)).alias("h"), F.xxhash64(F.lit(1), part("gs", c)).alias("g")))
-    return docs.select("key", F.explode(found).alias("w")).select("key", "w.at", "w.n", "w.h", "w.g")
-
-
-def dedup_passages(frame: DataFrame, order: list[str] | None = None, text: str = "text") -> DataFrame:
+    of = lambda c: F.shiftright(c, 31).cast("int")
+    to = lambda c: (c % (1 << 31)).cast("int")
+    enough = lambda a: lambda c: F.length(F.array_join(F.slice(a["lines"], of(c) + 1, to(c) - of(c)), "\n")) >= LEAST_CHARS
+    numbers = lambda a: F.flatten(F.transform(F.filter(a["runs"], enough(a)), lambda c: F.sequence(a["low"] + of(c), a["low"] + to(c) - 1)))
+    gone = F.array_distinct(F.flatten(F.transform("runs", numbers)))
+    return [("narrow", narrow), ("runs", runs), ("gone", gone)]
+
+
+def dedup_lines(frame: DataFrame, order: list[str] | None = None, text: str = "text", together: str | None = None) -> DataFrame:
     """The frame with repeated passages cut out of ``text``, and new columns n_removed (units) and removed_chars.
 
-    A passage is a run of lines or sentences with LEAST_CHARS or more. It stays where it occurs first and goes wholly
-    everywhere else, wherever it stands and whatever stands around it. A unit stays at least where it first occurs in
-    the table: a run that covers it there cannot have occurred before. Runs are equal if two 64-bit hashes with
-    seeds of their own are. ``order``, odd rows and other columns as in ``dedup_lines``.
+    Of each beginning of a chunk (two lines) the first place in the table counts; every other one is compared with it,
+    and the stretch of equal lines around it goes if it has LEAST_CHARS. A stretch reaches over whole chunks that began
+    alike at the same distance and REACH lines beyond. What goes is equal to lines that stand earlier, so the first
+    place of every line stays.
+
+    ``order`` names the columns by which the first place is found (``doc_id`` unless given; null comes last), ``together``
+    one whose equal values mark documents that shall not cut each other; it goes before them. Rows that agree in the
+    order columns and in the text count as one document and come out alike. A null text stays null and an empty one empty. What
+    repeats within a document counts as repeated too. A text of one line stays. Other columns pass; columns named n_removed or
+    removed_chars are replaced. An empty table gives an empty table.
     """
     order = order or ["doc_id"]
-    found = stored(windows(frame, order, text), "windows")
-    repeated = found.groupBy("h", "g").agg(F.count("*").alias("times")).where("times > 1").select("h", "g")
-    occurs = stored(found.join(repeated, ["h", "g"]), "repeats")
-    first = occurs.groupBy("h", "g").agg(F.min(F.struct("key", "at")).alias("first"))
-    later = occurs.join(first, ["h", "g"]).where(F.struct("key", "at") != F.col("first"))
-    gone = later.select("key", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("n") - 1)).alias("i"))
-    gone = gone.groupBy("key").agg(F.collect_set("i").alias("gone"))
-    docs = frame.select(packed(frame), *_key(order, text)).join(gone, "key", "left")
-    # only documents that lose something are cut again
+    compared = alignments(frame, order, text, together).groupBy("key").agg(F.collect_list(F.struct("low", "ats", "lines")).alias("compared"))
+    docs = frame.select(packed(frame), _key(order, text).alias("key")).join(compared, "key", "left")
+    # only documents that have something to compare are cut again
     whole = F.col("row").getField(text)
-    docs = with_units(docs.withColumn("cut", F.when(F.col("gone").isNotNull(), whole)), F.col("cut"))
+    docs = with_units(docs.withColumn("cut", F.when(F.col("compared").isNotNull(), whole)), F.col("cut"))
+    for name, column in _repeated("compared", "units"):
+        docs = docs.withColumn(name, _hard(column))
+    docs = docs.withColumn("gone", _hard(F.when(F.size("gone") > 0, F.col("gone"))))
     stay = F.transform(F.array_except(F.sequence(F.lit(0), F.size("units") - 1), "gone"), lambda i: F.get("units", i))
-    docs = docs.withColumn("stay", F.when(F.rand(1) >= 0, stay))
+    docs = docs.withColumn("stay", _hard(stay))
     # what is left of a line whose start is gone stands in a line of its own
     again = lambda x, m: F.when((m > 0) & (x["nth"] > 0) & (F.get("stay", m - 1)["line"] != x["line"]), F.concat(F.lit("\n"), F.ltrim(x["unit"]))).otherwise(x["unit"])
     left = F.array_join(F.transform("stay", again), "")
