@@ -9,7 +9,9 @@ import pytest
 from tidelog.operators.report import report_lines
 from tidelog.plans.flows import correspondence_from_archives, logs_from_archives, vote_durations, vote_marks
 from tidelog.schemas import VOTE_END, VOTE_START
+from tidelog.sources import zips
 from tidelog.sources.archives import expand_archives, read_archives
+from tidelog.sources.zips import read_archive_lines, strict
 
 
 def zipped(files):
@@ -64,10 +66,16 @@ def test_unreadable_archives(spark, tmp_path):
     whole = zipped({"x.dat": b"some text " * 1_000})
     (tmp_path / "torn.zip").write_bytes(whole[:50] + b"\xff" * 20 + whole[70:])
     archives = read_archives(spark, str(tmp_path))
-    assert [r["line"] for r in expand_archives(archives, ".dat").collect()] == ["fine"]
-    assert expand_archives(archives, ".dat", nested_suffix="jez").count() == 0
-    with pytest.raises(Exception, match="BadZipFile|zlib.error"):
-        expand_archives(archives, ".dat", on_error="raise").count()
+    assert [r["line"] for r in expand_archives(archives, ".dat", on_error="skip").collect()] == ["fine"]
+    assert expand_archives(archives, ".dat", nested_suffix="jez", on_error="skip").count() == 0
+    with pytest.raises(Exception, match="unreadable:"):
+        expand_archives(archives, ".dat").count()
+    place = lambda frame: {(os.path.basename(r["archive"]), r["outer"], r["member"], r["line"], r["error"] is None) for r in frame.collect()}
+    failed = {("bad.zip", None, None, None, False), ("torn.zip", None, "x.dat", None, False)}
+    kept = {("good.zip", None, "x.dat", "fine", True)}
+    assert place(expand_archives(archives, ".dat", on_error="row")) == place(read_archive_lines(spark, str(tmp_path), "*.zip", ".dat")) == kept | failed
+    inner = {("bad.zip", None, None, None, False), ("good.zip", "y.jez", None, None, False)}
+    assert place(expand_archives(archives, ".dat", "jez", on_error="row")) == place(read_archive_lines(spark, str(tmp_path), "*.zip", ".dat", "jez")) == inner
     with pytest.raises(ValueError, match="on_error"):
         expand_archives(archives, ".dat", on_error="ignore")
 
@@ -114,15 +122,19 @@ def test_tasks_do_not_need_the_package(tmp_path):
     assert "LINE fine" in done.stdout, done.stderr[-2000:]
 
 
-def test_no_line_leaves_a_damaged_member(spark, tmp_path):
+def test_no_line_leaves_a_damaged_member(spark, tmp_path, monkeypatch):
     whole = bytearray(zipped({"x.dat": "\n".join(f"line {n} {n * 7919 % 1009}" for n in range(50_000)).encode()}))
     middle = len(whole) // 2
     whole[middle : middle + 200] = bytes(200)
     (tmp_path / "torn.zip").write_bytes(bytes(whole))
     archives = read_archives(spark, str(tmp_path))
     assert expand_archives(archives, ".dat", on_error="skip").count() == 0
-    with pytest.raises(Exception, match="BadZipFile|zlib.error"):
+    with pytest.raises(Exception, match="unreadable:"):
         logs_from_archives(spark, str(tmp_path)).count()
+    # nor one that is too large to hold
+    monkeypatch.setattr(zips, "HELD_BYTES", 1000)
+    found = read_archive_lines(spark, str(tmp_path), member_suffix=".dat").collect()
+    assert [(r["line"], r["error"] is None) for r in found] == [(None, False)]
 
 
 HEADER = "AA_ELEICAO;CD_PLEITO;SG_UF;CD_MUNICIPIO;NM_MUNICIPIO;NR_ZONA;NR_URNA_ESPERADA"
@@ -140,3 +152,47 @@ def test_quoted_line_breaks_are_refused(spark, tmp_path):
     (tmp_path / "a.zip").write_bytes(zipped({"x.csv": f'{HEADER}\n2024;1;TO;7;"A\nB";1;5\n'}))
     with pytest.raises(Exception, match="record over several lines"):
         correspondence_from_archives(spark, str(tmp_path), "*.zip").collect()
+
+
+def test_one_archive_is_many_tasks(spark, tmp_path):
+    """Members are dealt out by their compressed size, and each task reads only its own."""
+    files = {f"{n:03}.dat": "\n".join(f"{n} {k} {k * 7919 % 10007}" for k in range(500)).encode() for n in range(60)}
+    (tmp_path / "a.zip").write_bytes(zipped(files | {"skip.txt": b"x" * 10**6}))
+    reader = zips.ZipReader({"path": str(tmp_path), "membersuffix": ".dat", "taskbytes": "8000"})
+    parts = reader.partitions()
+    assert len(parts) > 10
+    rows = [row for part in parts for batch in reader.read(part) for row in batch.to_pylist()]
+    assert sum(r["text"].count("\n") + 1 for r in rows) == 30_000 and len({r["member"] for r in rows}) == 60
+    lines = read_archive_lines(spark, str(tmp_path), member_suffix=".dat")
+    assert lines.where("error IS NULL").count() == 30_000
+    assert lines.groupBy("member").count().where("count <> 500").count() == 0
+
+
+def test_member_conditions_reach_the_directory(spark, tmp_path):
+    (tmp_path / "a.zip").write_bytes(zipped({f"{n}.dat": b"a\nb\n" for n in range(10)} | {"x.txt": b"c"}))
+    (tmp_path / "bad.zip").write_bytes(b"none")
+    reader = zips.ZipReader({"path": str(tmp_path)})
+    assert list(reader.pushFilters([zips.EqualTo(("member",), "3.dat"), zips.EqualTo(("archive",), "a")])) == [zips.EqualTo(("archive",), "a")]
+    assert [(r["member"], r["text"]) for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()] == [("3.dat", "a\nb")]
+    lines = read_archive_lines(spark, str(tmp_path))
+    assert sorted(r["line"] for r in lines.where("member = '3.dat'").collect()) == ["a", "b"]
+    assert lines.where(lines["member"].endswith(".dat")).count() == 20
+    assert lines.where("error IS NOT NULL").count() == 1
+
+
+def test_pieces_and_line_ends(spark, tmp_path, monkeypatch):
+    """Lines are the same however small the pieces are."""
+    text = "one\r\ntwo\rthree\n\n" + "long " * 400 + "\nlast without end"
+    (tmp_path / "a.zip").write_bytes(zipped({"x.dat": text.encode(), "empty.dat": b"", "end.dat": b"\n"}))
+    wanted = [(n, x) for n, x in enumerate(["one", "two", "three", "", "long " * 400, "last without end"], 1)]
+    for size in (1 << 20, 7, 1):
+        monkeypatch.setattr(zips, "PIECE_BYTES", size)
+        for lines in (strict(read_archive_lines(spark, str(tmp_path))), expand_archives(read_archives(spark, str(tmp_path)))):
+            found = sorted((r["member"], r["line_no"], r["line"]) for r in lines.collect())
+            assert found == sorted([("end.dat", 1, ""), *(("x.dat", *x) for x in wanted)])
+
+
+def test_missing_folder(spark, tmp_path):
+    with pytest.raises(Exception, match="no such folder"):
+        read_archive_lines(spark, str(tmp_path / "none")).count()
+    assert read_archive_lines(spark, str(tmp_path)).count() == 0

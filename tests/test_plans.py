@@ -30,7 +30,7 @@ def final_plan(spark, name):
         ("list_resource_links", 0),
         ("list_catalog_files", 0),
         ("expand_archives", 0),
-        ("expand_nested_archives", 1),
+        ("expand_nested_archives", 0),
     ],
 )
 def test_number_of_shuffles(spark, name, shuffles):

@@ -23,9 +23,9 @@ from tidelog.operators.words import word_count
 from tidelog.plans import flows
 from tidelog.plans.derived import (
     LOG_EVENTS_SQL,
+    archive_files,
     catalogue_pages,
     correspondence_files,
-    document_archives,
     log_events,
     log_files,
     table,
@@ -33,10 +33,10 @@ from tidelog.plans.derived import (
 )
 from tidelog.schemas import LOG_FIELDS
 from tidelog.session import scratch_path
-from tidelog.sources.archives import expand_archives
 from tidelog.sources.listings import list_catalog_files, list_resource_links
 from tidelog.sources.machine_logs import read_machine_logs
 from tidelog.sources.tables import read_correspondence, read_partitioned, write_partitioned
+from tidelog.sources.zips import read_archive_lines, strict
 from tidelog.streaming.incremental import incremental_log_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -203,8 +203,8 @@ def _list_catalog_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def _expand_archives(nested: bool) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        archives = document_archives(table(spark, folder, "documents"), nested)
-        lines = expand_archives(archives, ".dat", "jez" if nested else None, encoding="utf-8", on_error="raise")
+        archives = archive_files(spark, folder, nested)
+        lines = strict(read_archive_lines(spark, archives, "*.zip", ".dat", "jez" if nested else None, encoding="utf-8"))
         doc_id = F.substring_index("member", ".", 1).cast("long")
         return lines.select(doc_id.alias("doc_id"), "line_no", "line")
 

@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -161,31 +162,37 @@ def catalogue_pages(pages: DataFrame) -> DataFrame:
 DOCUMENTS_PER_ARCHIVE = 40
 
 
-def document_archives(documents: DataFrame, nested: bool) -> DataFrame:
-    """Documents packed into ZIP archives by the tasks: ``archive``, ``content``.
+def archive_files(spark: SparkSession, folder: str, nested: bool) -> str:
+    """Documents packed into ZIP archives by the tasks, in files; returns their folder.
 
-    Plain archives hold one text member per document. Nested ones hold one archive per document.
+    Plain archives hold one text member per document. Nested ones hold one archive per document. A
+    task that runs again writes the same files again.
     """
+    target = scratch_path(spark, "archives")
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = fs.FileSystem.from_uri(target)
+        system.create_dir(root, recursive=True)
         for batch in batches:
             for start in range(0, batch.num_rows, DOCUMENTS_PER_ARCHIVE):
                 rows = batch.slice(start, DOCUMENTS_PER_ARCHIVE)
                 names, texts = rows["doc_id"].to_pylist(), rows["text"].to_pylist()
-                files = [(f"{name}.dat", text.encode()) for name, text in zip(names, texts, strict=True)]
+                files = [(f"{name}.dat", (text or "").encode()) for name, text in zip(names, texts, strict=True)]
                 if nested:
                     files = [(f"{name}.jez", _zipped([file])) for name, file in zip(names, files, strict=True)]
-                yield pa.record_batch(
-                    [pa.array([f"mem/{names[0]}.zip"]), pa.array([_zipped(files)], pa.binary())],
-                    names=["archive", "content"],
-                )
+                with system.open_output_stream(f"{root}/{names[0]}.zip", compression=None) as out:
+                    out.write(_zipped(files))
+                yield pa.record_batch([pa.array([len(files)], pa.int64())], names=["members"])
 
-    return documents.select("doc_id", "text").mapInArrow(pack, "archive string, content binary")
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    dealt = documents.repartition("doc_id").sortWithinPartitions("doc_id")
+    dealt.mapInArrow(pack, "members long").write.format("noop").mode("overwrite").save()
+    return target
 
 
 def _zipped(files: list[tuple[str, bytes]]) -> bytes:
     held = io.BytesIO()
-    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as archive:
         for name, content in files:
             archive.writestr(name, content)
     return held.getvalue()

@@ -20,9 +20,10 @@ from tidelog.operators.skew import ROWS_PER_CHUNK
 from tidelog.operators.words import word_count
 from tidelog.schemas import CORRESPONDENCE_TYPES, FIRST_DAY, LOG_FIELDS, VOTE_ACTION, VOTE_END, VOTE_START
 from tidelog.session import settled
-from tidelog.sources.archives import archive_stem, expand_archives, read_archives
+from tidelog.sources.archives import archive_stem
 from tidelog.sources.machine_logs import parse_log_lines, read_machine_logs, with_line_order
 from tidelog.sources.tables import distinct_correspondence, read_csv_untyped, typed_correspondence, write_partitioned
+from tidelog.sources.zips import read_archive_lines, strict
 
 
 def vote_marks(lines: DataFrame, since: str = FIRST_DAY) -> DataFrame:
@@ -71,16 +72,14 @@ def run_vote_durations(lines: DataFrame, output: str, since: str = FIRST_DAY) ->
     return stored.count()
 
 
-def logs_from_archives(
-    spark: SparkSession, path: str, nested_suffix: str | None = None, on_error: str = "raise"
-) -> DataFrame:
+def logs_from_archives(spark: SparkSession, path: str, nested_suffix: str | None = None, glob: str = "*") -> DataFrame:
     """Log lines straight out of archives, in the shape of ``read_machine_logs``.
 
     The archive name stands for the folder it would have been unpacked to, and the line number is
-    the position in the file. What cannot be read fails the job unless ``on_error="skip"``.
+    the position in the file. With ``nested_suffix`` the logs lie in archives inside those. What
+    cannot be read fails the job.
     """
-    archives = read_archives(spark, path)
-    lines = expand_archives(archives, member_suffix=".dat", nested_suffix=nested_suffix, on_error=on_error)
+    lines = strict(read_archive_lines(spark, path, glob, ".dat", nested_suffix))
     holder = F.coalesce("outer", "archive")
     named = lines.withColumn("_holder", holder).select(
         "line", F.concat_ws("/", archive_stem("_holder"), "member").alias("file"), F.col("line_no").alias("block")
@@ -107,7 +106,7 @@ def correspondence_text(spark: SparkSession, path: str, glob: str) -> DataFrame:
     All files must have the same header and a record per line; other headers, quoted line breaks and damaged archives
     are errors.
     """
-    lines = expand_archives(read_archives(spark, path, glob), member_suffix="csv", on_error="raise")
+    lines = strict(read_archive_lines(spark, path, glob, "csv"))
     headers = [row["line"] for row in lines.where("line_no = 1").select("line").distinct().limit(2).collect()]
     if not headers:
         raise ValueError(f"no csv file in the archives {glob} below {path}")

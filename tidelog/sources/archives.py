@@ -1,16 +1,14 @@
-"""Text lines inside ZIP archives, unpacked by the tasks.
+"""Text lines inside ZIP archives that are rows of a table, unpacked by the tasks.
 
-No built-in function opens an archive, so members are read in Python over Arrow batches. An archive
-is one row of at most ``spark.sql.sources.binaryFile.maxLength`` bytes; larger ones cannot be read.
+Archives in files are better read by ``tidelog.sources.zips``: an archive that is a row has at most
+``spark.sql.sources.binaryFile.maxLength`` bytes and is one task's work.
 """
 
 from __future__ import annotations
 
 import io
-import logging
 import sys
 import zipfile
-import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -18,16 +16,14 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.sources import zips
+
 # Executors need not have this package installed: the functions they run travel with the task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-ROWS_PER_BATCH = 8_192
-LENGTH_PER_BATCH = 8 << 20
-
-MEMBER_SCHEMA = "archive string, member string, content binary"
-LINE_SCHEMA = "archive string, outer string, member string, line_no bigint, line string"
+MEMBER_SCHEMA = "archive string, outer string, content binary, error string"
 
-_UNREADABLE = (zipfile.BadZipFile, zlib.error, RuntimeError, EOFError, OSError)
+Batches = Iterable[pa.RecordBatch]
 
 
 def read_archives(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -41,25 +37,28 @@ def expand_archives(
     member_suffix: str = "",
     nested_suffix: str | None = None,
     encoding: str = "ISO-8859-1",
-    on_error: str = "skip",
+    on_error: str = "raise",
 ) -> DataFrame:
     """Lines of the members whose names end with ``member_suffix``.
 
     Input columns ``archive`` and ``content``. With ``nested_suffix`` the members so named are
     archives themselves and the lines come from inside them; ``outer`` holds their name, and they
     are spread over the cluster before they are opened, so a large outer archive keeps many tasks
-    busy. ``line_no`` counts from 1. An archive or member that cannot be read whole is logged and
-    skipped, with all its lines, or fails the job with ``on_error="raise"``.
+    busy. ``line_no`` counts from 1. An archive or member that cannot be read whole gives no line: it
+    fails the query, or is one row with ``error`` (``on_error="row"``), or is left out (``"skip"``).
     """
-    if on_error not in ("skip", "raise"):
+    if on_error not in ("raise", "row", "skip"):
         raise ValueError(f"unknown on_error: {on_error}")
+    nothing = F.lit(None).cast("string")
     if nested_suffix is None:
-        packed = archives.select("archive", F.lit(None).cast("string").alias("outer"), "content")
+        packed = archives.select("archive", nothing.alias("outer"), "content", nothing.alias("error"))
     else:
-        read_members = _member_reader(nested_suffix, on_error)
-        members = archives.select("archive", "content").mapInArrow(read_members, MEMBER_SCHEMA)
-        packed = members.select("archive", F.col("member").alias("outer"), "content").repartition("archive", "outer")
-    return packed.mapInArrow(_line_reader(member_suffix, encoding, on_error), LINE_SCHEMA)
+        members = archives.select("archive", "content").mapInArrow(_member_reader(nested_suffix), MEMBER_SCHEMA)
+        packed = members.repartition("archive", "outer")
+    lines = zips.lines_of(packed.mapInArrow(_text_reader(member_suffix, encoding), zips.SCHEMA))
+    if on_error == "row":
+        return lines
+    return zips.strict(lines) if on_error == "raise" else lines.where("error IS NULL").drop("error")
 
 
 def archive_stem(path: str) -> Column:
@@ -67,94 +66,49 @@ def archive_stem(path: str) -> Column:
     return F.substring_index(F.substring_index(F.col(path), "/", -1), ".", 1)
 
 
-Batches = Iterable[pa.RecordBatch]
-
-
-def _member_reader(suffix: str, on_error: str) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
-    names = {"archive": pa.string(), "member": pa.string(), "content": pa.binary()}
-
-    def members(batches: Batches) -> Iterator[tuple]:
-        for archive, _, packed in _opened(batches, on_error):
-            for info in _chosen(packed, suffix):
-                with _tolerating(on_error, archive, info.filename):
-                    yield archive, info.filename, packed.read(info)
-
-    return lambda batches: _batched(members(batches), names)
-
-
-def _line_reader(suffix: str, encoding: str, on_error: str) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
-    names = {
-        "archive": pa.string(),
-        "outer": pa.string(),
-        "member": pa.string(),
-        "line_no": pa.int64(),
-        "line": pa.string(),
-    }
-
-    def lines(batches: Batches) -> Iterator[tuple]:
-        for archive, outer, packed in _opened(batches, on_error):
-            for info in _chosen(packed, suffix):
-                with _tolerating(on_error, archive, info.filename):
-                    _check(packed, info)
-                    member = packed.open(info)
-                    text = io.TextIOWrapper(member, encoding=encoding, errors="replace")
-                    for number, line in enumerate(text, 1):
-                        yield archive, outer, info.filename, number, line.removesuffix("\n")
-
-    return lambda batches: _batched(lines(batches), names)
-
-
-def _batched(rows: Iterable[tuple], names: dict[str, pa.DataType]) -> Iterator[pa.RecordBatch]:
-    """Rows as Arrow batches of bounded size; the last field is the one that varies in length."""
-    held, length = [], 0
-    for row in rows:
-        held.append(row)
-        length += len(row[-1])
-        if len(held) >= ROWS_PER_BATCH or length >= LENGTH_PER_BATCH:
-            yield _batch(held, names)
-            held, length = [], 0
-    if held:
-        yield _batch(held, names)
-
-
-def _batch(rows: list[tuple], names: dict[str, pa.DataType]) -> pa.RecordBatch:
-    arrays = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), names.values(), strict=True)]
-    return pa.record_batch(arrays, names=list(names))
-
-
-def _opened(batches: Batches, on_error: str) -> Iterator[tuple[str, str | None, zipfile.ZipFile]]:
-    """Every archive of the batches that opens."""
-    for batch in batches:
-        outers = batch.column("outer") if "outer" in batch.schema.names else pa.nulls(batch.num_rows)
-        for archive, outer, content in zip(batch.column("archive"), outers, batch.column("content"), strict=True):
-            with _tolerating(on_error, archive.as_py(), outer.as_py()):
-                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as packed:
-                    yield archive.as_py(), outer.as_py(), packed
-
-
-def _chosen(packed: zipfile.ZipFile, suffix: str) -> list[zipfile.ZipInfo]:
-    return [info for info in packed.infolist() if not info.is_dir() and info.filename.endswith(suffix)]
-
-
-def _check(packed: zipfile.ZipFile, info: zipfile.ZipInfo) -> None:
-    """Reads a member to its end, where its checksum is compared: no line may leave a damaged one."""
-    with packed.open(info) as member:
-        while member.read(1 << 20):
-            pass
-
-
-class _tolerating:
-    """Logs an unreadable archive or member and goes on, unless errors are to be raised."""
-
-    def __init__(self, on_error: str, *names: str | None) -> None:
-        self.on_error = on_error
-        self.names = [name for name in names if name]
-
-    def __enter__(self) -> None:
-        return None
-
-    def __exit__(self, kind: type | None, error: BaseException | None, trace: object) -> bool:
-        if self.on_error == "skip" and isinstance(error, _UNREADABLE):
-            logging.getLogger(__name__).warning("unreadable, skipped: %s: %s", " / ".join(self.names), error)
-            return True
-        return False
+def _member_reader(suffix: str) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
+    names = {"archive": pa.string(), "outer": pa.string(), "content": pa.binary(), "error": pa.string()}
+
+    def members(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for archive, content in zip(batch.column("archive").to_pylist(), batch.column("content"), strict=True):
+            try:
+                packed = zipfile.ZipFile(pa.BufferReader(content.as_buffer()))
+            except zips.UNREADABLE as error:
+                yield archive, None, None, str(error)
+                continue
+            for info in packed.infolist():
+                if not info.is_dir() and info.filename.endswith(suffix):
+                    try:
+                        yield archive, info.filename, packed.read(info), None
+                    except zips.UNREADABLE as error:
+                        yield archive, info.filename, None, str(error)
+
+    def every(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # a member is a batch of its own, so that no more than one is held
+            for row in members(batch):
+                yield pa.record_batch([pa.array([v], k) for v, k in zip(row, names.values(), strict=True)], names=list(names))
+
+    return every
+
+
+def _text_reader(suffix: str, encoding: str) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
+    def rows(batch: pa.RecordBatch) -> Iterator[zips.Row]:
+        columns = [batch.column(c).to_pylist() for c in ("archive", "outer", "error")]
+        for archive, outer, failed, content in zip(*columns, batch.column("content"), strict=True):
+            if failed is not None:
+                yield archive, outer, None, None, None, failed
+                continue
+            try:
+                packed = zipfile.ZipFile(pa.BufferReader(content.as_buffer()) if content.is_valid else io.BytesIO())
+            except zips.UNREADABLE as error:
+                yield archive, outer, None, None, None, str(error)
+                continue
+            for info in packed.infolist():
+                if not info.is_dir() and info.filename.endswith(suffix):
+                    yield from zips.member_rows(packed, info, (archive, outer), encoding)
+
+    def every(batches: Batches) -> Iterator[pa.RecordBatch]:
+        yield from zips.batched(row for batch in batches for row in rows(batch))
+
+    return every
