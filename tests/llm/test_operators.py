@@ -323,6 +323,28 @@ def test_decontamination_odd_rows(spark, odd, empty):
     assert decontam.decontaminate(odd, benchmark.limit(0)).count() == len(ODD)
 
 
+def test_short_and_long_items_are_found(spark):
+    """Exact copies of two-word items, and 400-word items at the largest distance; item ids may be text."""
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(3000)]
+    some = lambda n: [str(x) for x in rng.choice(words, n)]
+    short = [" ".join(some(2)) for _ in range(150)]
+    rows = [(k, " ".join([*some(20), x, *some(20)])) for k, x in enumerate(short)]
+    benchmark = spark.createDataFrame([(f"item {k}", x) for k, x in enumerate(short)], "item_id string, text string")
+    found = decontam.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), benchmark)
+    assert {(k, f"item {k}") for k in range(150)} <= {(r.doc_id, r.item_id) for r in found.collect()}
+    items = [some(400) for _ in range(40)]
+    finder, cases = decontam.Finder([" ".join(x) for x in items]), []
+    for item in items:
+        item = list(item)
+        for _ in range(80):
+            at, kind = int(rng.integers(0, len(item))), int(rng.integers(0, 3))
+            item[at : at + 1] = [some(1), [item[at], *some(1)], []][kind]
+        cases.append(" ".join([*some(50), *item, *some(50)]))
+    hits = sum(any(h["item"] == k for h in found) for k, found in enumerate(finder.find(cases)))
+    assert hits >= 0.9 * 40
+
+
 # nearest neighbours
 
 
@@ -459,10 +481,11 @@ def test_quality_on_labels(spark):
     assert sum((r.score > 0.5) == bool(r.quality) for r in rows) >= 0.95 * len(rows)
 
 
-def test_toxicity_on_held_out_labels(spark):
+@pytest.mark.parametrize("seed", [42, 1, 2])
+def test_toxicity_on_held_out_labels(spark, seed):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
-    third = F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0
+    third = F.pmod(F.xxhash64("doc_id") if seed == 42 else F.xxhash64("doc_id", F.lit(seed)), F.lit(3)) == 0
     model = quality.fit_quality(docs, rows=3000, labels=labels.where(~third))
     rows = quality.classify(docs, model).join(labels.where(third), "doc_id").collect()
     toxic, good = [r for r in rows if r.toxic], [r for r in rows if r.quality and not r.toxic]
@@ -480,7 +503,7 @@ def test_marks_odd_labels(spark, odd, empty):
     texts = [(k, f"plain words number{k} " + ("badwordish stay" if k % 5 == 0 else "stay")) for k in range(200)]
     frame = spark.createDataFrame(texts, "doc_id long, text string")
     marks = quality.learn_marks(frame, frame.select("doc_id", (F.col("doc_id") % 5 == 0).cast("int").alias("toxic")))
-    assert set(marks) == {"badwordish", "badwor*"} and min(marks.values()) > 4
+    assert set(marks) == {"badwordish", "badwo*", "badwor*", "badword*", "badwordi*"} and min(marks.values()) > 4
 
 
 def test_labels_are_recovered():
@@ -505,6 +528,29 @@ def test_quality_odd_rows(odd, empty, docs):
     assert quality.classify(odd, nothing).count() == len(ODD)
 
 
+# names of the input
+
+
+def test_columns_with_names_of_the_operators(spark, docs):
+    """Columns named like helpers pass through unchanged."""
+    few = docs.limit(50).withColumns({n: F.lit("mine") for n in ("__source", "__host", "__declared", "declared", "domain", "suffix", "ll")})
+    vocabulary = bpe.read_vocabulary(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    for found in (bpe.encode_and_decode(few, vocabulary), langid.identify(few, langid.fit_text_model(docs, "text", "lang"), declared=F.col("lang"), host=F.col("source"))):
+        rows = found.collect()
+        assert len(rows) == 50 and all(r["__source"] == r["__host"] == r["__declared"] == r["suffix"] == "mine" for r in rows)
+
+
+def test_languages_do_not_depend_on_the_size_of_the_table(spark, docs):
+    """A label with few of very many rows is learnt, and a large group of copies counts once."""
+    base = docs.where("lang is not null and text <> ''")
+    rare = base.where("lang = 'de'").limit(20)
+    many = base.where("lang = 'en'").crossJoin(spark.range(20)).withColumn("text", F.concat("text", F.lit(" "), F.col("id").cast("string"))).drop("id")
+    copies = spark.range(3000).select(F.lit("one and the same text").alias("text"), F.lit("en").alias("lang"))
+    table = rare.select("text", "lang").union(many.select("text", "lang")).union(copies)
+    model = langid.fit_text_model(table, "text", "lang", rows=200)
+    assert model.languages == ["de", "en", "und"]
+
+
 # language ID
 
 

@@ -255,19 +255,21 @@ def _mapped(frame: DataFrame, vocabulary: Vocabulary, new: dict[str, T.DataType]
     """Adds columns made from slices of the source column, a few rows at a time, so a worker's memory stays bounded."""
     shared = frame.sparkSession.sparkContext.broadcast(vocabulary)
     kept = [c for c in frame.columns if c not in new]
-    read = frame.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{source}`").alias("__source"))
+    # longer than any name of the input, so it cannot be one of them
+    given = "source" + "_" * max(map(len, frame.columns))
+    read = frame.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{source}`").alias(given))
     schema = T.StructType([*(read.schema[c] for c in kept), *(T.StructField(c, kind) for c, kind in new.items())])
 
     def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = batch["__source"].value_lengths().fill_null(0).to_numpy() if pa.types.is_list(batch["__source"].type) else pa.compute.binary_length(batch["__source"]).fill_null(0).to_numpy()
+            sizes = batch[given].value_lengths().fill_null(0).to_numpy() if pa.types.is_list(batch[given].type) else pa.compute.binary_length(batch[given]).fill_null(0).to_numpy()
             begin = 0
             while begin < batch.num_rows:
                 total = np.cumsum(sizes[begin : begin + 4096])
                 count = max(1, int(np.searchsorted(total, SLICE, "right")))
                 part = batch.slice(begin, count)
                 begin += part.num_rows
-                columns = make(shared.value, part["__source"].to_pylist())
+                columns = make(shared.value, part[given].to_pylist())
                 yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), *columns], [*kept, *new])
 
     return read.mapInArrow(every, schema)

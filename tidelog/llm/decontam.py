@@ -27,8 +27,11 @@ from pyspark.sql import functions as F
 #: An item of n words is found with up to (1 - SIMILARITY) n edits, rounded down.
 SIMILARITY = 0.8
 RECALL = 0.95
-#: Places of a walk in a key, keys taken from a walk, most walks.
-SAMPLED, TABLES, MOST_WALKS = 3, 6, 24
+#: Places of a walk in a key, and keys taken from a walk. Where so many walks do not reach the recall, an item's group
+#: begins again with one place less in a key.
+SAMPLED, TABLES, WALKS = 3, 6, 48
+#: First words by which exact copies of an item are looked up.
+FIRST_WORDS = 4
 #: Words of items looked for in one pass over the documents; more items are taken in several.
 BLOCK_WORDS = 1_000_000
 #: Words of documents, and windows, worked on at once.
@@ -54,6 +57,9 @@ class Group:
     known: np.ndarray  # word numbers that occur in the items
     keys: list[np.ndarray] = field(default_factory=list)  # per table, sorted
     owners: list[np.ndarray] = field(default_factory=list)
+    first: int = 1  # words in the keys of exact copies
+    first_keys: np.ndarray | None = None
+    first_owners: np.ndarray | None = None
 
 
 class Finder:
@@ -83,14 +89,22 @@ class Finder:
     def _group(self, least: int, most: int, members: list[int], recall: float) -> Group:
         rng = np.random.default_rng(self.seed * 1000 + least)
         steps = max(1, 2 * least - 1)
-        m = min(SAMPLED, steps)
-        places = np.sort(np.argsort(rng.random((MOST_WALKS, TABLES, steps)), axis=2)[:, :, :m], axis=2)
         known = np.zeros(len(self.vocabulary) + 1, bool)
         for k in members:
             known[self.coded[k]] = True
-        group = Group(least, most, self.allowed(most), steps, members, places, known)
-        walks = self._walks_needed(group, rng, recall)
+        walks, sampled_places = 0, min(SAMPLED, steps)
+        while not walks:
+            places = np.sort(np.argsort(rng.random((WALKS, TABLES, steps)), axis=2)[:, :, :sampled_places], axis=2)
+            group = Group(least, most, self.allowed(most), steps, members, places, known)
+            walks = self._walks_needed(group, rng, recall)
+            sampled_places -= 1
+            if not walks and not sampled_places:
+                raise ValueError(f"items of {least} to {most} words are not found with recall {recall}")
         group.places = places[:walks]
+        group.first = min(least, FIRST_WORDS)
+        key = _keyed(np.stack([self.coded[k][: group.first] for k in members]))
+        order = np.argsort(key, kind="stable")
+        group.first_keys, group.first_owners = key[order], np.array(members)[order]
         joined = np.concatenate([np.r_[self.coded[k], np.zeros(steps, np.int32)] for k in members])
         starts = np.cumsum([0, *(len(self.coded[k]) + steps for k in members[:-1])])
         for walk in range(walks):
@@ -103,7 +117,7 @@ class Finder:
         return group
 
     def _walks_needed(self, group: Group, rng: np.random.Generator, recall: float) -> int:
-        """Walks after which the simulated recall at the largest distance reaches the target."""
+        """Walks after which the simulated recall at the largest distance reaches the target; 0 if these many do not."""
         if group.edits == 0:
             return 1
         left, right = [], []
@@ -114,10 +128,11 @@ class Finder:
                 at, kind = int(rng.integers(0, len(other))), int(rng.integers(0, 3))
                 new = int(rng.integers(1, len(self.vocabulary) + 1)) if rng.random() < 0.5 else -int(rng.integers(1, 1 << 30))
                 other[at : at + 1] = [[new], [new, other[at]], [] if len(other) > 1 else [other[at]]][kind]
+            # a text goes on with other words behind its copy of an item
             left.append(np.r_[word, np.zeros(group.steps, int)])
-            right.append(np.r_[other, np.zeros(group.steps, int)])
+            right.append(np.r_[other, -rng.integers(1, 1 << 30, group.steps)])
         found = np.zeros(200, bool)
-        for walk in range(MOST_WALKS):
+        for walk in range(len(group.places)):
             outs = []
             for side in (left, right):
                 starts = np.cumsum([0, *(len(x) for x in side[:-1])])
@@ -127,7 +142,7 @@ class Finder:
                 found |= (outs[0][:, at] == outs[1][:, at]).all(1)
             if found.mean() >= recall:
                 return walk + 1
-        return MOST_WALKS
+        return 0
 
     def _walk(self, words: np.ndarray, starts: np.ndarray, group: Group, walk: int) -> np.ndarray:
         """The walks from the starts: starts x steps."""
@@ -150,19 +165,13 @@ class Finder:
             # a window may begin with words that the item lacks; then its next start is as good
             for k in range(0, len(starts), WINDOWS):
                 part = starts[k : k + WINDOWS]
+                yield from _collisions(part, _keyed(words[np.minimum(part[:, None] + np.arange(group.first), n)]), group.first_keys, group.first_owners)
                 table = 0
                 for walk in range(len(group.places)):
                     sampled = self._walk(words, part, group, walk)
                     for places in group.places[walk]:
                         chosen = sampled[:, places]
-                        key = _keyed(chosen)
-                        keys, owners = group.keys[table], group.owners[table]
-                        low, high = np.searchsorted(keys, key), np.searchsorted(keys, key, "right")
-                        hit = np.flatnonzero(high > low)
-                        if len(hit):
-                            times = high[hit] - low[hit]
-                            offset = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                            yield np.repeat(part[hit], times), owners[np.repeat(low[hit], times) + offset]
+                        yield from _collisions(part, _keyed(chosen), group.keys[table], group.owners[table])
                         table += 1
 
     def find(self, texts: list[str | None]) -> list[list[dict]]:
@@ -212,6 +221,16 @@ class Finder:
         yield from by_doc.items()
 
 
+def _collisions(starts: np.ndarray, key: np.ndarray, keys: np.ndarray, owners: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(starts, items) of equal keys; those of the items are sorted."""
+    low, high = np.searchsorted(keys, key), np.searchsorted(keys, key, "right")
+    hit = np.flatnonzero(high > low)
+    if len(hit):
+        times = high[hit] - low[hit]
+        offset = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        yield np.repeat(starts[hit], times), owners[np.repeat(low[hit], times) + offset]
+
+
 def _bit(word: np.ndarray, salt: int) -> np.ndarray:
     """A random bit of (step, word)."""
     mixed = (word.astype(np.uint64) + np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
@@ -320,14 +339,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     reported. Empty tables give no rows.
     """
     found = []
+    kind = benchmark.schema[item_column].dataType.simpleString()
     for items in blocks_of(benchmark, item_column, item_text):
         hits = docs.select(F.col(f"`{id_column}`").alias("id"), F.explode(leaks(F.col(f"`{text}`"), items, similarity, recall)).alias("leak"))
-        numbers = F.array(*[F.lit(i) for i, _ in items]) if items else F.array().cast("array<long>")
-        found.append(
-            hits.select(
-                F.col("id").alias(id_column), F.get(numbers.cast("array<long>"), F.col("leak.item")).alias("item_id"), "leak.edits", "leak.first", "leak.words", "leak.begin", "leak.end"
-            )
-        )
+        names = docs.sparkSession.createDataFrame([(k, i) for k, (i, _) in enumerate(items)], f"number int, item_id {kind}")
+        hits = hits.join(names, F.col("leak.item") == F.col("number"))
+        found.append(hits.select(F.col("id").alias(id_column), "item_id", "leak.edits", "leak.first", "leak.words", "leak.begin", "leak.end"))
     return reduce(DataFrame.unionAll, found)
 
 

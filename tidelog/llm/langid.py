@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 from tidelog.llm.common import packed, stored, unpacked
 
 BUCKETS = 1 << 16
-#: Rows that the text model is fitted on, about.
+#: Rows that the text model is fitted on, about, the same number for each label that has so many.
 SAMPLE_ROWS = 20_000
-#: Labels with fewer rows in the sample are not learnt; at most so many are.
-LEAST_ROWS, MOST_LANGUAGES = 5, 64
+#: Labels with fewer rows in the table are not learnt.
+LEAST_ROWS = 5
 #: A text's evidence counts as that of so many independent trigrams at most.
 EVIDENCE = 60.0
 #: Bytes of text worked on at once.
@@ -75,17 +75,18 @@ def _sliced(texts: list[str | None], first: int) -> Iterator[tuple[np.ndarray, n
 
 
 def fit_text_model(labelled: DataFrame, text: str, label: str, rows: int = SAMPLE_ROWS) -> TextModel:
-    """Fits the trigram model on about ``rows`` labelled rows, drawn by a hash of the text.
+    """Fits the trigram model on about ``rows`` labelled rows, an equal share for every label that has LEAST_ROWS in
+    the table. Distinct texts are drawn, by a hash, so a group of copies counts once however large it is.
 
     Each task counts (label, trigram) pairs of its rows; what reaches the driver is one count per pair.
     """
-    narrow = labelled.select(F.col(text).alias("text"), F.col(label).alias("label")).where("text is not null and text <> '' and label is not null")
-    share = rows / max(1, narrow.count())
-    if share < 1:
-        narrow = narrow.where(F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1_000_000)) < int(share * 1_000_000))
-    cleaned = narrow.select("text", language_tag(F.col("label")).alias("label")).where("label is not null")
-    sample = stored(cleaned, "langid-sample")
-    kept = sorted(r[0] for r in sample.groupBy("label").count().where(F.col("count") >= LEAST_ROWS).orderBy(F.desc("count"), "label").limit(MOST_LANGUAGES).collect())
+    narrow = labelled.select(F.col(text).alias("text"), language_tag(F.col(label)).alias("label")).where("text <> '' and label is not null")
+    sizes = {r["label"]: r["count"] for r in narrow.groupBy("label").count().where(F.col("count") >= LEAST_ROWS).collect()}
+    kept = sorted(sizes)
+    span = 1 << 40
+    shares = [x for k in kept for x in (F.lit(k), F.lit(int(span * min(1.0, rows / len(kept) / sizes[k]))))]
+    drawn = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(span)) < F.try_element_at(F.create_map(*shares), F.col("label")) if kept else F.lit(False)
+    sample = stored(narrow.where(drawn).dropDuplicates(["text", "label"]), "langid-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(kept), BUCKETS), np.int64)
@@ -168,12 +169,12 @@ def identify(
     """
     names, size = model.languages, len(model.languages)
     null = F.lit(None).cast("string")
-    wide = frame.withColumns({"__declared": declared if declared is not None else null, "__host": host if host is not None else null})
-    domain, suffix = host_parts(F.col("__host"))
+    wide = frame.select(packed(frame), (null if declared is None else declared).alias("declared"), (null if host is None else host).alias("host"))
+    domain, suffix = host_parts(F.col("host"))
     base = wide.select(
-        packed(wide).alias("row"),
-        F.coalesce(language_tag(F.col("__declared")), F.lit("")).alias("declared"),
-        F.coalesce(F.lower("__host"), F.lit("")).alias("host"),
+        "row",
+        F.coalesce(language_tag(F.col("declared")), F.lit("")).alias("declared"),
+        F.coalesce(F.lower("host"), F.lit("")).alias("host"),
         F.coalesce(domain, F.lit("")).alias("domain"),
         F.coalesce(suffix, F.lit("")).alias("suffix"),
     )

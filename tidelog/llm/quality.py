@@ -5,9 +5,9 @@ vote patterns (a table whose size depends on the number of labellers alone) esti
 right and how likely a pattern is good. These posteriors are the labels from which a hashed linear scorer is trained,
 on a bounded sample, over words and letter-shape patterns, so that it also judges where few labellers vote.
 
-Toxicity is a second task with labellers of its own, made and trained in the same way. A word list knows one
-language only, so two of them read marks: words and word beginnings that stand in toxic documents of a labelled sample
-far more often than in its other documents. A held-out part of the sample sets the weight of marks that counts.
+Toxicity is a second task with labellers of its own, made and trained in the same way. They read marks: words and word
+beginnings that stand in toxic documents of a labelled sample far more often than in its other documents, in
+whatever language. A held-out part of the sample sets what each labeller takes for a bad sign.
 """
 
 from __future__ import annotations
@@ -31,27 +31,33 @@ FEATURES, SAMPLE_ROWS, PARTS = 1 << 16, 20_000, 8
 EPOCHS, RATE = 4, 0.5
 #: A labeller votes bad on at most this share of good documents.
 ALARM = 0.003
-#: Marks are learnt from, and their needed weight set by, about this many labelled rows; at most so many marks are held.
-LABELLED_ROWS, MARKS = 20_000, 20_000
-#: Letters of a word's beginning; the least that a text's marks must weigh together, or one of them alone, to be a bad sign.
-BEGINNING, WEIGHT, STRONG = 6, 5.0, 4.8
+#: Marks are learnt from, and the labellers' cuts set by, about this many labelled rows. A mark stands in three of them at least.
+LABELLED_ROWS, LEAST_SEEN = 20_000, 3
+#: Letters of a word's beginnings; the weight from which on a mark is counted as one of several.
+BEGINNINGS, SURE = (5, 6, 7, 8), 2.0
+#: The least cuts: what a text's marks weigh together, the strongest, the number of sure ones, their weight in a hundred words.
+CUTS = (5.0, 4.8, 2.0, 2.0)
 #: Bytes hashed at once.
 SLICE = 1 << 20
-INSULTS = frozenset(
-    "bastard bitch clown cretin crybaby degenerate dickhead dimwit disgusting dumb dumbass fool freak garbage idiot "
-    "imbecile jerk loser lowlife moron pathetic pig retard scum scumbag shit shithead slob stupid subhuman trash "
-    "vermin whore worthless wretch".split()
-)
 _ENDS = tuple(mark + blank for mark in ".?!" for blank in " \n")
 _WORDS = re.compile(r"\w+")
 QUALITY = ("marks", "decorated", "capitals", "word_run", "line_repeats", "separators", "short_words", "word_length", "sentences", "variety")
-TOXICITY = ("insults", "different_insults", "insult_share", "marks_together", "strongest_mark")
+TOXICITY = ("marks_together", "strongest_mark", "sure_marks", "mark_share")
 
 
-def marks_of(words: set[str], marks: dict[str, float]) -> list[float]:
-    """The weights of a text's marks: for each different word the larger of its own and its beginning's."""
-    own = [max(marks.get(w, 0.0), marks.get(w[:BEGINNING] + "*", 0.0) if len(w) > BEGINNING else 0.0) for w in words]
-    return [x for x in own if x]
+def forms_of(word: str) -> list[str]:
+    """What can be a mark in a word: itself, and its beginnings."""
+    return [word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n)]
+
+
+def signs_of(words: set[str], marks: dict[str, float]) -> tuple[float, ...]:
+    """What the labellers of toxicity judge by, in the order of ``CUTS``: a word weighs as much as its heaviest mark.
+
+    Long texts meet marks by chance, so that much is taken off their weight together.
+    """
+    weights = [x for x in (max(marks.get(f, 0.0) for f in forms_of(w)) for w in words) if x]
+    total = sum(weights)
+    return total - math.log1p(len(words) / 100), max(weights, default=0.0), float(sum(x >= SURE for x in weights)), 100 * total / max(30, len(words))
 
 
 def _labelled(frame: DataFrame, labels: DataFrame, text: str, key: str, rows: int) -> DataFrame:
@@ -59,7 +65,7 @@ def _labelled(frame: DataFrame, labels: DataFrame, text: str, key: str, rows: in
     known = labels.select(F.col(f"`{key}`").alias("key"), F.col("toxic").cast("int").alias("toxic")).where("key IS NOT NULL AND toxic IS NOT NULL")
     share = rows / max(1, known.count())
     if share < 1:
-        known = known.where(F.pmod(F.xxhash64("key", F.lit(9)), F.lit(1_000_000)) < int(share * 1_000_000))
+        known = known.where(F.pmod(F.xxhash64("key", F.lit(9)), F.lit(1 << 40)) < int(share * (1 << 40)))
     texts = frame.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).where("text IS NOT NULL")
     # at most about ``rows`` keys
     known = F.broadcast(known.groupBy("key").agg(F.max("toxic").alias("toxic")))
@@ -79,7 +85,7 @@ def learn_marks(frame: DataFrame, labels: DataFrame, text: str = "text", key: st
             sides: tuple[Counter, Counter] = (Counter(), Counter())
             for one, toxic in zip(part["text"], part["toxic"], strict=True):
                 words = set(_WORDS.findall(one.lower()))
-                sides[int(toxic > 0)].update(words | {w[:BEGINNING] + "*" for w in words if len(w) > BEGINNING} | {""})
+                sides[int(toxic > 0)].update({f for w in words for f in forms_of(w)} | {""})
             names = list(sides[0].keys() | sides[1].keys())
             yield pd.DataFrame({"mark": names, "toxic": [sides[1][x] for x in names], "clean": [sides[0][x] for x in names]})
 
@@ -90,36 +96,32 @@ def learn_marks(frame: DataFrame, labels: DataFrame, text: str = "text", key: st
     if total is None or not total.toxic or not total.clean:
         return {}
     weight = F.log((F.col("toxic") - F.sqrt("toxic")) / total.toxic) - F.log((F.col("clean") + 1 + F.sqrt("clean")) / total.clean)
-    found = counted.where("mark <> '' AND toxic >= 3").withColumn("weight", weight).where("weight > 1.5").orderBy(F.desc("weight"), "mark").limit(MARKS)
+    # as many as the bounded sample has
+    found = counted.where(f"mark <> '' AND toxic >= {LEAST_SEEN}").withColumn("weight", weight).where("weight > 1.5")
     return {r.mark: r.weight for r in found.collect()}
 
 
-def together_of(weights: list[float], words: int) -> float:
-    """What a text's marks weigh together; long texts meet marks by chance."""
-    return sum(weights) - math.log1p(words / 100)
-
-
-def needed_weight(frame: DataFrame, labels: DataFrame, marks: dict[str, float], text: str = "text", key: str = "doc_id", rows: int = LABELLED_ROWS) -> float:
-    """The weight that at most ``ALARM`` of the held-out texts that are not toxic exceed, and ``WEIGHT`` at least.
+def learn_cuts(frame: DataFrame, labels: DataFrame, marks: dict[str, float], text: str = "text", key: str = "doc_id", rows: int = LABELLED_ROWS) -> tuple[float, ...]:
+    """For each labeller of toxicity what at most ``ALARM`` of the held-out texts that are not toxic exceed, ``CUTS`` at least.
 
-    The more rows marks are learnt from, the more weak ones there are, so no fixed weight fits every sample.
+    The more rows marks are learnt from, the more weak ones there are, so no fixed cut fits every sample.
     """
 
     def weigh(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            each = [set(_WORDS.findall(one.lower())) for one in part["text"]]
-            yield pd.DataFrame({"weight": [together_of(marks_of(words, marks), len(words)) for words in each]})
+            yield pd.DataFrame([signs_of(set(_WORDS.findall(one.lower())), marks) for one in part["text"]], columns=TOXICITY, dtype=float)
 
     clean = _labelled(frame, labels, text, key, rows).where("held AND toxic = 0").select("text")
-    found = clean.mapInPandas(weigh, "weight double").agg(F.percentile_approx("weight", 1 - ALARM, 100_000)).first()[0]
-    return max(WEIGHT, found if found is not None else WEIGHT)
+    signs = clean.mapInPandas(weigh, ", ".join(f"{name} double" for name in TOXICITY))
+    found = signs.agg(*[F.percentile_approx(name, 1 - ALARM, 100_000) for name in TOXICITY]).first()
+    return tuple(max(least, x if x is not None else least) for least, x in zip(CUTS, found, strict=True))
 
 
-def votes_of(text: str | None, marks: dict[str, float] | None = None, needed: float = WEIGHT) -> tuple[list[int], list[int]]:
+def votes_of(text: str | None, marks: dict[str, float] | None = None, cuts: tuple[float, ...] = CUTS) -> tuple[list[int], list[int]]:
     """Votes on quality and on toxicity: 1 good (not toxic), -1 bad (toxic), 0 none.
 
-    A text without words is bad by its variety and its word length, and has no vote on toxicity. Where marks are known,
-    a text without words of the list has no votes for that: the list knows one language only.
+    A text without words is bad by its variety and its word length, and has no vote on toxicity; nor has any where no
+    marks are known.
     """
     text = text or ""
     tokens = text.split()
@@ -157,23 +159,17 @@ def votes_of(text: str | None, marks: dict[str, float] | None = None, needed: fl
         vote(ends < 0.01 or ends > 0.6, n < 30),
         vote(variety < 0.2, n < 30),
     ]
-    hits = [w for w in words if w in INSULTS] if not INSULTS.isdisjoint(words) else []
-    unsure = len(hits) == 1 or bool(marks and not hits)
-    toxic = [vote(len(hits) >= 2, unsure), vote(len(set(hits)) >= 2, unsure or len(set(hits)) == 1), vote(len(hits) / n > 0.002, unsure)]
     if not marks:
-        return quality, [*toxic, 0, 0]
-    known = set(words)
-    weights = marks_of(known, marks)
-    together, strongest = together_of(weights, len(known)), max(weights, default=0.0)
-    return quality, [*toxic, vote(together > needed), vote(strongest > STRONG, 0 < strongest <= STRONG)]
+        return quality, [0] * len(TOXICITY)
+    return quality, [vote(sign > cut) for sign, cut in zip(signs_of(set(words), marks), cuts, strict=True)]
 
 
-def votes(text: Column, marks: dict[str, float], needed: float) -> Column:
+def votes(text: Column, marks: dict[str, float], cuts: tuple[float, ...]) -> Column:
     """Struct of the two arrays of votes."""
 
     def every(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in parts:
-            both = [votes_of(x if isinstance(x, str) else None, marks, needed) for x in texts]
+            both = [votes_of(x if isinstance(x, str) else None, marks, cuts) for x in texts]
             yield pd.DataFrame({"quality": [x[0] for x in both], "toxicity": [x[1] for x in both]})
 
     every.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
@@ -353,17 +349,17 @@ class QualityModel:
     scorer: Scorer
     toxic_scorer: Scorer
     marks: dict[str, float]
-    needed: float
+    cuts: tuple[float, ...]
 
 
 def fit_quality(frame: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS, labels: DataFrame | None = None, key: str = "doc_id") -> QualityModel:
-    """Estimates the labellers over all documents and trains the scorers on about ``rows`` of them, drawn by a hash of the text.
+    """Estimates the labellers over all documents and trains the scorers on about ``rows`` of their distinct texts, drawn by a hash.
 
     ``labels`` (key, toxic) give the marks of toxic texts; without them the labellers of marks never vote.
     """
     marks = learn_marks(frame, labels, text, key) if labels is not None else {}
-    needed = needed_weight(frame, labels, marks, text, key) if marks else WEIGHT
-    voted = frame.select(F.col(f"`{text}`").alias("text")).withColumn("votes", votes(F.col("text"), marks, needed))
+    cuts = learn_cuts(frame, labels, marks, text, key) if marks else CUTS
+    voted = frame.select(F.col(f"`{text}`").alias("text")).withColumn("votes", votes(F.col("text"), marks, cuts))
     patterns = stored(voted.groupBy("votes").count(), "votes").toPandas()
     counts = patterns["count"].to_numpy(float)
     found = []
@@ -373,10 +369,11 @@ def fit_quality(frame: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS, l
     share = rows / max(1.0, counts.sum())
     sample = frame.select(F.col(f"`{text}`").alias("text")).where("text is not null")
     if share < 1:
-        sample = sample.where(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1_000_000)) < int(share * 1_000_000))
-    sample = stored(sample.withColumn("votes", votes(F.col("text"), marks, needed)), "quality-sample")
+        sample = sample.where(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1 << 40)) < int(share * (1 << 40)))
+    # copies share a hash, so they are drawn together: a text counts once
+    sample = stored(sample.dropDuplicates(["text"]).withColumn("votes", votes(F.col("text"), marks, cuts)), "quality-sample")
     scorers = [train_scorer(sample.withColumn("p", posterior(labels, F.col(f"votes.{task}")))) for labels, task in zip(found, ("quality", "toxicity"), strict=True)]
-    return QualityModel(*found, *scorers, marks, needed)
+    return QualityModel(*found, *scorers, marks, cuts)
 
 
 def posterior(labels: Labels, pattern: Column) -> Column:
@@ -397,15 +394,15 @@ def classify(frame: DataFrame, model: QualityModel, text: str = "text") -> DataF
 
     posterior and not_toxic come from the labellers, score and toxic_score (probabilities of good and of not toxic)
     from the scorers. A document is kept if its quality posterior and score agree that it is good (their mean, in log
-    odds, is above a half), and it is not toxic by the labellers, or the scorer where none of them votes. Null, empty
-    and blank texts are not kept. Repeated rows are judged alike. An empty table gives an empty table.
+    odds, is above a half), and labellers and scorer agree in the same way that it is not toxic; without marks nothing
+    is said of that. Null, empty and blank texts are not kept. Repeated rows are judged alike. An empty table gives an empty table.
     """
-    scorer, toxic_scorer, marks, needed = model.scorer, model.toxic_scorer, model.marks, model.needed
+    scorer, toxic_scorer, marks, cuts = model.scorer, model.toxic_scorer, model.marks, model.cuts
 
     def every(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in parts:
             listed = [x if isinstance(x, str) else None for x in texts]
-            both = [votes_of(x, marks, needed) for x in listed]
+            both = [votes_of(x, marks, cuts) for x in listed]
             rows = _rows(listed)
             p, q = (np.array([s.bias + float(s.weights[c] @ v) for c, v in rows]) for s in (scorer, toxic_scorer))
             yield pd.DataFrame({"quality": [x[0] for x in both], "toxicity": [x[1] for x in both], "p": p, "q": q})
@@ -421,10 +418,9 @@ def classify(frame: DataFrame, model: QualityModel, text: str = "text") -> DataF
         logistic(F.col("j.p")).alias("score"),
         posterior(model.toxicity, F.col("j.toxicity")).alias("not_toxic"),
         logistic(F.col("j.q")).alias("toxic_score"),
-        F.exists("j.toxicity", lambda x: x != 0).alias("voted"),
     )
     good = odd(F.col("posterior")) + odd(F.col("score")) > 0
-    clean = F.when(F.col("voted"), F.col("not_toxic") > 0.5).otherwise(F.col("toxic_score") > 0.5)
+    clean = (odd(F.col("not_toxic")) + odd(F.col("toxic_score")) > 0) if marks else F.lit(True)
     some = F.trim(F.coalesce(F.col("row").getField(text), F.lit(""))) != ""
     new = ("posterior", "score", "not_toxic", "toxic_score", "keep")
     return rows.select(*unpacked(frame.columns, *new), *new[:-1], (good & clean & some).alias("keep"))

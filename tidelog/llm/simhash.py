@@ -162,6 +162,17 @@ def component_of(marked: DataFrame, bits: int = BITS, blocks: int = BLOCKS) -> D
     return stored(rooted.join(least, "root").select("fp", "root", "component"), "simhash-classes")
 
 
+def with_component(frame: DataFrame, into: str, id_column: str = "doc_id", text: str = "text", shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
+    """The frame with a column ``into``: the root of each row's class, a long that no other class has.
+
+    A column of that name is replaced. Repeated rows stay; an empty table stays empty.
+    """
+    rows = frame.select(packed(frame), F.col(f"`{id_column}`").alias("id"), fingerprints(F.col(f"`{text}`"), shingle).alias("fp"))
+    rows = stored(rows, "simhash-rows")
+    classes = component_of(rows, bits).select("fp", "root")
+    return rows.join(classes, "fp").select(*unpacked(frame.columns, into), F.col("root").alias(into))
+
+
 def keep_one(frame: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """One row of each class of near duplicates, with all its columns: the one that has the smallest id.
 
