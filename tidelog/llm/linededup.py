@@ -28,6 +28,15 @@ def _hard(x: Column) -> Column:
     return F.when(F.rand(1) >= 0, x)
 
 
+#: Where a text is cut: at line ends, and at the blank after a sentence.
+_CUT = r"\n| (?<=[.!?…] )(?=\S)"
+
+
+def bodies(text: Column) -> Column:
+    """The bodies of ``with_units`` alone, at less cost."""
+    return F.transform(F.split(F.coalesce(text, F.lit("")), _CUT), lambda x: F.trim(x))
+
+
 def with_units(frame: DataFrame, text: Column) -> DataFrame:
     """Adds ``units``: an array of (line, nth, unit, body) in order; the units put together are the text.
 
@@ -50,12 +59,12 @@ def chunk_heads(frame: DataFrame, order: list[str], text: str = "text", together
     """(party, key, at, h, g): where each chunk begins, with the hashes of its first two lines.
 
     The key is (order columns, hash of the text): rows that agree in these are one document. ``party`` is the value of
-    the column ``together``, or the key without one.
+    the column ``together``, or the same for all without one.
     """
     key = _key(order, text)
-    docs = frame.select((F.col(f"`{together}`") if together else key).alias("party"), key.alias("key"), F.col(f"`{text}`").alias("text"))
-    docs = with_units(docs, F.col("text"))
-    docs = docs.select("party", "key", _hard(F.transform("units", lambda u: F.xxhash64(u["body"]))).alias("hs"))
+    party = F.col(f"`{together}`") if together else F.lit(0)
+    docs = frame.select(party.alias("party"), key.alias("key"), bodies(F.col(f"`{text}`")).alias("bodies"))
+    docs = docs.select("party", "key", _hard(F.transform("bodies", lambda x: F.xxhash64(x))).alias("hs"))
     # rolling[i - 1] is the hash over the lines i - 1 and i
     n = F.size("hs")
     rolling = F.zip_with(F.slice("hs", F.lit(1), n - 1), F.slice("hs", F.lit(2), n - 1), lambda a, b: F.xxhash64(a, b))
@@ -88,7 +97,7 @@ def alignments(frame: DataFrame, order: list[str], text: str = "text", together:
     aligned = stored(aligned.select("key", "other", "shift", low.alias("low"), (F.col("to") + 2 + REACH).alias("high"), "ats"), "alignments")
     others = frame.select(_key(order, text).alias("other"), F.col(f"`{text}`").alias("text"))
     others = others.join(aligned.select("other").distinct(), "other", "left_semi").dropDuplicates(["other"])
-    others = with_units(others, F.col("text")).select("other", F.transform("units", lambda u: u["body"]).alias("bodies"))
+    others = others.select("other", bodies(F.col("text")).alias("bodies"))
     met = aligned.join(stored(others, "others"), "other")
     lines = F.slice("bodies", F.col("low") + F.col("shift") + 1, F.col("high") - F.col("low"))
     return met.select("key", "low", "ats", lines.alias("lines"))
