@@ -53,3 +53,18 @@ def test_a_repeated_batch_replaces_its_rows(spark, tmp_path):
     for commit in (tmp_path / "progress" / "commits").iterdir():
         commit.unlink()
     assert take_in(spark, tmp_path).count() == 4
+
+
+def test_rejected_lines_are_listed_by_batch(spark, tmp_path):
+    wrong = [line("09:00:00", VOTE_START) + "\textra\tx", line("09:00:01", "x") + "\ty"]
+    write(tmp_path / "logs" / "a" / "1.dat", [*votes("M1", 3), wrong[0]])
+    write(tmp_path / "logs" / "b" / "2.dat", [wrong[1], *votes("M2", 1)])
+    rejects = str(tmp_path / "rejects")
+    assert take_in(spark, tmp_path, rejects=rejects).count() == 4
+    listed = spark.read.parquet(rejects)
+    assert sorted(r["reject_line"] for r in listed.collect()) == sorted(wrong)
+    assert {r["file"].rsplit("/", 1)[1] for r in listed.collect()} == {"1.dat", "2.dat"}
+    # the same batch again replaces its rows
+    for commit in (tmp_path / "progress" / "commits").iterdir():
+        commit.unlink()
+    assert take_in(spark, tmp_path, rejects=rejects).count() == 4 and spark.read.parquet(rejects).count() == 2

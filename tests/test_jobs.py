@@ -27,13 +27,20 @@ def test_vote_ingest_from_archives(spark, tmp_path):
     (tmp_path / "unzipped").mkdir()
     (tmp_path / "unzipped" / "m1.jez").write_bytes(zipped({"logd.dat": "\n".join(VOTES)}))
     run(vote_ingest.work, ["INPUT", "OUTPUT", "STATE"], tmp_path, tmp_path / "out", "TO")
-    assert [r["TempoSec"] for r in spark.read.parquet(str(tmp_path / "out" / "parquet")).collect()] == [9]
+    assert [r["TempoSec"] for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [9]
+    assert spark.read.csv(str(tmp_path / "out" / "csv" / "log_urna.csv")).count() == 1
 
 
 def test_vote_ingest_from_folders(spark, tmp_path):
     write(tmp_path / "logs" / "m1" / "logd.dat", VOTES)
     run(vote_ingest.work, ["INPUT", "OUTPUT", "STATE"], tmp_path, tmp_path / "out", "TO")
-    assert spark.read.parquet(str(tmp_path / "out" / "parquet")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+@pytest.mark.parametrize("arguments", [["a"], ["a", "b", "c", "d"]])
+def test_optional_arguments(arguments):
+    with pytest.raises(SystemExit):
+        run_command("test", ["INPUT", "OUTPUT"], lambda *_: None, arguments, optional=["JOB"])
 
 
 def test_vote_report(spark, tmp_path):
@@ -62,6 +69,9 @@ def test_trip_pipeline_and_words(spark, tmp_path):
     run(ingest_csv_to_parquet, ["INPUT", "OUTPUT"], tmp_path / "trips.csv", tmp_path / "trips.parquet")
     run(run_distance, ["INPUT", "OUTPUT"], tmp_path / "trips.parquet", tmp_path / "far.parquet")
     assert [r["distance"] for r in spark.read.parquet(str(tmp_path / "far.parquet")).collect()] == [1.99]
+    for _ in range(2):
+        run_command("test", ["INPUT", "OUTPUT"], run_distance, [str(tmp_path / "trips.parquet"), str(tmp_path / "far.parquet"), "job-1"], optional=["JOB"])
+    assert spark.read.parquet(str(tmp_path / "far.parquet")).count() == 2
     (tmp_path / "t.txt").write_text("to be or not to be")
     run(run_word_count, ["INPUT", "OUTPUT"], tmp_path / "t.txt", tmp_path / "words")
     found = spark.read.csv(str(tmp_path / "words"), header=True).collect()

@@ -112,10 +112,10 @@ def test_line_order_over_many_splits(spark, conf, tmp_path):
 def test_durations(spark, logs, tmp_path):
     target = str(tmp_path / "out")
     assert run_vote_durations(read_machine_logs(spark, logs), target) == 2
-    stored = spark.read.parquet(f"{target}/parquet")
+    stored = spark.read.parquet(target)
     assert stored.dtypes == [("CodigoUrna", "string"), ("DataHora", "timestamp"), ("DataHora_Fim", "timestamp"), ("TempoSec", "bigint")]
     assert {(r["CodigoUrna"], str(r["DataHora"].time()), r["TempoSec"]) for r in stored.collect()} == {("M1", "08:01:00", 30), ("M2", "09:00:00", 10)}
-    assert spark.read.csv(f"{target}/csv").count() == 2
+    assert spark.read.csv(f"{target}/csv/log_urna.csv").count() == 2
     assert run_vote_durations(read_machine_logs(spark, logs), target) == 2
 
 
@@ -183,7 +183,7 @@ def test_null_message_is_no_match(spark):
 
 
 def test_a_file_with_a_third_of_the_lines(spark, conf):
-    """The file is cut into chunks for numbering, and its pairs are split for the join with the facts."""
+    """The file is cut into chunks for numbering, and its pairs are dealt out for the join with the facts."""
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
@@ -210,5 +210,20 @@ def test_a_file_with_a_third_of_the_lines(spark, conf):
     assert report.where("file = 'hot'").count() == 39_000 // 2
     assert report.where("file = 'hot'").agg(F.max("ordinal"), F.countDistinct("ordinal")).collect()[0][:] == (19_500, 19_500)
     assert report.where("start_message IS NULL OR `Turno da UE` IS NULL").count() == 0
+    # facts are copied for the file that is cut, one copy for as many pairs as a chunk has rows
     final = plan_of(report).split("== Initial Plan ==")[0]
-    assert "SortMergeJoin(skew=true)" in final and "_chunk" in final
+    assert "_chunk" in final and "_group" in final
+    plain = vote_report(extract)
+    assert "_group" not in plan_of(plain).split("== Initial Plan ==")[0]
+    assert sorted(map(str, plain.collect())) == sorted(map(str, report.collect()))
+
+
+def test_every_line_is_kept_or_rejected(spark, tmp_path):
+    write(tmp_path / "x" / "f.dat", AWKWARD)
+    flagged = read_machine_logs(spark, str(tmp_path), mode="flagged").collect()
+    assert len(flagged) == sum(1 for text in AWKWARD if text)
+    rejected = [r for r in flagged if r["reject"]]
+    assert [(r["reject"], r["reject_line"]) for r in rejected] == [("7 fields", text) for text in AWKWARD if text.count("\t") > 5]
+    assert all(r[name] is None for r in rejected for name in ("stamp", "machine", "message", "event_time"))
+    kept = sorted(str(r["stamp"]) for r in flagged if not r["reject"])
+    assert kept == sorted(str(r["stamp"]) for r in read_machine_logs(spark, str(tmp_path), mode="tolerant").collect())

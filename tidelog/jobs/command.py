@@ -14,15 +14,20 @@ log = logging.getLogger("tidelog")
 
 
 def run_command(
-    app_name: str, names: Sequence[str], work: Callable[..., object], arguments: Sequence[str] | None = None
+    app_name: str,
+    names: Sequence[str],
+    work: Callable[..., object],
+    arguments: Sequence[str] | None = None,
+    optional: Sequence[str] = (),
 ) -> None:
     """Checks the number of arguments, opens a session, runs ``work(spark, *arguments)``, closes it.
 
-    A wrong number of arguments ends with a warning and exit code 1.
+    A wrong number of arguments ends with a warning and exit code 1. ``optional`` names arguments that
+    may follow.
     """
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     given = list(sys.argv[1:] if arguments is None else arguments)
-    if len(given) != len(names):
+    if not len(names) <= len(given) <= len(names) + len(optional):
         log.warning("%s needs %d arguments: %s", app_name, len(names), " ".join(names))
         sys.exit(1)
     active = SparkSession.getActiveSession()

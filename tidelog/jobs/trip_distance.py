@@ -1,4 +1,4 @@
-"""trip_distance INPUT OUTPUT: adds the distance to trips in Parquet."""
+"""trip_distance INPUT OUTPUT [JOB]: adds the distance to trips in Parquet; a job of the same name adds them once."""
 
 from __future__ import annotations
 
@@ -6,4 +6,4 @@ from tidelog.jobs.command import run_command
 from tidelog.plans.flows import run_distance
 
 if __name__ == "__main__":
-    run_command("trip distance", ["INPUT", "OUTPUT"], run_distance)
+    run_command("trip distance", ["INPUT", "OUTPUT"], run_distance, optional=["JOB"])

@@ -100,6 +100,22 @@ def ordinal_pairs(
     Keys that are cut: numbers within a chunk, plus the rows of earlier chunks, joined back; then starts and ends meet by
     ``(key, ordinal)``, which spreads evenly however the keys do. Without a heavy key nothing of this runs.
     """
+    light, heavy = ordinal_pairs_apart(events, key, order, positions, is_start, is_end, on, carry, rows_per_chunk)
+    return light.unionByName(heavy)
+
+
+def ordinal_pairs_apart(
+    events: DataFrame,
+    key: str,
+    order: Sequence[str],
+    positions: Sequence[Column],
+    is_start: Column,
+    is_end: Column,
+    on: Sequence[str] = (),
+    carry: Sequence[str] = (),
+    rows_per_chunk: int = ROWS_PER_CHUNK,
+) -> tuple[DataFrame, DataFrame]:
+    """``ordinal_pairs`` of the keys in one piece, which lie by key, and of the keys that are cut, which do not."""
     needed = list(dict.fromkeys([*order, *on, *carry]))
     marked = events.select(key, *needed, is_start.alias("_start"), is_end.alias("_end")).where(
         (F.col("_start") | F.col("_end")) & F.col(key).isNotNull()
@@ -112,7 +128,7 @@ def ordinal_pairs(
     along = Window.partitionBy(key, "_is_end").orderBy(*order)
     light = kept.where(whole).repartition(key).withColumn("ordinal", F.row_number().over(along).cast("long"))
     heavy = _number(kept.where(~whole), [key, "_is_end"], chunks, order)
-    return _meet(light, key, on, carry).unionByName(_meet(heavy, key, on, carry))
+    return _meet(light, key, on, carry), _meet(heavy, key, on, carry)
 
 
 def _meet(numbered: DataFrame, key: str, on: Sequence[str], carry: Sequence[str]) -> DataFrame:

@@ -8,13 +8,11 @@ from pyspark.sql import functions as F
 from tidelog.functions.text import cut_at_first_blank
 from tidelog.functions.time import parse_day
 from tidelog.operators.facts import first_facts
-from tidelog.operators.pairing import ordinal_pairs
+from tidelog.operators.pairing import ordinal_pairs_apart
 from tidelog.operators.selection import contains_any, select_events
 from tidelog.operators.skew import ROWS_PER_CHUNK
 from tidelog.schemas import DAY_FORMAT, FIRST_DAY, HEADER_FACTS, VOTE_ACTION, VOTE_END, VOTE_LEVEL, VOTE_START
 
-FACT_COPIES = 8
-
 REPORT_LINE_COLUMNS = ["file", "block", "line_id", "day", "clock", "level", "action", "message"]
 
 
@@ -34,12 +32,12 @@ def report_lines(lines: DataFrame, since: str = FIRST_DAY) -> DataFrame:
 def vote_report(lines: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Ordinal vote pairs per file with the file's header facts; input from ``report_lines``.
 
-    The facts have one row per file and are joined in ``FACT_COPIES`` copies, so the pairs of an
-    oversized file spread over as many join keys, which adaptive execution can cut further. While the
-    facts are small it broadcasts them instead.
+    The facts have one row per file. Pairs of files in one piece already lie by file, so only the facts
+    move. Pairs of a file that is cut are dealt out by their number, ``rows_per_chunk`` to a group, and its
+    facts are copied for each group that there is.
     """
     votes = select_events(lines, {"level": VOTE_LEVEL, "action": VOTE_ACTION})
-    pairs = ordinal_pairs(
+    light, heavy = ordinal_pairs_apart(
         votes,
         key="file",
         order=["block", "line_id"],
@@ -51,9 +49,10 @@ def vote_report(lines: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataF
         rows_per_chunk=rows_per_chunk,
     )
     facts = first_facts(lines, "file", ["block", "line_id"], "message", HEADER_FACTS)
-    copies = facts.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(FACT_COPIES - 1))))
-    spread = pairs.withColumn("_copy", (F.col("ordinal") % FACT_COPIES).cast("int"))
-    return spread.join(copies, ["file", "_copy"], "left").select(
+    dealt = heavy.withColumn("_group", F.expr(f"(ordinal - 1) div {rows_per_chunk}"))
+    copies = dealt.select("file", "_group").distinct().join(facts, "file")
+    joined = light.join(facts, "file", "left").unionByName(dealt.join(copies, ["file", "_group"], "left").drop("_group"))
+    return joined.select(
         "file",
         "ordinal",
         "day",

@@ -120,7 +120,7 @@ def _vote_durations(spark: SparkSession, folder: str) -> DataFrame:
     logs = read_machine_logs(spark, log_files(spark, folder), glob=LOG_FILES_GLOB)
     target = scratch_path(spark, "durations")
     flows.run_vote_durations(logs, target, SINCE)
-    stored = spark.read.parquet(f"{target}/parquet")
+    stored = spark.read.parquet(target)
     return stored.withColumns({name: F.col(name).cast("timestamp_ntz") for name in ("DataHora", "DataHora_Fim")})
 
 
@@ -159,8 +159,10 @@ def _write_partitioned(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _blank_named(spark: SparkSession, folder: str) -> DataFrame:
-    customers = table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    return customers.toDF("cust key", " c name ", "nation", "mkt  segment")
+    """All customers under awkward names, the balance as the text of a decimal, which is the same everywhere."""
+    customers = table(spark, folder, "customer").withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(15,2)").cast("string"))
+    names = {"c_custkey": "cust key", "c_name": " c name ", "c_nationkey": "nation", "c_acctbal": "acct bal ", "c_mktsegment": "mkt  segment"}
+    return customers.select(*[F.col(c).alias(name) for c, name in names.items()])
 
 
 def _sanitize_columns(spark: SparkSession, folder: str) -> DataFrame:
@@ -432,11 +434,13 @@ def oracle_sql() -> dict[str, str]:
         "distinct_projection": "SELECT DISTINCT c_nationkey, c_mktsegment FROM customer",
         "write_partitioned": "SELECT * FROM customer",
         "sanitize_columns": """
-            SELECT c_custkey AS cust_key, c_name AS _c_name_, c_nationkey AS nation, c_mktsegment AS mkt__segment
+            SELECT c_custkey AS cust_key, c_name AS _c_name_, c_nationkey AS nation, c_mktsegment AS mkt__segment,
+                   CAST(CAST(c_acctbal AS DECIMAL(15, 2)) AS VARCHAR) AS acct_bal_
             FROM customer""",
         "ingest_csv_to_parquet": """
             SELECT CAST(c_custkey AS VARCHAR) AS cust_key, c_name AS _c_name_,
-                   CAST(c_nationkey AS VARCHAR) AS nation, c_mktsegment AS mkt__segment
+                   CAST(c_nationkey AS VARCHAR) AS nation, c_mktsegment AS mkt__segment,
+                   CAST(CAST(c_acctbal AS DECIMAL(15, 2)) AS VARCHAR) AS acct_bal_
             FROM customer""",
         "read_machine_logs": _read_logs_sql(""),
         "read_machine_logs_tolerant": _read_logs_sql("WHERE event_type <> 'error'"),

@@ -5,24 +5,23 @@ Each flow runs its transformation once. Counts and second outputs come from the
 
 from __future__ import annotations
 
-import logging
-
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.text import WORD_PATTERN
 from tidelog.operators.columns import with_sanitized_columns
+from tidelog.operators.dimensions import distinct_projection
 from tidelog.operators.distance import great_circle_distance
 from tidelog.operators.pairing import adjacent_pairs
 from tidelog.operators.report import report_lines, vote_report, with_report_names
 from tidelog.operators.selection import select_events
 from tidelog.operators.skew import ROWS_PER_CHUNK
 from tidelog.operators.words import word_count
-from tidelog.schemas import CORRESPONDENCE_TYPES, FIRST_DAY, LOG_FIELDS, VOTE_ACTION, VOTE_END, VOTE_START
+from tidelog.schemas import CORRESPONDENCE_COLUMNS, FIRST_DAY, LOG_FIELDS, VOTE_ACTION, VOTE_END, VOTE_START
 from tidelog.session import settled
 from tidelog.sources.archives import archive_stem
 from tidelog.sources.machine_logs import parse_log_lines, read_machine_logs, with_line_order
-from tidelog.sources.tables import distinct_correspondence, read_csv_untyped, typed_correspondence, write_partitioned
+from tidelog.sources.tables import append_once, read_csv_untyped, typed_correspondence, write_partitioned
 from tidelog.sources.zips import read_archive_lines, strict
 
 
@@ -64,11 +63,12 @@ def vote_durations(marks: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> Da
 
 
 def run_vote_durations(lines: DataFrame, output: str, since: str = FIRST_DAY) -> int:
-    """Durations as Parquet and as headerless CSV, side by side; returns the number of rows."""
+    """Durations as Parquet in ``output`` and as headerless CSV below it; returns the number of rows."""
     with settled(vote_marks(lines, since)) as marks:
-        vote_durations(marks).write.mode("overwrite").parquet(f"{output}/parquet")
-    stored = lines.sparkSession.read.parquet(f"{output}/parquet")
-    stored.write.mode("overwrite").csv(f"{output}/csv")
+        vote_durations(marks).write.mode("overwrite").parquet(output)
+    stored = lines.sparkSession.read.parquet(output)
+    # Fixed value: published name of the CSV.
+    stored.write.mode("overwrite").csv(f"{output}/csv/log_urna.csv")
     return stored.count()
 
 
@@ -124,16 +124,10 @@ def correspondence_text(spark: SparkSession, path: str, glob: str) -> DataFrame:
 def run_correspondence(text: DataFrame, output: str) -> int:
     """Distinct machine/precinct rows of an all-text table, one directory per state; returns the number of rows.
 
-    How many values did not fit their type, and are null, is logged for each column.
+    Columns get the narrowest types that hold all their values, so no value is lost.
     """
-    distinct = distinct_correspondence(text)
-    misfits = [name for name in distinct.columns if name not in CORRESPONDENCE_TYPES]
-    seen = Observation("misfits")
-    counted = distinct.observe(seen, *[F.count(name).alias(name) for name in misfits])
-    write_partitioned(counted.select(*CORRESPONDENCE_TYPES), f"{output}/parquet", ["SG_UF"])
-    for name, count in seen.get.items():
-        if count:
-            logging.getLogger(__name__).warning("values that do not fit: %s: %d", name.removeprefix("_misfit_"), count)
+    distinct = distinct_projection(typed_correspondence(text), CORRESPONDENCE_COLUMNS)
+    write_partitioned(distinct, f"{output}/parquet", ["SG_UF"])
     return text.sparkSession.read.parquet(f"{output}/parquet").count()
 
 
@@ -147,9 +141,13 @@ def ingest_csv_to_parquet(spark: SparkSession, source: str, target: str) -> None
     with_sanitized_columns(read_csv_untyped(spark, source)).write.mode("errorifexists").parquet(target)
 
 
-def run_distance(spark: SparkSession, source: str, target: str) -> None:
-    """Trips from Parquet with their distance, appended to the target."""
-    great_circle_distance(spark.read.parquet(source)).write.mode("append").parquet(target)
+def run_distance(spark: SparkSession, source: str, target: str, job_id: str | None = None) -> None:
+    """Trips from Parquet with their distance, appended to the target; with a job id, once however often it runs."""
+    far = great_circle_distance(spark.read.parquet(source))
+    if job_id is None:
+        far.write.mode("append").parquet(target)
+    else:
+        append_once(far, target, job_id)
 
 
 def run_word_count(spark: SparkSession, source: str, target: str, pattern: str = WORD_PATTERN, line_end: str | None = None) -> None:

@@ -40,13 +40,13 @@ HEADER_FACTS = {
     "Seção Eleitoral": ("Seção Eleitoral", ":"),
 }
 
-# Columns kept of the machine/precinct table, with their types.
-CORRESPONDENCE_TYPES = {
-    "AA_ELEICAO": "int",
-    "CD_PLEITO": "int",
-    "SG_UF": "string",
-    "CD_MUNICIPIO": "int",
-    "NM_MUNICIPIO": "string",
-    "NR_ZONA": "int",
-    "NR_URNA_ESPERADA": "int",
-}
+# Columns kept of the machine/precinct table.
+CORRESPONDENCE_COLUMNS = [
+    "AA_ELEICAO",
+    "CD_PLEITO",
+    "SG_UF",
+    "CD_MUNICIPIO",
+    "NM_MUNICIPIO",
+    "NR_ZONA",
+    "NR_URNA_ESPERADA",
+]

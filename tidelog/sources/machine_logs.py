@@ -26,12 +26,13 @@ def read_machine_logs(
     """Log lines with their six fields, event time, file and file block.
 
     ``mode="strict"`` reads by schema: a long line is cut to six fields. ``mode="tolerant"`` drops
-    long lines. Both pad short lines with nulls and skip blank ones. Quotes are ordinary characters
-    unless ``quote`` names one (strict mode only), since messages are free text.
+    long lines, ``mode="flagged"`` keeps them as rows with ``reject`` and ``reject_line`` (see
+    ``flag_log_lines``). All pad short lines with nulls and skip blank ones. Quotes are ordinary
+    characters unless ``quote`` names one (strict mode only), since messages are free text.
 
     ``glob`` is matched below ``path``; with ``recursive`` its last part is matched at any depth.
     """
-    if mode not in ("strict", "tolerant"):
+    if mode not in ("strict", "tolerant", "flagged"):
         raise ValueError(f"unknown mode: {mode}")
     reader = spark.read.options(encoding=encoding, header=False, quote=quote, escape="")
     source, lookup = locate(path, glob, recursive)
@@ -41,7 +42,7 @@ def read_machine_logs(
         fields = reader.schema(LOG_SCHEMA).csv(source, sep="\t").select(*LOG_FIELDS, *place)
         return with_event_time(fields)
     lines = reader.schema("value string").csv(source, sep=NO_SEPARATOR).select("value", *place)
-    return parse_log_lines(lines, "value", drop_long=True)
+    return flag_log_lines(lines, "value") if mode == "flagged" else parse_log_lines(lines, "value", drop_long=True)
 
 
 def locate(path: str, glob: str, recursive: bool) -> tuple[str, dict[str, str]]:
@@ -53,10 +54,35 @@ def locate(path: str, glob: str, recursive: bool) -> tuple[str, dict[str, str]]:
 
 def parse_log_lines(lines: DataFrame, line: str, drop_long: bool) -> DataFrame:
     """Six fields and event time from a column of whole lines; the other columns stay."""
+    if drop_long:
+        return kept_lines(flag_log_lines(lines, line))
+    return _parsed(lines.where(F.length(line) > 0), line).drop(line)
+
+
+def flag_log_lines(lines: DataFrame, line: str) -> DataFrame:
+    """``parse_log_lines`` of every line, with ``reject``, why a line is no log line, and the text of such a line.
+
+    Kept lines have null in both; rejected ones null in all fields. Blank lines are neither.
+    """
+    parts = F.size(F.split(F.col(line), "\t", -1))
+    reject = F.when(parts > len(LOG_FIELDS), F.concat(parts.cast("string"), F.lit(" fields")))
+    flagged = lines.where(F.length(line) > 0).withColumn("reject", reject)
+    rejected = F.col("reject").isNotNull()
+    found = _parsed(flagged, line)
+    fields = [F.when(~rejected, F.col(name)).alias(name) for name in (*LOG_FIELDS, "event_time")]
+    others = [name for name in lines.columns if name != line]
+    return found.select(*fields, *others, "reject", F.when(rejected, F.col(line)).alias("reject_line"))
+
+
+def kept_lines(flagged: DataFrame) -> DataFrame:
+    """The log lines of ``flag_log_lines``."""
+    return flagged.where("reject IS NULL").drop("reject", "reject_line")
+
+
+def _parsed(lines: DataFrame, line: str) -> DataFrame:
     parts = F.split(F.col(line), "\t", -1)
-    kept = lines.where((F.length(line) > 0) & (F.size(parts) <= len(LOG_FIELDS) if drop_long else F.lit(True)))
     fields = [F.nullif(F.get(parts, F.lit(at)), F.lit("")).alias(name) for at, name in enumerate(LOG_FIELDS)]
-    return with_event_time(kept.select(*fields, *[name for name in lines.columns if name != line]))
+    return with_event_time(lines.select(*fields, *lines.columns))
 
 
 def with_event_time(fields: DataFrame) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.operators.dimensions import distinct_projection
-from tidelog.schemas import CORRESPONDENCE_TYPES
+from tidelog.schemas import CORRESPONDENCE_COLUMNS
+from tidelog.sources.types import narrowest_types, with_types
 
 
 def read_csv_untyped(spark: SparkSession, path: str | list[str], sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
@@ -16,38 +17,41 @@ def read_csv_untyped(spark: SparkSession, path: str | list[str], sep: str = ",",
     return spark.read.csv(path, header=True, sep=sep, encoding=encoding)
 
 
-def read_correspondence(
-    spark: SparkSession, path: str | list[str], encoding: str = "ISO-8859-1", infer: bool = False
-) -> DataFrame:
-    """Semicolon CSV of machines and precincts: the known columns by name, with known types.
-
-    Naming the types saves the pass over all files that inference takes (``infer=True`` takes it).
-    Text that does not fit a type becomes null; ``distinct_correspondence`` keeps rows apart that differ in it.
-    """
-    raw = spark.read.csv(path, sep=";", header=True, encoding=encoding, inferSchema=infer)
-    return raw.select(*CORRESPONDENCE_TYPES) if infer else typed_correspondence(raw)
+def read_correspondence(spark: SparkSession, path: str | list[str], encoding: str = "ISO-8859-1") -> DataFrame:
+    """Semicolon CSV of machines and precincts: the known columns by name, typed by their values."""
+    return typed_correspondence(read_csv_untyped(spark, path, sep=";", encoding=encoding))
 
 
 def typed_correspondence(raw: DataFrame) -> DataFrame:
-    """The known columns of an all-text frame, cast to their types."""
-    return raw.select(
-        *[
-            F.col(name) if kind == "string" else F.col(name).try_cast(kind).alias(name)
-            for name, kind in CORRESPONDENCE_TYPES.items()
-        ]
-    )
+    """The known columns of an all-text frame, each with the narrowest type that holds all its values."""
+    return with_types(raw, narrowest_types(raw, CORRESPONDENCE_COLUMNS))
 
 
-def distinct_correspondence(raw: DataFrame) -> DataFrame:
-    """Distinct rows of an all-text frame as the known columns, cast to their types.
+def append_once(frame: DataFrame, path: str, job_id: str) -> None:
+    """Appends Parquet files to a folder under the name of a job; the same job again adds nothing.
 
-    Values that do not fit their type are compared as text, so rows that differ only there all stay. Such values are
-    null in the result; how many there are of each column, once per distinct row, is logged when the result is used.
+    The files are written aside and then renamed to names made of the job and their number. A job that
+    was cut off leaves files known by its name, which its next run takes away before it adds its own;
+    the mark of a finished job is its last act.
     """
-    columns = [name for name, kind in CORRESPONDENCE_TYPES.items() if kind != "string"]
-    misfits = [F.when(F.col(n).try_cast(CORRESPONDENCE_TYPES[n]).isNull(), F.col(n)).alias(f"_misfit_{n}") for n in columns]
-    typed = [F.col(n).try_cast(kind).alias(n) if kind != "string" else F.col(n) for n, kind in CORRESPONDENCE_TYPES.items()]
-    return distinct_projection(raw.select(*typed, *misfits), [*CORRESPONDENCE_TYPES, *[f"_misfit_{n}" for n in columns]])
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9.=-]*", job_id):
+        raise ValueError(f"a job id has letters, digits, dots and hyphens: {job_id!r}")
+    context = frame.sparkSession.sparkContext
+    at = context._jvm.org.apache.hadoop.fs.Path
+    aside, done = at(f"{path}/_adding-{job_id}"), at(f"{path}/_jobs/{job_id}")
+    files = done.getFileSystem(context._jsc.hadoopConfiguration())
+    if files.exists(done):
+        return
+    frame.write.mode("overwrite").parquet(aside.toString())
+    for old in files.listStatus(at(path)):
+        if old.getPath().getName().endswith(f"-of-{job_id}.parquet"):
+            files.delete(old.getPath(), False)
+    parts = sorted(f.getPath().getName() for f in files.listStatus(aside) if f.getPath().getName().startswith("part-"))
+    for n, part in enumerate(parts):
+        if not files.rename(at(aside, part), at(f"{path}/part-{n:05}-of-{job_id}.parquet")):
+            raise OSError(f"could not rename {part} of job {job_id}")
+    files.create(done, True).close()
+    files.delete(aside, True)
 
 
 def write_partitioned(frame: DataFrame, path: str, keys: Sequence[str]) -> None:
