@@ -465,6 +465,31 @@ def test_html_odd_pages(spark):
     assert htmltext.extract(frame.limit(0), host).count() == 0
 
 
+def extracted(spark, htmls):
+    pages = spark.createDataFrame([(k, x) for k, x in enumerate(htmls)], "page_id long, html string")
+    return {r.page_id: r.text for r in htmltext.extract(pages, F.lit("h")).collect()}
+
+
+def test_html_names_do_not_take_articles_away(spark):
+    body = "<p>First of it.</p><p>And the rest.</p>"
+    layouts = [
+        f'<div class="layout has-sidebar"><article>{body}</article><div class="sidebar">Menu</div></div>',
+        f'<article class="post comments-open">{body}</article><section class="comments"><article class="comment">Nice!</article></section>',
+        f'<div id="page" class="no-ads"><article>{body}</article></div><div class="site-footer">Imprint</div>',
+        f'<div class="overlay"><main>{body}</main></div><div id="related"><article>Elsewhere</article></div>',
+        f'<article>{body}<div class="share share-buttons">Tweet</div></article>',
+    ]
+    for layout in layouts:
+        assert extracted(spark, [f"<html><body>{layout}</body></html>"]) == {0: "First of it. And the rest."}
+    voiced = '<article><p>First of it.</p><div class="share-of-voice">All of it.</div></article>'
+    assert extracted(spark, [voiced]) == {0: "First of it. All of it."}
+
+
+def test_html_paragraph_of_two_of_three_pages_stays(spark):
+    pages = [f"<html><body><article><h1>Title {k}</h1><p>Own text {k}.</p>{'<div>The same on both.</div>' if k < 2 else ''}</article></body></html>" for k in range(3)]
+    assert extracted(spark, pages) == {k: f"Title {k} Own text {k}." + (" The same on both." if k < 2 else "") for k in range(3)}
+
+
 # quality
 
 

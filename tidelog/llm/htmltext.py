@@ -45,6 +45,8 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _PART = re.compile(r"[a-z]+")
+#: Pages on which an unchanging text must stand, at least, and share of its host's pages.
+UNCHANGING_PAGES, UNCHANGING_SHARE = 3, 0.5
 # Fixed values of HTML: tags without content, tags within a line, tags that a new block ends
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q ruby rp rt s samp small span strike strong sub sup time tt u var label".split())
@@ -63,15 +65,20 @@ _ASIDE_WORDS = frozenset(
     "recommendations widget toolbar pagination pager copyright disclaimer skip feedback".split()
 )
 _HEADER_WORDS = frozenset({"header", "topbar"})
+# Words that a name of several may add to those above without a meaning of its own
+_NEUTRAL_WORDS = frozenset("area bar block box button buttons container content footer global group header inner item items left link links list main page primary right secondary section site slot top bottom unit widget wrap wrapper".split())
+# Places whose articles are not the page's own
+_OTHERS_WORDS = frozenset("comment comments disqus reply replies respond related recommended recommendations".split())
 
 
 class Place:
-    """An open element: its tag, the hash of its path, and whether it is aside, in an article, or in a link."""
+    """An open element: its tag, the hash of its path, and whether it is aside (by its kind, or only by a name), in an
+    article, or in a link."""
 
-    __slots__ = ("tag", "path", "hash", "aside", "main", "linked", "up")
+    __slots__ = ("tag", "path", "hash", "aside", "named", "main", "linked", "up")
 
-    def __init__(self, tag: str, path: str, aside: bool, main: bool, linked: int, up: list[int]) -> None:
-        self.tag, self.path, self.aside, self.main, self.linked = tag, path, aside, main, linked
+    def __init__(self, tag: str, path: str, aside: bool, main: bool, linked: int, up: list[int], named: frozenset[str] = frozenset()) -> None:
+        self.tag, self.path, self.aside, self.main, self.linked, self.named = tag, path, aside or bool(named), main, linked, named
         self.hash = xxhash.xxh64_intdigest(path) if path else 0
         self.up = [*up, self.hash]
 
@@ -120,27 +127,49 @@ def walk(html: str) -> Iterator[tuple[str, Place, tuple[str, int]]]:
         yield "text", stack[-1], (html[at:], links)
 
 
+def _names_aside(tokens: set[str], words: frozenset[str]) -> frozenset[str]:
+    """The words by which a name of a class or id says that a place is aside: the whole name must say so.
+
+    ``site-footer`` does, ``has-sidebar`` and ``comments-open`` do not.
+    """
+    found = set()
+    for token in tokens:
+        parts = set(_PART.findall(token))
+        if (said := parts & words) and parts <= words | _NEUTRAL_WORDS:
+            found |= said
+    return frozenset(found)
+
+
 def _entered(above: Place, tag: str, attributes: str) -> Place:
-    aside, main, named = above.aside, above.main, tag
-    words: set[str] = set()
+    # what an element above is by its kind, apart from what it is by its name
+    aside, main, path = above.aside and not above.named, above.main, tag
+    begins = tag in ("article", "main")
+    tokens: set[str] = set()
     if attributes:
         for m in _ATTRIBUTE.finditer(attributes):
             name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
             if name in ("class", "id"):
-                words.update(_PART.findall(value))
-                named += f".{re.sub(r'[0-9]+', '0', value)}"
+                tokens.update(value.split())
+                path += f".{re.sub(r'[0-9]+', '0', value)}"
             elif name == "role":
                 aside |= value in _ASIDE_ROLES
-                main |= value in ("main", "article")
+                begins |= value in ("main", "article")
             elif name == "itemprop":
-                main |= value == "articlebody"
+                begins |= value == "articlebody"
             elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
                 aside = True
-    if tag not in ("html", "body", "main"):
-        aside |= tag in _ASIDE_TAGS or not words.isdisjoint(_ASIDE_WORDS)
-        if not main and tag != "article":
-            aside |= tag == "header" or not words.isdisjoint(_HEADER_WORDS)
-    return Place(tag, f"{above.path}>{named}", aside, main or tag in ("article", "main"), 0, above.up)
+    named = above.named
+    if begins:
+        # a name never takes an article away, but that of comments and of pages elsewhere
+        named = named & _OTHERS_WORDS | _names_aside(tokens, _OTHERS_WORDS)
+    elif tag not in ("html", "body"):
+        aside |= tag in _ASIDE_TAGS
+        named |= _names_aside(tokens, _ASIDE_WORDS)
+        if not main:
+            aside |= tag == "header"
+            named |= _names_aside(tokens, _HEADER_WORDS)
+    # once by its kind, always: the names matter only where that is all
+    return Place(tag, f"{above.path}>{path}", aside, main or begins, 0, above.up, frozenset() if aside else named)
 
 
 def page_tokens(html: str) -> dict[int, list]:
@@ -229,9 +258,11 @@ def deduce_templates(pages: DataFrame, host: Column, html: str = "html") -> Data
     template = valid.select("host", "token", "flags", "of", "depth")
     template = stored(template, "template")
     # each token's text goes to the slot of the deepest template token above it
-    varies, distinct = F.col("first_text") != F.col("last_text"), F.col("first_page") != F.col("last_page")
+    # a text that a few pages share may be theirs; one that most pages of a host show is the host's
+    shown = (F.col("pages") >= UNCHANGING_PAGES) & (F.col("pages") > F.col("of") * UNCHANGING_SHARE)
+    varies, distinct = F.col("first_text") != F.col("last_text"), (F.col("first_page") != F.col("last_page")) & shown
     worded = F.col("chars") > 0
-    places = summed.select("host", "token", "chars", "linked", (worded & varies).alias("varies"), (worded & ~varies & distinct).alias("same"), F.explode("above").alias("slot"))
+    places = summed.join(roots.select("host", "of"), "host").select("host", "token", "chars", "linked", (worded & varies).alias("varies"), (worded & ~varies & distinct).alias("same"), F.explode("above").alias("slot"))
     home = places.join(template.select("host", F.col("token").alias("slot"), "depth"), ["host", "slot"])
     deepest = home.groupBy("host", "token").agg(F.max("depth").alias("depth"))
     home = home.join(deepest, ["host", "token", "depth"])
