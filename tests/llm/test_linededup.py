@@ -97,7 +97,8 @@ def test_documents_together_do_not_cut_each_other(spark):
     party = {d: d % 10 for d, _ in rows}
     gone = brute(rows, party)
     frame = spark.createDataFrame([(*r, party[r[0]]) for r in rows], "doc_id long, text string, class long")
-    found = {r.doc_id: r.n_removed for r in linededup.dedup_lines(frame, together="class").collect()}
+    classes = frame.select(F.xxhash64("text").alias("text_hash"), F.col("class").alias("party"))
+    found = {r.doc_id: r.n_removed for r in linededup.dedup_lines(frame, together=classes).collect()}
     assert found == {d: len(gone[d]) for d, _ in rows}
     # parties 0 to 4 hold the passages first, in all their documents; 5 to 9 lose them in all
     assert all((n > 0) == (d % 10 >= 5) for d, n in found.items())
@@ -140,5 +141,7 @@ def test_odd_rows(spark):
     assert {(r.doc_id, r.text) for r in found if r.doc_id != 6} == {(i, t) for i, t in ODD if i != 6} and len(found) == len(ODD)
     assert [(r.text, r.n_removed) for r in found if r.doc_id == 6] == [("the same line again and again, as it was before", 199)]
     assert linededup.dedup_lines(odd.limit(0)).count() == 0
-    again = linededup.dedup_lines(odd, order=["lang", "doc_id"], together="host").collect()
+    classes = odd.select(F.xxhash64("text").alias("text_hash"), F.lit(1).alias("party")).distinct()
+    again = linededup.dedup_lines(odd, order=["lang", "doc_id"], together=classes).collect()
     assert len(again) == len(ODD) and all(r.n_removed == 0 for r in again)
+    assert len(linededup.dedup_lines(odd, together=classes.limit(0)).collect()) == len(ODD)

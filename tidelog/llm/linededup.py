@@ -55,28 +55,33 @@ def _key(order: list[str], text: str) -> Column:
     return F.struct(*nulls_last, F.xxhash64(F.col(f"`{text}`")).alias("text_hash"))
 
 
-def chunk_heads(frame: DataFrame, order: list[str], text: str = "text", together: str | None = None) -> DataFrame:
+def chunk_heads(frame: DataFrame, order: list[str], text: str = "text", together: DataFrame | None = None) -> DataFrame:
     """(party, key, at, h, g): where each chunk begins, with the hashes of its first two lines.
 
-    The key is (order columns, hash of the text): rows that agree in these are one document. ``party`` is the value of
-    the column ``together``, or the same for all without one.
+    The key is (order columns, hash of the text): rows that agree in these are one document. ``party`` is what
+    ``together`` (text_hash, party) says of the text's hash; texts that it does not name, and all without it, have none.
     """
-    key = _key(order, text)
-    party = F.col(f"`{together}`") if together else F.lit(0)
-    docs = frame.select(party.alias("party"), key.alias("key"), bodies(F.col(f"`{text}`")).alias("bodies"))
-    docs = docs.select("party", "key", _hard(F.transform("bodies", lambda x: F.xxhash64(x))).alias("hs"))
+    docs = frame.select(_key(order, text).alias("key"), bodies(F.col(f"`{text}`")).alias("bodies"))
+    docs = docs.select("key", _hard(F.transform("bodies", lambda x: F.xxhash64(x))).alias("hs"))
     # rolling[i - 1] is the hash over the lines i - 1 and i
     n = F.size("hs")
     rolling = F.zip_with(F.slice("hs", F.lit(1), n - 1), F.slice("hs", F.lit(2), n - 1), lambda a, b: F.xxhash64(a, b))
-    docs = docs.select("party", "key", "hs", _hard(rolling).alias("rolling"))
+    docs = docs.select("key", "hs", _hard(rolling).alias("rolling"))
     low = lambda i, j: F.get("rolling", i - 1) <= F.coalesce(F.get("rolling", j), F.get("rolling", i - 1))
     begins = F.filter(F.sequence(F.lit(0), n - 2), lambda i: (i == 0) | (low(i, i - 2) & low(i, i)))
-    docs = docs.where(n > 1).select("party", "key", "hs", _hard(begins).alias("begins"))
+    docs = docs.where(n > 1).select("key", "hs", _hard(begins).alias("begins"))
     heads = F.transform("begins", lambda i: F.struct(i.alias("at"), F.get("hs", i).alias("h"), F.get("hs", i + 1).alias("g")))
-    return docs.select("party", "key", F.explode(heads).alias("x")).select("party", "key", "x.at", "x.h", "x.g")
+    if together is None:
+        found = docs.select(F.lit(None).cast("long").alias("party"), "key", F.explode(heads).alias("x"))
+    else:
+        # few numbers a document move here, not its text
+        parties = together.select(F.col("text_hash").alias("th"), "party")
+        docs = docs.select("key", _hard(heads).alias("heads")).join(parties, F.col("key.text_hash") == F.col("th"), "left")
+        found = docs.select("party", "key", F.explode("heads").alias("x"))
+    return found.select("party", "key", "x.at", "x.h", "x.g")
 
 
-def alignments(frame: DataFrame, order: list[str], text: str = "text", together: str | None = None) -> DataFrame:
+def alignments(frame: DataFrame, order: list[str], text: str = "text", together: DataFrame | None = None) -> DataFrame:
     """(key, low, ats, lines): for each document the stretches to compare with earlier ones.
 
     ``lines`` are the bodies of the other document from the line on that should equal line ``low``; ``ats`` are the lines
@@ -89,8 +94,8 @@ def alignments(frame: DataFrame, order: list[str], text: str = "text", together:
     # stored, so that the join has two plain sides and adaptive execution may split a hot beginning
     first = stored(first.select("h", "g", "first"), "firsts")
     later = heads.join(first, ["h", "g"]).where(F.struct("party", "key", "at") != F.col("first"))
-    if together:
-        later = later.where(~F.col("party").eqNullSafe(F.col("first.party")))
+    if together is not None:
+        later = later.where((F.col("party") == F.col("first.party")).isNull() | (F.col("party") != F.col("first.party")))
     aligned = later.groupBy("key", F.col("first.key").alias("other"), (F.col("first.at") - F.col("at")).alias("shift"))
     aligned = aligned.agg(F.min("at").alias("from"), F.max("at").alias("to"), F.collect_set("at").alias("ats"))
     low = F.greatest(F.lit(0), -F.col("shift"), F.col("from") - REACH)
@@ -127,7 +132,7 @@ def _repeated(compared: str, units: str) -> list[tuple[str, Column]]:
     return [("narrow", narrow), ("runs", runs), ("gone", gone)]
 
 
-def dedup_lines(frame: DataFrame, order: list[str] | None = None, text: str = "text", together: str | None = None) -> DataFrame:
+def dedup_lines(frame: DataFrame, order: list[str] | None = None, text: str = "text", together: DataFrame | None = None) -> DataFrame:
     """The frame with repeated passages cut out of ``text``, and new columns n_removed (units) and removed_chars.
 
     Of each beginning of a chunk (two lines) the first place in the table counts; every other one is compared with it,
@@ -135,8 +140,9 @@ def dedup_lines(frame: DataFrame, order: list[str] | None = None, text: str = "t
     alike at the same distance and REACH lines beyond. What goes is equal to lines that stand earlier, so the first
     place of every line stays.
 
-    ``order`` names the columns by which the first place is found (``doc_id`` unless given; null comes last), ``together``
-    one whose equal values mark documents that shall not cut each other; it goes before them. Rows that agree in the
+    ``order`` names the columns by which the first place is found (``doc_id`` unless given; null comes last). ``together``
+    (text_hash, party) puts texts, by their xxhash64, into parties that shall not cut each other; a party's number goes
+    before the order. Rows that agree in the
     order columns and in the text count as one document and come out alike. A null text stays null and an empty one empty. What
     repeats within a document counts as repeated too. A text of one line stays. Other columns pass; columns named n_removed or
     removed_chars are replaced. An empty table gives an empty table.

@@ -162,15 +162,15 @@ def component_of(marked: DataFrame, bits: int = BITS, blocks: int = BLOCKS) -> D
     return stored(rooted.join(least, "root").select("fp", "root", "component"), "simhash-classes")
 
 
-def with_component(frame: DataFrame, into: str, id_column: str = "doc_id", text: str = "text", shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """The frame with a column ``into``: the root of each row's class, a long that no other class has.
+def classes_of_texts(frame: DataFrame, text: str = "text", shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
+    """(text_hash, root): for the hash of each text the class of near duplicates, a long that no other class has.
 
-    A column of that name is replaced. Repeated rows stay; an empty table stays empty.
+    Only hashes and fingerprints are stored and shuffled. An empty table gives an empty table.
     """
-    rows = frame.select(packed(frame), F.col(f"`{id_column}`").alias("id"), fingerprints(F.col(f"`{text}`"), shingle).alias("fp"))
-    rows = stored(rows, "simhash-rows")
-    classes = component_of(rows, bits).select("fp", "root")
-    return rows.join(classes, "fp").select(*unpacked(frame.columns, into), F.col("root").alias(into))
+    content = F.col(f"`{text}`")
+    marked = stored(frame.select(F.xxhash64(content).alias("id"), fingerprints(content, shingle).alias("fp")), "simhash")
+    texts = marked.groupBy("id", "fp").agg(F.count("*").alias("n"))
+    return stored(texts.join(component_of(marked, bits), "fp").groupBy(F.col("id").alias("text_hash")).agg(F.min("root").alias("root")), "simhash-texts")
 
 
 def keep_one(frame: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
