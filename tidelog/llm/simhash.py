@@ -162,15 +162,17 @@ def component_of(marked: DataFrame, bits: int = BITS, blocks: int = BLOCKS) -> D
     return stored(rooted.join(least, "root").select("fp", "root", "component"), "simhash-classes")
 
 
-def classes_of_texts(frame: DataFrame, text: str = "text", shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """(text_hash, root): for the hash of each text the class of near duplicates, a long that no other class has.
+def classes_of_texts(frame: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
+    """(text_hash, component): for the hash of each text the smallest id in its class of near duplicates.
 
-    Only hashes and fingerprints are stored and shuffled. An empty table gives an empty table.
+    Only ids, hashes and fingerprints are stored and shuffled. Classes without any id are left out; an empty table gives
+    an empty table.
     """
     content = F.col(f"`{text}`")
-    marked = stored(frame.select(F.xxhash64(content).alias("id"), fingerprints(content, shingle).alias("fp")), "simhash")
-    texts = marked.groupBy("id", "fp").agg(F.count("*").alias("n"))
-    return stored(texts.join(component_of(marked, bits), "fp").groupBy(F.col("id").alias("text_hash")).agg(F.min("root").alias("root")), "simhash-texts")
+    marked = stored(frame.select(F.col(f"`{id_column}`").alias("id"), F.xxhash64(content).alias("text_hash"), fingerprints(content, shingle).alias("fp")), "simhash")
+    classes = component_of(marked, bits).where("component IS NOT NULL").select("fp", "component")
+    texts = marked.groupBy("text_hash").agg(F.min("fp").alias("fp"))
+    return stored(texts.join(classes, "fp").select("text_hash", "component"), "simhash-texts")
 
 
 def keep_one(frame: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
