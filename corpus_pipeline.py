@@ -31,7 +31,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Near duplicates do not cut each other, and are all cut alike: else what differs between them would be left as
     documents that the next stage can no longer tell. It finds whole near duplicates and keeps one.
     """
-    classes = simhash.classes_of_texts(docs).withColumnRenamed("root", "party")
+    classes = simhash.classes_of_texts(docs).withColumnRenamed("component", "party")
     # stored first: a filter on the new text would make Catalyst copy the nested chunk expressions into it
     cut = stored(linededup.dedup_lines(docs, together=classes), "lines")
     cut = cut.where((F.col("n_removed") == 0) | (F.trim("text") != ""))
