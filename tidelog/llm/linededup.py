@@ -71,13 +71,12 @@ def chunk_heads(frame: DataFrame, order: list[str], text: str = "text", together
     begins = F.filter(F.sequence(F.lit(0), n - 2), lambda i: (i == 0) | (low(i, i - 2) & low(i, i)))
     docs = docs.where(n > 1).select("key", "hs", _hard(begins).alias("begins"))
     heads = F.transform("begins", lambda i: F.struct(i.alias("at"), F.get("hs", i).alias("h"), F.get("hs", i + 1).alias("g")))
-    if together is None:
-        found = docs.select(F.lit(None).cast("long").alias("party"), "key", F.explode(heads).alias("x"))
-    else:
-        # few numbers a document move here, not its text
+    party = F.lit(None).cast("long")
+    if together is not None:
+        # hashes and few numbers a document move here, not its text; rows are made after it, as arrays of structs are slow to unnest
         parties = together.select(F.col("text_hash").alias("th"), "party")
-        docs = docs.select("key", _hard(heads).alias("heads")).join(parties, F.col("key.text_hash") == F.col("th"), "left")
-        found = docs.select("party", "key", F.explode("heads").alias("x"))
+        docs, party = docs.join(parties, F.col("key.text_hash") == F.col("th"), "left"), F.col("party")
+    found = docs.select(party.alias("party"), "key", F.explode(heads).alias("x"))
     return found.select("party", "key", "x.at", "x.h", "x.g")
 
 
