@@ -104,6 +104,19 @@ def test_documents_together_do_not_cut_each_other(spark):
     assert all((n > 0) == (d % 10 >= 5) for d, n in found.items())
 
 
+def test_documents_meet_once(spark):
+    """Stretches that two documents share at many distances take one row."""
+    rng = np.random.default_rng(11)
+    pair = [words(rng) + ".", words(rng) + "."]
+    rows = [(d, "\n".join(x for _ in range(30) for x in [*pair, words(rng) + "."])) for d in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = linededup.alignments(docs, ["doc_id"])
+    assert found.count() == found.select("key").distinct().count() <= 20
+    gone = brute(rows)
+    assert {r.doc_id: r.n_removed for r in linededup.dedup_lines(docs).collect()} == {d: len(gone[d]) for d, _ in rows}
+    assert sum(map(len, gone.values())) > 100
+
+
 def test_planted_passages(spark):
     """Shares of passages of one to six lines (two sentences each) that go from a second and third document."""
     rng = np.random.default_rng(5)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tests.llm.test_operators import TABLES
-from tidelog.llm import simhash
+from tests.llm.test_operators import ODD, TABLES
+from tidelog.llm import linededup, simhash
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -58,6 +59,70 @@ def test_passages_go_from_all_documents_of_a_class(spark):
     assert through(spark, rows, DEDUP) == [(0, rows[0][1]), (1, "\n".join(own[1])), (3, rows[3][1])]
 
 
+def test_line_stage_runs_no_python(spark, monkeypatch):
+    plans = []
+
+    def noted(frame, label):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return keep(frame, label)
+
+    keep = simhash.stored
+    for module in (simhash, linededup, corpus_pipeline):
+        monkeypatch.setattr(module, "stored", noted)
+    rng = np.random.default_rng(9)
+    text = [words(rng) + "." for _ in range(40)]
+    rows = [(d, "\n".join([*text[: 30 + d % 5], words(rng)])) for d in range(20)]
+    assert through(spark, rows, (corpus_pipeline.lines,))
+    assert len(plans) > 5 and not any(x in p for p in plans for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_built_in_classes_are_those_of_the_near_dedup_stage(spark):
+    rows = [*ODD, (100, "One"), (101, "One tWo"), (102, "A \x0b b\tC\n"), (103, "Ünï Ö b " + "x y z " * 30_000), (104, None), (104, None)]
+    rows += [(200 + k, f"a text with few words that are another at place {k}") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    own = docs.select("doc_id", simhash.fingerprints(F.col("text")).alias("fp"))
+    assert sorted(simhash.with_fingerprints(docs, "text").collect(), key=str) == sorted(own.collect(), key=str)
+    classes = {r.text_hash: r.component for r in simhash.classes_of_texts(docs).collect()}
+    there = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(docs).collect()}
+    hashes = docs.select("doc_id", F.xxhash64("text").alias("h")).collect()
+    assert {(r.doc_id, classes.get(r.h)) for r in hashes} == there
+    assert simhash.classes_of_texts(docs.limit(0)).count() == 0
+
+
+def test_built_in_links_connect_as_brute_force(spark):
+    rng = np.random.default_rng(10)
+    seeds = rng.integers(-(1 << 62), 1 << 62, 40)
+    values = {int(s) for s in seeds}
+    for s in seeds[:8].tolist():
+        at = s
+        for _ in range(60):
+            for b in rng.choice(63, 2, replace=False).tolist():
+                at ^= 1 << b
+            values.add(at if rng.random() < 0.5 else s ^ (1 << int(rng.integers(63))))
+    values = np.array(sorted(values), np.int64)
+    root = {int(x): int(x) for x in values}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    def classes(links):
+        for x in root:
+            root[x] = x
+        for a, b in links:
+            root[max(top(a), top(b))] = min(top(a), top(b))
+        return {x: top(x) for x in root}
+
+    u = values.view(np.uint64)
+    close = np.argwhere(np.bitwise_count(u[:, None] ^ u[None, :]) <= 3)
+    expected = classes([(int(values[a]), int(values[b])) for a, b in close if a < b])
+    nodes = spark.createDataFrame([(int(x),) for x in values], "fp long")
+    # small parts, so that parts meet
+    for part in (16, 1024):
+        assert classes([tuple(r) for r in simhash.close_links(nodes, part=part, built_in=True).collect()]) == expected
+
+
 def run_on(spark, folder, documents):
     documents.write.parquet(f"{folder}/documents.parquet")
     spark.read.parquet(f"{TABLES}/benchmark.parquet").write.parquet(f"{folder}/benchmark.parquet")

@@ -81,7 +81,7 @@ def chunk_heads(frame: DataFrame, order: list[str], text: str = "text", together
 
 
 def alignments(frame: DataFrame, order: list[str], text: str = "text", together: DataFrame | None = None) -> DataFrame:
-    """(key, low, ats, lines): for each document the stretches to compare with earlier ones.
+    """(key, compared): for each document and each earlier one, an array of the stretches (low, ats, lines) to compare.
 
     ``lines`` are the bodies of the other document from the line on that should equal line ``low``; ``ats`` are the lines
     where chunks began alike.
@@ -98,13 +98,16 @@ def alignments(frame: DataFrame, order: list[str], text: str = "text", together:
     aligned = later.groupBy("key", F.col("first.key").alias("other"), (F.col("first.at") - F.col("at")).alias("shift"))
     aligned = aligned.agg(F.min("at").alias("from"), F.max("at").alias("to"), F.collect_set("at").alias("ats"))
     low = F.greatest(F.lit(0), -F.col("shift"), F.col("from") - REACH)
-    aligned = stored(aligned.select("key", "other", "shift", low.alias("low"), (F.col("to") + 2 + REACH).alias("high"), "ats"), "alignments")
+    stretch = F.struct("shift", low.alias("low"), (F.col("to") + 2 + REACH).alias("high"), "ats")
+    # a document meets another once, however many stretches they share
+    aligned = aligned.select("key", "other", stretch.alias("x")).groupBy("key", "other").agg(F.collect_list("x").alias("stretches"))
+    aligned = stored(aligned, "alignments")
     others = frame.select(_key(order, text).alias("other"), F.col(f"`{text}`").alias("text"))
     others = others.join(aligned.select("other").distinct(), "other", "left_semi").dropDuplicates(["other"])
     others = others.select("other", bodies(F.col("text")).alias("bodies"))
     met = aligned.join(stored(others, "others"), "other")
-    lines = F.slice("bodies", F.col("low") + F.col("shift") + 1, F.col("high") - F.col("low"))
-    return met.select("key", "low", "ats", lines.alias("lines"))
+    lines = lambda x: F.slice("bodies", x["low"] + x["shift"] + 1, x["high"] - x["low"])
+    return met.select("key", F.transform("stretches", lambda x: F.struct(x["low"].alias("low"), x["ats"].alias("ats"), lines(x).alias("lines"))).alias("compared"))
 
 
 def _repeated(compared: str, units: str) -> list[tuple[str, Column]]:
@@ -147,7 +150,7 @@ def dedup_lines(frame: DataFrame, order: list[str] | None = None, text: str = "t
     removed_chars are replaced. An empty table gives an empty table.
     """
     order = order or ["doc_id"]
-    compared = alignments(frame, order, text, together).groupBy("key").agg(F.collect_list(F.struct("low", "ats", "lines")).alias("compared"))
+    compared = alignments(frame, order, text, together).groupBy("key").agg(F.flatten(F.collect_list("compared")).alias("compared"))
     docs = frame.select(packed(frame), _key(order, text).alias("key")).join(compared, "key", "left")
     # only documents that have something to compare are cut again
     whole = F.col("row").getField(text)

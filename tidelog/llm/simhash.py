@@ -9,7 +9,8 @@ cells are cut into parts, and every two parts meet in a cell of their own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 from tidelog.llm.common import connected, packed, stored, unpacked
 
 SHINGLE, BITS, BLOCKS = 3, 3, 6
-#: Nodes in one part of a cell, about.
-PART = 2048
+#: Nodes in one part of a cell, about; the same where built-in functions walk it.
+PART, BUILT_IN_PART = 2048, 1024
 _WORD = regex.compile(rb"[^\x20\x09-\x0D]+")
 #: Hashes counted at once.
 _SLICE = 1 << 14
@@ -58,6 +59,25 @@ def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
     return F.pandas_udf(every, "long").asNondeterministic()(text)
 
 
+def with_fingerprints(frame: DataFrame, text: str, shingle: int = SHINGLE) -> DataFrame:
+    """The columns of the frame but ``text``, and ``fp`` as by ``fingerprints``; in built-in functions.
+
+    A row per shingle, added up where it is made: two bits of the hash are counted in one long. Repeated rows stay.
+    """
+    others = [c for c in frame.columns if c != text]
+    lower = F.translate(F.coalesce(F.col(text), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = frame.select(*others, F.monotonically_increasing_id().alias("_row"), F.array_remove(F.split(lower, r"[\x20\x09-\x0D]+"), "").alias("_words"))
+    shingles = words.select(*others, "_row", "_words", F.explode(F.sequence(F.lit(0), F.greatest(F.size("_words") - shingle, F.lit(0)))).alias("_at"))
+    # of fewer words than a shingle the missing ones are null and left out
+    text_of = F.concat_ws(" ", *[F.get("_words", F.col("_at") + k) for k in range(shingle)])
+    hashes = shingles.select(*others, "_row", F.when(F.size("_words") > 0, F.xxhash64(text_of)).otherwise(0).alias("_h"))
+    counts = [F.sum(F.shiftrightunsigned("_h", k).bitwiseAND(F.lit((1 << 32) + 1))).alias(f"_c{k}") for k in range(32)]
+    counted = hashes.groupBy("_row", *others).agg(F.count("*").alias("_n"), *counts)
+    ones = lambda b: F.shiftrightunsigned(f"_c{b % 32}", b - b % 32).bitwiseAND(F.lit((1 << 32) - 1))
+    bits = [F.when(ones(b) * 2 > F.col("_n"), F.lit((1 << b) - ((1 << 64) if b == 63 else 0))).otherwise(F.lit(0).cast("long")) for b in range(64)]
+    return counted.select(*others, reduce(Column.bitwiseOR, bits).alias("fp"))
+
+
 def block_keys(value: Column, bits: int = BITS, blocks: int = BLOCKS) -> Column:
     """Array of (choice, key): for each choice of blocks - bits blocks the bits of the value in them."""
     edges = [round(64 * k / blocks) for k in range(blocks + 1)]
@@ -83,8 +103,37 @@ def forest(values: np.ndarray, bits: int) -> list[tuple[int, int]]:
     return links
 
 
-def close_links(nodes: DataFrame, bits: int = BITS, blocks: int = BLOCKS, part: int = PART) -> DataFrame:
-    """Links (a, b) of distinct longs ``fp`` that connect all values within ``bits`` bits of one another."""
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def forest_links(values: Column, bits: int) -> Column:
+    """``forest`` of an array of distinct longs in built-in functions: an array of (a, b)."""
+
+    def step(state: Column, _: Column) -> Column:
+        waits = F.size(state["queue"]) > 0
+        rest = F.when(waits, state["rest"]).otherwise(F.slice(state["rest"], 2, F.greatest(F.size(state["rest"]) - 1, F.lit(0))))
+        queue = F.slice(state["queue"], 2, F.greatest(F.size(state["queue"]) - 1, F.lit(0)))
+        close = lambda at: lambda y: F.bit_count(y.bitwiseXOR(at)) <= bits
+        met = lambda at, near, rest: F.struct(
+            F.array_except(rest, near).alias("rest"),
+            F.concat(queue, near).alias("queue"),
+            F.concat(state["links"], F.transform(near, lambda y: F.struct(F.least(at, y).alias("a"), F.greatest(at, y).alias("b")))).alias("links"),
+        )
+        at = F.coalesce(F.get(state["queue"], F.lit(0)), F.get(state["rest"], F.lit(0)))
+        return _let(at, lambda at: _let(rest, lambda rest: _let(F.filter(rest, close(at)), lambda near: met(at, near, rest))))
+
+    begin = F.struct(values.alias("rest"), F.array().cast("array<bigint>").alias("queue"), F.array().cast("array<struct<a:bigint,b:bigint>>").alias("links"))
+    # after all values but one have been compared with the rest, no link is left
+    return F.aggregate(F.slice(values, 2, F.size(values)), begin, step, lambda state: state["links"])
+
+
+def close_links(nodes: DataFrame, bits: int = BITS, blocks: int = BLOCKS, part: int = PART, built_in: bool = False) -> DataFrame:
+    """Links (a, b) of distinct longs ``fp`` that connect all values within ``bits`` bits of one another.
+
+    With ``built_in`` the cells are walked by built-in functions, which is slower than in Python.
+    """
     keyed = nodes.select("fp", F.explode(block_keys(F.col("fp"), bits, blocks)).alias("k")).select("fp", "k.choice", "k.key")
     crowds = keyed.groupBy("choice", "key").agg(F.count("*").alias("n")).where("n > 1")
     placed = keyed.join(crowds, ["choice", "key"])
@@ -95,6 +144,10 @@ def close_links(nodes: DataFrame, bits: int = BITS, blocks: int = BLOCKS, part:
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     cell = F.xxhash64("choice", "key", F.least("mine", "other"), F.greatest("mine", "other"))
     cells = placed.select(cell.alias("cell"), "choice", "key", "fp", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+    if built_in:
+        walked = cells.groupBy("cell", "choice", "key", "i", "j").agg(F.collect_list("fp").alias("fps"))
+        links = walked.select(F.explode(forest_links(F.col("fps"), bits)).alias("l"))
+        return links.select("l.a", "l.b").distinct()
     dealt = cells.repartition("cell").sortWithinPartitions("cell", "choice", "key", "i", "j", "fp")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,10 +206,11 @@ def near_duplicates(frame: DataFrame, id_column: str = "doc_id", text: str = "te
     )
 
 
-def component_of(marked: DataFrame, bits: int = BITS, blocks: int = BLOCKS) -> DataFrame:
+def component_of(marked: DataFrame, bits: int = BITS, blocks: int = BLOCKS, built_in: bool = False) -> DataFrame:
     """(fp, root, component) for each distinct fp of ``marked`` (id, fp): its class, and the smallest id there."""
     nodes = stored(marked.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes")
-    roots = connected(close_links(nodes, bits, blocks)).withColumnRenamed("node", "fp")
+    links = close_links(nodes, bits, blocks, BUILT_IN_PART, built_in=True) if built_in else close_links(nodes, bits, blocks)
+    roots = connected(links).withColumnRenamed("node", "fp")
     rooted = nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component"))
     return stored(rooted.join(least, "root").select("fp", "root", "component"), "simhash-classes")
@@ -165,12 +219,13 @@ def component_of(marked: DataFrame, bits: int = BITS, blocks: int = BLOCKS) -> D
 def classes_of_texts(frame: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """(text_hash, component): for the hash of each text the smallest id in its class of near duplicates.
 
-    Only ids, hashes and fingerprints are stored and shuffled. Classes without any id are left out; an empty table gives
-    an empty table.
+    In built-in functions alone. Only ids, hashes and counts of bits are stored and shuffled. Classes without any id are left
+    out; an empty table gives an empty table.
     """
     content = F.col(f"`{text}`")
-    marked = stored(frame.select(F.col(f"`{id_column}`").alias("id"), F.xxhash64(content).alias("text_hash"), fingerprints(content, shingle).alias("fp")), "simhash")
-    classes = component_of(marked, bits).where("component IS NOT NULL").select("fp", "component")
+    rows = frame.select(F.col(f"`{id_column}`").alias("id"), F.xxhash64(content).alias("text_hash"), content.alias("content"))
+    marked = stored(with_fingerprints(rows, "content", shingle), "simhash")
+    classes = component_of(marked, bits, built_in=True).where("component IS NOT NULL").select("fp", "component")
     texts = marked.groupBy("text_hash").agg(F.min("fp").alias("fp"))
     return stored(texts.join(classes, "fp").select("text_hash", "component"), "simhash-texts")
 
