@@ -158,3 +158,12 @@ def test_odd_rows(spark):
     again = linededup.dedup_lines(odd, order=["lang", "doc_id"], together=classes).collect()
     assert len(again) == len(ODD) and all(r.n_removed == 0 for r in again)
     assert len(linededup.dedup_lines(odd, together=classes.limit(0)).collect()) == len(ODD)
+
+
+def test_bodies_are_cut_and_hashed_once(spark):
+    """The size of the hashes is asked for in a filter; the plan does not compute them again for it."""
+    docs = spark.createDataFrame([(1, "one line.\nand another one. And a third"), (2, "one")], "doc_id long, text string")
+    found = linededup.chunk_heads(docs, ["doc_id"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+    assert {r.at for r in found.collect()} <= {0, 1} and found.count() >= 1

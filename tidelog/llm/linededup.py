@@ -24,8 +24,8 @@ REACH = 8
 
 def _hard(x: Column) -> Column:
     """An expression that Catalyst does not copy into filters and other lambdas, where it would be computed again and
-    again: the always true condition counts as random."""
-    return F.when(F.rand(1) >= 0, x)
+    again: the always true condition counts as random. A bare ``rand() >= 0`` would be folded away."""
+    return F.when(F.rand(1) + 1 > 0, x)
 
 
 #: Where a text is cut: at line ends, and at the blank after a sentence.
