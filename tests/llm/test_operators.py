@@ -616,3 +616,32 @@ def test_page_evidence(spark):
     assert [tuple(r) for r in found] == [("de", "www.example.co.uk"), (None, None), (None, None)]
 
 
+
+
+def test_labellers_vote_once_on_each_row(spark, monkeypatch):
+    """What is fitted and classified together is what both give one after the other; the votes are counted from storage."""
+    docs = spark.createDataFrame([*ODD, *((1000 + k, f"some words of text number {k} that go on. And on {'!' * (k % 7)}") for k in range(200))], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 7 == 6).cast("int").alias("toxic")).where("doc_id >= 1000")
+    one_by_one = quality.classify(docs, quality.fit_quality(docs, labels=labels))
+    plans, keep = [], quality.stored
+
+    def noted(frame, label):
+        plans.append((label, frame._jdf.queryExecution().executedPlan().toString()))
+        return keep(frame, label)
+
+    monkeypatch.setattr(quality, "stored", noted)
+    together = quality.fit_and_classify(docs, labels=labels)
+    assert together.columns == one_by_one.columns
+    assert sorted(map(str, together.collect())) == sorted(map(str, one_by_one.collect()))
+    assert [label for label, plan in plans if "Python" in plan and label in ("voted", "votes")] == ["voted"]
+    assert together._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_remembered_weights_are_those_of_the_marks(monkeypatch):
+    marks = {"abcde*": 2.0, "abcdefg": 3.0, "xyz": 1.5}
+    monkeypatch.setattr(quality, "REMEMBERED", 2)
+    weights = quality.Weights(marks)
+    words = ["abcdefg", "abcdex", "xyz", "none", "abcde", "y" * 1000, "abcdefg"]
+    assert [weights[w] for w in words] == [3.0, 2.0, 1.5, 0.0, 0.0, 0.0, 3.0] and len(weights) <= 2
+    text = "abcdefg abcdex xyz none"
+    assert quality.votes_of(text, marks) == quality.votes_of(text, marks, weights=weights)

@@ -37,8 +37,8 @@ LABELLED_ROWS, LEAST_SEEN = 20_000, 3
 BEGINNINGS, SURE = (5, 6, 7, 8), 2.0
 #: The least cuts: what a text's marks weigh together, the strongest, the number of sure ones, their weight in a hundred words.
 CUTS = (5.0, 4.8, 2.0, 2.0)
-#: Bytes hashed at once.
-SLICE = 1 << 20
+#: Bytes hashed at once; words, and letters in them, whose weights a task remembers.
+SLICE, REMEMBERED, LETTERS = 1 << 20, 1 << 17, 40
 _ENDS = tuple(mark + blank for mark in ".?!" for blank in " \n")
 _WORDS = re.compile(r"\w+")
 QUALITY = ("marks", "decorated", "capitals", "word_run", "line_repeats", "separators", "short_words", "word_length", "sentences", "variety")
@@ -50,14 +50,30 @@ def forms_of(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n)]
 
 
-def signs_of(words: set[str], marks: dict[str, float]) -> tuple[float, ...]:
-    """What the labellers of toxicity judge by, in the order of ``CUTS``: a word weighs as much as its heaviest mark.
+class Weights(dict[str, float]):
+    """Weights of words by ``marks``: a word weighs as much as its heaviest mark. Those looked up are remembered, up to a bound."""
+
+    def __init__(self, marks: dict[str, float]) -> None:
+        super().__init__()
+        self.marks = marks
+
+    def __missing__(self, word: str) -> float:
+        weight = max(self.marks.get(f, 0.0) for f in forms_of(word))
+        if len(self) >= REMEMBERED:
+            self.clear()
+        if len(word) <= LETTERS:
+            self[word] = weight
+        return weight
+
+
+def signs_of(words: set[str], weights: Weights) -> tuple[float, ...]:
+    """What the labellers of toxicity judge by, in the order of ``CUTS``.
 
     Long texts meet marks by chance, so that much is taken off their weight together.
     """
-    weights = [x for x in (max(marks.get(f, 0.0) for f in forms_of(w)) for w in words) if x]
-    total = sum(weights)
-    return total - math.log1p(len(words) / 100), max(weights, default=0.0), float(sum(x >= SURE for x in weights)), 100 * total / max(30, len(words))
+    found = [x for x in map(weights.__getitem__, words) if x]
+    total = sum(found)
+    return total - math.log1p(len(words) / 100), max(found, default=0.0), float(sum(x >= SURE for x in found)), 100 * total / max(30, len(words))
 
 
 def _labelled(frame: DataFrame, labels: DataFrame, text: str, key: str, rows: int) -> DataFrame:
@@ -108,8 +124,9 @@ def learn_cuts(frame: DataFrame, labels: DataFrame, marks: dict[str, float], tex
     """
 
     def weigh(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        weights = Weights(marks)
         for part in parts:
-            yield pd.DataFrame([signs_of(set(_WORDS.findall(one.lower())), marks) for one in part["text"]], columns=TOXICITY, dtype=float)
+            yield pd.DataFrame([signs_of(set(_WORDS.findall(one.lower())), weights) for one in part["text"]], columns=TOXICITY, dtype=float)
 
     clean = _labelled(frame, labels, text, key, rows).where("held AND toxic = 0").select("text")
     signs = clean.mapInPandas(weigh, ", ".join(f"{name} double" for name in TOXICITY))
@@ -117,11 +134,11 @@ def learn_cuts(frame: DataFrame, labels: DataFrame, marks: dict[str, float], tex
     return tuple(max(least, x if x is not None else least) for least, x in zip(CUTS, found, strict=True))
 
 
-def votes_of(text: str | None, marks: dict[str, float] | None = None, cuts: tuple[float, ...] = CUTS) -> tuple[list[int], list[int]]:
+def votes_of(text: str | None, marks: dict[str, float] | None = None, cuts: tuple[float, ...] = CUTS, weights: Weights | None = None) -> tuple[list[int], list[int]]:
     """Votes on quality and on toxicity: 1 good (not toxic), -1 bad (toxic), 0 none.
 
     A text without words is bad by its variety and its word length, and has no vote on toxicity; nor has any where no
-    marks are known.
+    marks are known. Texts judged in a row share ``weights``, which are those of the marks.
     """
     text = text or ""
     tokens = text.split()
@@ -161,15 +178,16 @@ def votes_of(text: str | None, marks: dict[str, float] | None = None, cuts: tupl
     ]
     if not marks:
         return quality, [0] * len(TOXICITY)
-    return quality, [vote(sign > cut) for sign, cut in zip(signs_of(set(words), marks), cuts, strict=True)]
+    return quality, [vote(sign > cut) for sign, cut in zip(signs_of(set(words), Weights(marks) if weights is None else weights), cuts, strict=True)]
 
 
 def votes(text: Column, marks: dict[str, float], cuts: tuple[float, ...]) -> Column:
     """Struct of the two arrays of votes."""
 
     def every(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        weights = Weights(marks)
         for texts in parts:
-            both = [votes_of(x if isinstance(x, str) else None, marks, cuts) for x in texts]
+            both = [votes_of(x if isinstance(x, str) else None, marks, cuts, weights) for x in texts]
             yield pd.DataFrame({"quality": [x[0] for x in both], "toxicity": [x[1] for x in both]})
 
     every.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
@@ -357,9 +375,23 @@ def fit_quality(frame: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS, l
 
     ``labels`` (key, toxic) give the marks of toxic texts; without them the labellers of marks never vote.
     """
+    return _fit(frame, None, text, rows, labels, key)[0]
+
+
+def fit_and_classify(frame: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS, labels: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
+    """``classify`` by the model that ``fit_quality`` finds in the same frame. The labellers vote once on each row; rows are stored with their votes."""
+    model, voted = _fit(frame, packed(frame), text, rows, labels, key)
+    return _judged(voted, frame.columns, model, text)
+
+
+def _fit(frame: DataFrame, row: Column | None, text: str, rows: int, labels: DataFrame | None, key: str) -> tuple[QualityModel, DataFrame]:
+    """The model, and the votes on each row; with ``row`` they are stored beside it."""
     marks = learn_marks(frame, labels, text, key) if labels is not None else {}
     cuts = learn_cuts(frame, labels, marks, text, key) if marks else CUTS
-    voted = frame.select(F.col(f"`{text}`").alias("text")).withColumn("votes", votes(F.col("text"), marks, cuts))
+    if row is None:
+        voted = frame.select(votes(F.col(f"`{text}`"), marks, cuts).alias("votes"))
+    else:
+        voted = stored(frame.select(row).withColumn("votes", votes(F.col("row").getField(text), marks, cuts)), "voted")
     patterns = stored(voted.groupBy("votes").count(), "votes").toPandas()
     counts = patterns["count"].to_numpy(float)
     found = []
@@ -373,7 +405,7 @@ def fit_quality(frame: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS, l
     # copies share a hash, so they are drawn together: a text counts once
     sample = stored(sample.dropDuplicates(["text"]).withColumn("votes", votes(F.col("text"), marks, cuts)), "quality-sample")
     scorers = [train_scorer(sample.withColumn("p", posterior(labels, F.col(f"votes.{task}")))) for labels, task in zip(found, ("quality", "toxicity"), strict=True)]
-    return QualityModel(*found, *scorers, marks, cuts)
+    return QualityModel(*found, *scorers, marks, cuts), voted
 
 
 def posterior(labels: Labels, pattern: Column) -> Column:
@@ -397,30 +429,33 @@ def classify(frame: DataFrame, model: QualityModel, text: str = "text") -> DataF
     odds, is above a half), and labellers and scorer agree in the same way that it is not toxic; without marks nothing
     is said of that. Null, empty and blank texts are not kept. Repeated rows are judged alike. An empty table gives an empty table.
     """
-    scorer, toxic_scorer, marks, cuts = model.scorer, model.toxic_scorer, model.marks, model.cuts
+    voted = frame.select(packed(frame)).withColumn("votes", votes(F.col("row").getField(text), model.marks, model.cuts))
+    return _judged(voted, frame.columns, model, text)
+
+
+def _judged(voted: DataFrame, columns: list[str], model: QualityModel, text: str) -> DataFrame:
+    scorer, toxic_scorer, marks = model.scorer, model.toxic_scorer, model.marks
 
     def every(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in parts:
-            listed = [x if isinstance(x, str) else None for x in texts]
-            both = [votes_of(x, marks, cuts) for x in listed]
-            rows = _rows(listed)
+            rows = _rows([x if isinstance(x, str) else None for x in texts])
             p, q = (np.array([s.bias + float(s.weights[c] @ v) for c, v in rows]) for s in (scorer, toxic_scorer))
-            yield pd.DataFrame({"quality": [x[0] for x in both], "toxicity": [x[1] for x in both], "p": p, "q": q})
+            yield pd.DataFrame({"p": p, "q": q})
 
     every.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    judged = F.pandas_udf(every, "quality array<int>, toxicity array<int>, p double, q double").asNondeterministic()
+    judged = F.pandas_udf(every, "p double, q double").asNondeterministic()
     odd = lambda p: F.log(F.greatest(p, F.lit(1e-12)) / F.greatest(1 - p, F.lit(1e-12)))
     logistic = lambda x: 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), x))))
-    rows = frame.select(packed(frame)).withColumn("j", judged(F.col("row").getField(text)))
+    rows = voted.withColumn("j", judged(F.col("row").getField(text)))
     rows = rows.select(
         "row",
-        posterior(model.quality, F.col("j.quality")).alias("posterior"),
+        posterior(model.quality, F.col("votes.quality")).alias("posterior"),
         logistic(F.col("j.p")).alias("score"),
-        posterior(model.toxicity, F.col("j.toxicity")).alias("not_toxic"),
+        posterior(model.toxicity, F.col("votes.toxicity")).alias("not_toxic"),
         logistic(F.col("j.q")).alias("toxic_score"),
     )
     good = odd(F.col("posterior")) + odd(F.col("score")) > 0
     clean = (odd(F.col("not_toxic")) + odd(F.col("toxic_score")) > 0) if marks else F.lit(True)
     some = F.trim(F.coalesce(F.col("row").getField(text), F.lit(""))) != ""
     new = ("posterior", "score", "not_toxic", "toxic_score", "keep")
-    return rows.select(*unpacked(frame.columns, *new), *new[:-1], (good & clean & some).alias("keep"))
+    return rows.select(*unpacked(columns, *new), *new[:-1], (good & clean & some).alias("keep"))

@@ -26,7 +26,7 @@ def html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 
 def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    return quality.classify(docs, quality.fit_quality(docs, labels=_table(spark, folder, "labels"))).drop("text")
+    return quality.fit_and_classify(docs, labels=_table(spark, folder, "labels")).drop("text")
 
 
 def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
