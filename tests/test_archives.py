@@ -168,6 +168,26 @@ def test_one_archive_is_many_tasks(spark, tmp_path):
     assert lines.groupBy("member").count().where("count <> 500").count() == 0
 
 
+@pytest.mark.parametrize("nested", [False, True])
+def test_small_archives_share_tasks(spark, tmp_path, nested):
+    """Many small archives cost few tasks and are not opened to be planned; large ones are still cut."""
+    inner = lambda n: zipped({f"{n}.dat": f"{n}\nend\n".encode()})
+    for n in range(300):
+        (tmp_path / f"{n:03}.zip").write_bytes(zipped({f"{n}.jez": inner(n)}) if nested else inner(n))
+    (tmp_path / "bad.zip").write_bytes(b"none")
+    options = {"path": str(tmp_path), "membersuffix": ".dat"} | ({"nestedsuffix": "jez"} if nested else {})
+    reader = zips.ZipReader(options)
+    reader._parts = None
+    shares = reader.partitions()
+    assert 2 <= len(shares) <= 64
+    rows = [row for share in shares for batch in reader.read(share) for row in batch.to_pylist()]
+    assert sorted(r["text"] for r in rows if r["error"] is None) == sorted(f"{n}\nend" for n in range(300))
+    assert [r["archive"].rsplit("/", 1)[1] for r in rows if r["error"] is not None] == ["bad.zip"]
+    lines = read_archive_lines(spark, str(tmp_path), member_suffix=".dat", nested_suffix="jez" if nested else None)
+    assert lines.rdd.getNumPartitions() == len(shares) and lines.where("error IS NULL").count() == 600
+    assert len(zips.ZipReader(options | {"taskbytes": "1"}).partitions()) == 301
+
+
 def test_member_conditions_reach_the_directory(spark, tmp_path):
     (tmp_path / "a.zip").write_bytes(zipped({f"{n}.dat": b"a\nb\n" for n in range(10)} | {"x.txt": b"c"}))
     (tmp_path / "bad.zip").write_bytes(b"none")

@@ -1,8 +1,9 @@
 """ZIP archives as a PySpark data source.
 
-An archive is planned from its central directory, which lies at its end: members whose names do not fit are left out,
-the others are dealt to tasks by their compressed size, and a task seeks to the members it was given. So one archive is
-the work of many tasks, and it may be larger than a task's memory.
+An archive larger than a task's share is planned from its central directory, which lies at its end: members whose names
+do not fit are left out, the others are dealt to tasks by their compressed size, and a task seeks to the members it was
+given. So one archive is the work of many tasks, and it may be larger than a task's memory. Smaller archives are not
+opened before they are read, and a task takes as many as its share holds, so many small ones cost few tasks.
 
 A task hands over pieces of text that end with a line; Spark cuts them into lines. Text is only handed over after the
 member's checksum has been compared. What cannot be read is a row with ``error``.
@@ -19,6 +20,7 @@ import zipfile
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -36,22 +38,30 @@ UNREADABLE = (zipfile.BadZipFile, zlib.error, pa.ArrowInvalid, RuntimeError, EOF
 
 #: Compressed bytes for a task; bytes of a piece of text; a member of at most so many bytes is held until it is checked.
 TASK_BYTES, PIECE_BYTES, HELD_BYTES = 32 << 20, 1 << 20, 64 << 20
-#: Central directories read at once while a scan is planned.
-AT_ONCE = 32
+#: Central directories read at once while a scan is planned; bytes that opening an archive counts for; tasks that a scan has at least, if
+#: there is a megabyte for each.
+AT_ONCE, OPENING_BYTES, LEAST_TASKS = 32, 64 << 10, 64
 
 Row = tuple[str, str | None, str | None, int | None, str | None, str | None]
 
 
 @dataclass
-class Members(InputPartition):
-    """Members ``first`` to ``last - 1`` of an archive's directory, or the error that hides them."""
+class Members:
+    """Members ``first`` to ``last - 1`` of an archive's directory (all without ``last``), or the error that hides them."""
 
     archive: str
-    first: int
-    last: int
+    first: int = 0
+    last: int | None = None
     error: str | None = None
 
 
+@dataclass
+class Share(InputPartition):
+    """What one task reads."""
+
+    parts: list[Members]
+
+
 class ZipReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.path, self.glob = options["path"], options.get("glob", "*")
@@ -84,16 +94,29 @@ class ZipReader(DataSourceReader):
         if info.type == fs.FileType.NotFound:
             raise FileNotFoundError(f"no such folder or archive: {self.path}")
         found = [info] if info.is_file else system.get_file_info(fs.FileSelector(root))
-        files = sorted(f.path for f in found if f.is_file and fnmatch.fnmatch(f.base_name, self.glob) and not f.base_name.startswith(("_", ".")))
+        files = sorted((f for f in found if f.is_file and fnmatch.fnmatch(f.base_name, self.glob) and not f.base_name.startswith(("_", "."))), key=lambda f: f.path)
+        weights = [f.size + OPENING_BYTES for f in files]
+        share = min(self.task_bytes, max(1 << 20, sum(weights) // LEAST_TASKS))
         with ThreadPoolExecutor(AT_ONCE) as pool:
-            return [part for parts in pool.map(lambda f: self._parts(system, f), files) for part in parts] or [Members("", 0, 0)]
+            large = pool.map(lambda f: self._parts(system, f.path), [f for f in files if f.size > self.task_bytes])
+            shares = [Share([part]) for parts in large for part in parts]
+        held, size = [], 0
+        for file, weight in zip(files, weights, strict=True):
+            if file.size > self.task_bytes:
+                continue
+            if held and size + weight > share:
+                shares.append(Share(held))
+                held, size = [], 0
+            held.append(Members(file.path))
+            size += weight
+        return [*shares, Share(held)] if held or not shares else shares
 
     def _parts(self, system: fs.FileSystem, archive: str) -> list[Members]:
         try:
             with system.open_input_file(archive) as file, zipfile.ZipFile(file) as packed:
                 infos = packed.infolist()
         except UNREADABLE as error:
-            return [Members(archive, 0, 0, str(error))]
+            return [Members(archive, error=str(error))]
         parts, first, size = [], None, 0
         for at, info in enumerate(infos):
             if not self._wanted(info):
@@ -106,22 +129,27 @@ class ZipReader(DataSourceReader):
             size += info.compress_size
         return parts if first is None else [*parts, Members(archive, first, len(infos))]
 
-    def read(self, partition: Members) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Share) -> Iterator[pa.RecordBatch]:
         return batched(self._rows(partition))
 
-    def _rows(self, part: Members) -> Iterator[Row]:
-        for row in self._unfiltered(part):
-            if row[2] is not None or self.unnamed:
-                yield row
+    def _rows(self, share: Share) -> Iterator[Row]:
+        for part in share.parts:
+            for row in self._unfiltered(part):
+                if row[2] is not None or self.unnamed:
+                    yield row
 
     def _unfiltered(self, part: Members) -> Iterator[Row]:
         if part.error is not None:
             yield part.archive, None, None, None, None, part.error
             return
-        if part.first == part.last:
-            return
         system, _ = fs.FileSystem.from_uri(self.path)
-        with system.open_input_file(part.archive) as file, zipfile.ZipFile(file) as packed:
+        with ExitStack() as opened:
+            try:
+                file = opened.enter_context(system.open_input_file(part.archive))
+                packed = opened.enter_context(zipfile.ZipFile(file))
+            except UNREADABLE as error:
+                yield part.archive, None, None, None, None, str(error)
+                return
             for info in packed.infolist()[part.first : part.last]:
                 if not self._wanted(info):
                     continue
