@@ -23,8 +23,14 @@ REACH = 8
 
 
 def _hard(x: Column) -> Column:
-    """An expression that Catalyst does not copy into filters and other lambdas, where it would be computed again and
-    again: the always true condition counts as random. A bare ``rand() >= 0`` would be folded away."""
+    """An expression that Catalyst does not copy into others before it has found the condition always true. It then may join
+    projections again, so that rows with long arrays are not held once for each."""
+    return F.when(F.rand(1) >= 0, x)
+
+
+def _once(x: Column) -> Column:
+    """An expression that Catalyst never copies into filters and lambdas, where it would be computed again and again: the
+    always true condition counts as random and is not folded."""
     return F.when(F.rand(1) + 1 > 0, x)
 
 
@@ -62,14 +68,14 @@ def chunk_heads(frame: DataFrame, order: list[str], text: str = "text", together
     ``together`` (text_hash, party) says of the text's hash; texts that it does not name, and all without it, have none.
     """
     docs = frame.select(_key(order, text).alias("key"), bodies(F.col(f"`{text}`")).alias("bodies"))
-    docs = docs.select("key", _hard(F.transform("bodies", lambda x: F.xxhash64(x))).alias("hs"))
+    docs = docs.select("key", _once(F.transform("bodies", lambda x: F.xxhash64(x))).alias("hs"))
     # rolling[i - 1] is the hash over the lines i - 1 and i
     n = F.size("hs")
     rolling = F.zip_with(F.slice("hs", F.lit(1), n - 1), F.slice("hs", F.lit(2), n - 1), lambda a, b: F.xxhash64(a, b))
-    docs = docs.select("key", "hs", _hard(rolling).alias("rolling"))
+    docs = docs.select("key", "hs", _once(rolling).alias("rolling"))
     low = lambda i, j: F.get("rolling", i - 1) <= F.coalesce(F.get("rolling", j), F.get("rolling", i - 1))
     begins = F.filter(F.sequence(F.lit(0), n - 2), lambda i: (i == 0) | (low(i, i - 2) & low(i, i)))
-    docs = docs.where(n > 1).select("key", "hs", _hard(begins).alias("begins"))
+    docs = docs.where(n > 1).select("key", "hs", _once(begins).alias("begins"))
     heads = F.transform("begins", lambda i: F.struct(i.alias("at"), F.get("hs", i).alias("h"), F.get("hs", i + 1).alias("g")))
     party = F.lit(None).cast("long")
     if together is not None:
