@@ -117,6 +117,25 @@ def test_documents_meet_once(spark):
     assert sum(map(len, gone.values())) > 100
 
 
+def test_documents_ask_once_for_a_repeated_beginning(spark):
+    """A line that stands again and again gives one row a document with all its places, in the first document too."""
+    rng = np.random.default_rng(12)
+    common = "the same line of more than forty characters, again."
+    rows = [(d, "\n".join([words(rng) + ".", *[common] * (50 + d), words(rng) + ".", *[common] * 50])) for d in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    heads = linededup.chunk_heads(docs, ["doc_id"]).collect()
+    assert len(heads) == len({(r.key, r.h, r.g) for r in heads})
+    places = {d: set(begins(bodies_of(t))) for d, t in rows}
+    assert sum(len(r.ats) for r in heads) == sum(map(len, places.values())) > 20 * len(heads)
+    assert all(r.at == r.ats[0] and r.ats == sorted(r.ats) for r in heads)
+    assert {d: {x for r in heads if r.key.doc_id == d for x in r.ats} for d, _ in rows} == places
+    gone = brute(rows)
+    # twice the same rows are the same documents
+    for frame in (docs, docs.union(docs)):
+        found = linededup.dedup_lines(frame).collect()
+        assert {r.doc_id: r.n_removed for r in found} == {d: len(gone[d]) for d, _ in rows} and len(found) == frame.count()
+
+
 def test_planted_passages(spark):
     """Shares of passages of one to six lines (two sentences each) that go from a second and third document."""
     rng = np.random.default_rng(5)

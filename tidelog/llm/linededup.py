@@ -11,6 +11,8 @@ only say where to compare. One that two different pairs of lines share costs a c
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,14 @@ def _once(x: Column) -> Column:
     return F.when(F.rand(1) + 1 > 0, x)
 
 
+def _grouped(frame: DataFrame, values: str, alike: Callable[[Column, Column], Column], made: Callable[[Column], Column], name: str) -> DataFrame:
+    """Adds ``name``: of each group of neighbours that are ``alike`` in the sorted array ``values``, what is ``made`` of its part."""
+    begins = F.filter(F.sequence(F.lit(0), F.size(values) - 1), lambda i: (i == 0) | ~alike(F.get(values, i), F.get(values, i - 1)))
+    frame = frame.withColumn("_begins", _once(begins))
+    part = lambda i, k: F.slice(values, i + 1, F.coalesce(F.get("_begins", k + 1), F.size(values)) - i)
+    return frame.withColumn(name, F.transform("_begins", lambda i, k: made(part(i, k)))).drop("_begins")
+
+
 #: Where a text is cut: at line ends, and at the blank after a sentence.
 _CUT = r"\n| (?<=[.!?…] )(?=\S)"
 
@@ -62,7 +72,8 @@ def _key(order: list[str], text: str) -> Column:
 
 
 def chunk_heads(frame: DataFrame, order: list[str], text: str = "text", together: DataFrame | None = None) -> DataFrame:
-    """(party, key, at, h, g): where each chunk begins, with the hashes of its first two lines.
+    """(party, key, at, ats, h, g): for each document and each pair of first lines of its chunks, known by their hashes h and g,
+    all places where chunks begin so, in order, and the first of them.
 
     The key is (order columns, hash of the text): rows that agree in these are one document. ``party`` is what
     ``together`` (text_hash, party) says of the text's hash; texts that it does not name, and all without it, have none.
@@ -76,14 +87,17 @@ def chunk_heads(frame: DataFrame, order: list[str], text: str = "text", together
     low = lambda i, j: F.get("rolling", i - 1) <= F.coalesce(F.get("rolling", j), F.get("rolling", i - 1))
     begins = F.filter(F.sequence(F.lit(0), n - 2), lambda i: (i == 0) | (low(i, i - 2) & low(i, i)))
     docs = docs.where(n > 1).select("key", "hs", _once(begins).alias("begins"))
-    heads = F.transform("begins", lambda i: F.struct(i.alias("at"), F.get("hs", i).alias("h"), F.get("hs", i + 1).alias("g")))
+    heads = F.sort_array(F.transform("begins", lambda i: F.struct(F.get("hs", i).alias("h"), F.get("hs", i + 1).alias("g"), i.alias("at"))))
     party = F.lit(None).cast("long")
     if together is not None:
         # hashes and few numbers a document move here, not its text; rows are made after it, as arrays of structs are slow to unnest
         parties = together.select(F.col("text_hash").alias("th"), "party")
         docs, party = docs.join(parties, F.col("key.text_hash") == F.col("th"), "left"), F.col("party")
-    found = docs.select(party.alias("party"), "key", F.explode(heads).alias("x"))
-    return found.select("party", "key", "x.at", "x.h", "x.g")
+    # lines that a document repeats again and again give one row with all their places
+    docs = docs.select(party.alias("party"), "key", _once(heads).alias("heads"))
+    docs = _grouped(docs, "heads", lambda x, y: (x["h"] == y["h"]) & (x["g"] == y["g"]), lambda part: F.struct(F.get(part, F.lit(0)).alias("head"), part["at"].alias("ats")), "groups")
+    found = docs.select("party", "key", F.explode("groups").alias("x"))
+    return found.select("party", "key", "x.head.at", "x.ats", "x.head.h", "x.head.g")
 
 
 def alignments(frame: DataFrame, order: list[str], text: str = "text", together: DataFrame | None = None) -> DataFrame:
@@ -93,21 +107,33 @@ def alignments(frame: DataFrame, order: list[str], text: str = "text", together:
     where chunks began alike.
     """
     heads = stored(chunk_heads(frame, order, text, together), "heads")
-    place = F.struct("party", "key", "at")
+    place = lambda at: F.struct("party", "key", at.alias("at"))
     # one row for each beginning, with its first place: hot ones shrink before they are shuffled
-    first = heads.groupBy("h", "g").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
+    first = heads.groupBy("h", "g").agg(F.min(place(F.col("at"))).alias("first"), F.max(place(F.element_at("ats", -1))).alias("last")).where("first <> last")
     # stored, so that the join has two plain sides and adaptive execution may split a hot beginning
     first = stored(first.select("h", "g", "first"), "firsts")
-    later = heads.join(first, ["h", "g"]).where(F.struct("party", "key", "at") != F.col("first"))
+    # a document asks once for each beginning, however often it stands there; the first place itself is not compared
+    own = F.struct("party", "key") == F.struct("first.party", "first.key")
+    later = heads.join(first, ["h", "g"]).where(~own | (F.size("ats") > 1))
     if together is not None:
         later = later.where((F.col("party") == F.col("first.party")).isNull() | (F.col("party") != F.col("first.party")))
-    aligned = later.groupBy("key", F.col("first.key").alias("other"), (F.col("first.at") - F.col("at")).alias("shift"))
-    aligned = aligned.agg(F.min("at").alias("from"), F.max("at").alias("to"), F.collect_set("at").alias("ats"))
-    low = F.greatest(F.lit(0), -F.col("shift"), F.col("from") - REACH)
-    stretch = F.struct("shift", low.alias("low"), (F.col("to") + 2 + REACH).alias("high"), "ats")
+    ats = F.when(own, F.slice("ats", F.lit(2), F.size("ats") - 1)).otherwise(F.col("ats"))
+    # a place and the distance to its first place are one number, sorted by the distance
+    codes = F.transform(ats, lambda at: (F.col("first.at") - at).cast("long") * (1 << 32) + at)
+    shift = lambda c: F.shiftright(c, 32).cast("int")
+    at = lambda c: c.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+    low = lambda c: F.greatest(F.lit(0), -shift(c), at(c) - REACH)
+    stretch = lambda part: F.struct(
+        shift(F.get(part, F.lit(0))).alias("shift"),
+        low(F.get(part, F.lit(0))).alias("low"),
+        (at(F.element_at(part, -1)) + 2 + REACH).alias("high"),
+        F.transform(part, at).alias("ats"),
+    )
     # a document meets another once, however many stretches they share
-    aligned = aligned.select("key", "other", stretch.alias("x")).groupBy("key", "other").agg(F.collect_list("x").alias("stretches"))
-    aligned = stored(aligned, "alignments")
+    aligned = later.select("key", F.col("first.key").alias("other"), codes.alias("codes")).groupBy("key", "other").agg(F.collect_list("codes").alias("codes"))
+    aligned = aligned.select("key", "other", _once(F.sort_array(F.array_distinct(F.flatten("codes")))).alias("codes"))
+    aligned = _grouped(aligned, "codes", lambda x, y: shift(x) == shift(y), stretch, "stretches")
+    aligned = stored(aligned.select("key", "other", "stretches"), "alignments")
     others = frame.select(_key(order, text).alias("other"), F.col(f"`{text}`").alias("text"))
     others = others.join(aligned.select("other").distinct(), "other", "left_semi").dropDuplicates(["other"])
     others = others.select("other", bodies(F.col("text")).alias("bodies"))
